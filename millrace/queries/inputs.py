@@ -135,3 +135,150 @@ def raw_transactions(t) -> DataFrame:
             matched.cast(money).alias("coupon_match_disc"),
         )
     )
+
+
+# ---- flights -------------------------------------------------------------------------------
+# a trip is an order line; origin and destination are the nations of customer and supplier
+
+TRIPS_SQL = """
+trips AS (
+  SELECT l_orderkey AS trip_id, l_linenumber AS leg,
+         CAST(year(l_shipdate) AS VARCHAR) AS year_text,
+         CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'NA' ELSE CAST(month(l_shipdate) AS VARCHAR) END AS month_text,
+         CAST(day(l_shipdate) AS VARCHAR) AS day_text,
+         p_brand AS carrier, 'N' || CAST(c_nationkey AS VARCHAR) AS origin, 'N' || CAST(s_nationkey AS VARCHAR) AS dest,
+         CASE WHEN l_discount > 0.08 THEN 'NA' ELSE CAST(CAST(l_quantity AS INTEGER) - 20 AS VARCHAR) END AS arr_delay,
+         CAST(p_size AS VARCHAR) AS distance
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey),
+airports AS (
+  SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS iata_code, n_name AS name, r_name AS municipality,
+         CAST(n_nationkey * 10 AS VARCHAR) || ',' || CAST(n_regionkey AS VARCHAR) AS coordinates
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 7),
+airline_rows AS (
+  SELECT p_brand AS iata, p_name AS name, p_type AS kind,
+         CASE WHEN p_size > 10 THEN 'Y' ELSE 'N' END AS active
+  FROM part),
+airlines AS (
+  SELECT iata, name, kind, active FROM (
+    SELECT *, row_number() OVER (PARTITION BY iata ORDER BY name, kind, active) AS rn
+    FROM airline_rows WHERE active = 'Y') WHERE rn = 1)
+"""
+
+
+def trips(t) -> DataFrame:
+    ship = F.col("l_shipdate")
+    return (
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        .select(
+            F.col("l_orderkey").alias("trip_id"),
+            F.col("l_linenumber").alias("leg"),
+            F.year(ship).cast("string").alias("year_text"),
+            F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), "NA")
+            .otherwise(F.month(ship).cast("string")).alias("month_text"),
+            F.dayofmonth(ship).cast("string").alias("day_text"),
+            F.col("p_brand").alias("carrier"),
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("origin"),
+            F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("dest"),
+            F.when(F.col("l_discount") > 0.08, "NA")
+            .otherwise((F.col("l_quantity").cast("int") - 20).cast("string")).alias("arr_delay"),
+            F.col("p_size").cast("string").alias("distance"),
+        )
+    )
+
+
+def airports(t) -> DataFrame:
+    return (
+        t.nation.filter("n_nationkey <> 7")
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("iata_code"),
+            F.col("n_name").alias("name"),
+            F.col("r_name").alias("municipality"),
+            F.concat_ws(",", (F.col("n_nationkey") * 10).cast("string"),
+                        F.col("n_regionkey").cast("string")).alias("coordinates"),
+        )
+    )
+
+
+def airline_rows(t) -> DataFrame:
+    return t.part.select(
+        F.col("p_brand").alias("iata"), F.col("p_name").alias("name"), F.col("p_type").alias("kind"),
+        F.when(F.col("p_size") > 10, "Y").otherwise("N").alias("active"),
+    )
+
+
+# ---- users and their spend -----------------------------------------------------------------
+
+USERS_SQL = """
+users AS (
+  SELECT c_custkey AS id, lower(replace(c_name, '#', '.')) || '@mail.test' AS email,
+         c_mktsegment AS firstname, 'CUSTOMER' AS lastname,
+         strftime(first_at, '%m-%d-%Y %H:%M:%S') AS creation_date,
+         strftime(last_at, '%m-%d-%Y %H:%M:%S') AS last_activity_date
+  FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_at, max(o_orderdate) AS last_at
+                           FROM orders GROUP BY 1) ON c_custkey = o_custkey),
+silver AS (
+  SELECT id, sha1(email) AS email,
+         upper(substr(firstname, 1, 1)) || lower(substr(firstname, 2)) AS firstname,
+         upper(substr(lastname, 1, 1)) || lower(substr(lastname, 2)) AS lastname,
+         strptime(creation_date, '%m-%d-%Y %H:%M:%S') AS creation_date,
+         strptime(last_activity_date, '%m-%d-%Y %H:%M:%S') AS last_activity_date
+  FROM users),
+spend AS (
+  SELECT c_custkey AS id, CAST(18 + c_nationkey * 2 AS INTEGER) AS age,
+         CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_acctbal AS DOUBLE) END AS annual_income,
+         CAST(n_orders AS DOUBLE) AS spending_core
+  FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) ON c_custkey = o_custkey
+  WHERE c_mktsegment <> 'MACHINERY')
+"""
+
+
+def users(t) -> DataFrame:
+    seen = t.orders.groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("first_at"), F.max("o_orderdate").alias("last_at"))
+    text = "MM-dd-yyyy HH:mm:ss"
+    return t.customer.join(seen, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+        F.col("c_custkey").alias("id"),
+        F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@mail.test")).alias("email"),
+        F.col("c_mktsegment").alias("firstname"),
+        F.lit("CUSTOMER").alias("lastname"),
+        F.date_format("first_at", text).alias("creation_date"),
+        F.date_format("last_at", text).alias("last_activity_date"),
+    )
+
+
+def spend(t) -> DataFrame:
+    bought = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n_orders"))
+    return (
+        t.customer.filter("c_mktsegment <> 'MACHINERY'")
+        .join(bought, F.col("c_custkey") == F.col("o_custkey"), "left")
+        .select(
+            F.col("c_custkey").alias("id"),
+            (F.lit(18) + F.col("c_nationkey") * 2).cast("int").alias("age"),
+            F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("annual_income"),
+            F.col("n_orders").cast("double").alias("spending_core"),
+        )
+    )
+
+
+# ---- daily sales per store and item --------------------------------------------------------
+
+SALES_SQL = """
+sales AS (
+  SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey % 10 AS INTEGER) AS store,
+         CAST(l_partkey % 50 AS INTEGER) AS item, CAST(l_quantity AS INTEGER) AS sales
+  FROM lineitem)
+"""
+
+
+def sales(t) -> DataFrame:
+    return t.lineitem.select(
+        F.col("l_shipdate").cast("date").alias("date"),
+        (F.col("l_suppkey") % 10).cast("int").alias("store"),
+        (F.col("l_partkey") % 50).cast("int").alias("item"),
+        F.col("l_quantity").cast("int").alias("sales"),
+    )
