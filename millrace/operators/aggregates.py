@@ -109,45 +109,55 @@ def neighbours(
     order: str,
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
-    chunks: int = 512,
+    max_rows: int = 5_000_000,
 ) -> DataFrame:
     """``lag``/``lead`` by one row over (keys, order) that holds up under a hot key.
 
-    ``previous``/``following`` map a new column name to the column it reads.
-    A plain window puts all rows of a key in one task. Here the order range is
-    first cut into ``chunks`` slices at the quantiles of the whole table, so a
-    slice of one key holds at most about 1/chunks of all rows; neighbours are
-    taken inside a slice, and the slice edges are stitched through a table with
-    one row per key and slice. ``order`` must be unique within a key.
+    ``previous``/``following`` map a new column name to the column it reads;
+    ``order`` must be unique within a key. A plain window puts all rows of a key
+    in one task, which is right for keys up to ``max_rows``. Keys beyond it are
+    cut into slices at the quantiles of their rows; neighbours are then taken
+    inside a slice and the slice edges are stitched through a table that has one
+    row per hot key and slice.
     """
     previous, following = previous or {}, following or {}
+    held = F.struct(*[F.col(c) for c in sorted({*previous.values(), *following.values()})])
+
+    def look(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        span = W.partitionBy(*by).orderBy(order)
+        return rows.select("*", F.lag(held).over(span).alias("_prev"), F.lead(held).over(span).alias("_next"))
+
+    def finish(rows: DataFrame, prev: Column, nxt: Column) -> DataFrame:
+        made = [prev.getField(src).alias(new) for new, src in previous.items()]
+        made += [nxt.getField(src).alias(new) for new, src in following.items()]
+        return rows.select(*df.columns, *made)
+
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
+    hot = materialise(hot, "hot-keys")  # at most rows / max_rows entries
+    n_hot = hot.agg(F.sum("_n")).first()[0]
+    if not n_hot:
+        return finish(look(df, keys), F.col("_prev"), F.col("_next"))
+
     at = F.col(order)
     if dict(df.dtypes)[order] in ("timestamp", "timestamp_ntz", "date"):
         at = F.unix_micros(at.cast("timestamp"))
-    base = df.withColumn("_pos", at.cast("double"))
-    cuts = sorted(set(base.approxQuantile("_pos", [i / chunks for i in range(1, chunks)], 0.5 / chunks)))
+    tagged = df.join(hot, list(keys), "left").withColumn("_pos", at.cast("double"))
+    slices = int(min(10_000, -(-n_hot // max_rows) + 1))
+    cuts = tagged.filter("_n is not null").approxQuantile(
+        "_pos", [i / slices for i in range(1, slices)], 0.5 / slices)
     inf = float("inf")
-    sliced = Bucketizer(
-        splits=[-inf, *cuts, inf], inputCol="_pos", outputCol="_slice"
-    ).transform(base).drop("_pos") if cuts else base.drop("_pos").withColumn("_slice", F.lit(0.0))
-
-    inner = W.partitionBy(*keys, "_slice").orderBy(order)
-    sources = sorted({*previous.values(), *following.values()})
-    held = F.struct(*[F.col(c) for c in sources])
-    rows = sliced
-    rows = rows.withColumn("_prev", F.lag(held).over(inner)) if previous else rows
-    rows = rows.withColumn("_next", F.lead(held).over(inner)) if following else rows
-
-    edges = sliced.groupBy(*keys, "_slice").agg(
+    sliced = (
+        Bucketizer(splits=[-inf, *sorted(set(cuts)), inf], inputCol="_pos", outputCol="_b").transform(tagged)
+        .withColumn("_slice", F.when(F.col("_n").isNotNull(), F.col("_b")).otherwise(F.lit(0.0)))
+    )
+    edges = sliced.filter("_n is not null").groupBy(*keys, "_slice").agg(
         F.min_by(held, F.col(order)).alias("_first"), F.max_by(held, F.col(order)).alias("_last"))
-    outer = W.partitionBy(*keys).orderBy("_slice")
+    across = W.partitionBy(*keys).orderBy("_slice")
     edges = edges.select(
         *keys, "_slice",
-        F.lag("_last").over(outer).alias("_before"), F.lead("_first").over(outer).alias("_after"))
-    joined = rows.join(edges, [*keys, "_slice"])
-    made = [F.coalesce("_prev", "_before").getField(src).alias(new) for new, src in previous.items()]
-    made += [F.coalesce("_next", "_after").getField(src).alias(new) for new, src in following.items()]
-    return joined.select(*df.columns, *made)
+        F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after"))
+    joined = look(sliced, [*keys, "_slice"]).join(edges, [*keys, "_slice"], "left")
+    return finish(joined, F.coalesce("_prev", "_before"), F.coalesce("_next", "_after"))
 
 
 def days_ahead_sum(df: DataFrame, keys: Sequence[str], day: str, value: str, first: int, last: int,

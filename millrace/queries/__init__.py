@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.queries import q_columns, q_inventory, q_relational  # noqa: F401
+from millrace.queries import q_changes, q_columns, q_customers, q_inventory, q_relational  # noqa: F401
 from millrace.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
