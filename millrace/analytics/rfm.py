@@ -21,6 +21,12 @@ def daily_spend(orders: DataFrame) -> DataFrame:
     )
 
 
+def _cents(total: Column, n: Column) -> Column:
+    """A mean, floored at 0 and rounded half up in decimal arithmetic."""
+    mean = F.try_divide(total.cast("decimal(24,2)"), n)
+    return F.round(F.greatest(F.coalesce(mean, F.lit(0)), F.lit(0)), 2).cast("double")
+
+
 def _summarise(daily: DataFrame, until: Column) -> DataFrame:
     repeat = F.sum("amount") - F.min_by("amount", "invoice_date")
     days = F.count("*") - 1
@@ -28,8 +34,7 @@ def _summarise(daily: DataFrame, until: Column) -> DataFrame:
         days.cast("float").alias("frequency"),
         F.datediff(F.max("invoice_date"), F.min("invoice_date")).cast("float").alias("recency"),
         F.datediff(F.max(until), F.min("invoice_date")).cast("float").alias("T"),
-        F.round(F.greatest(F.coalesce(F.try_divide(repeat.cast("double"), days), F.lit(0.0)), F.lit(0.0)), 2)
-        .alias("monetary_value"),
+        _cents(repeat, days).alias("monetary_value"),
     )
 
 
@@ -50,12 +55,12 @@ def rfm_holdout(orders: DataFrame, holdout_days: int = 90) -> DataFrame:
     before = _summarise(daily.filter(F.col("invoice_date") < F.col("_cut")), F.col("_cut"))
     after = daily.filter(F.col("invoice_date") >= F.col("_cut")).groupBy("customer_id").agg(
         F.count("*").cast("double").alias("_n"),
-        (F.sum("amount").cast("double") / F.count("*")).alias("_mean"))
+        _cents(F.sum("amount"), F.count("*")).alias("_mean"))
     names = ("frequency", "recency", "T", "monetary_value")
     return before.join(after, "customer_id", "left").select(
         "customer_id", *[F.col(c).alias(f"{c}_cal") for c in names],
         F.coalesce("_n", F.lit(0.0)).alias("frequency_holdout"),
-        F.round(F.greatest(F.coalesce("_mean", F.lit(0.0)), F.lit(0.0)), 2).alias("monetary_value_holdout"),
+        F.coalesce("_mean", F.lit(0.0)).alias("monetary_value_holdout"),
         F.lit(float(holdout_days)).alias("duration_holdout"))
 
 
