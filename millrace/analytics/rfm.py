@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.operators.aggregates import quantile_cuts
+from millrace.scratch import materialise
 
 
 def daily_spend(orders: DataFrame) -> DataFrame:
@@ -87,6 +88,7 @@ DIRECTIONS: Mapping[str, bool] = {"recency": False, "frequency": True, "monetary
 
 
 def rfm_scores(summary: DataFrame, directions: Mapping[str, bool] = DIRECTIONS, error: float = 0.0) -> DataFrame:
+    summary = materialise(summary, "customer-summary")  # far smaller than the orders, read per score
     cuts = {c: quantile_cuts(summary, c, 6, error) for c in directions}
     return summary.select(
         "*", *[score(c, cuts[c], up).cast("int").alias(f"{c}_score") for c, up in directions.items()])

@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from millrace.queries import q_changes, q_columns, q_customers, q_inventory, q_relational  # noqa: F401
+from millrace.queries import (  # noqa: F401
+    q_changes, q_columns, q_customers, q_geo, q_inventory, q_relational, q_sources,
+)
 from millrace.queries.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
