@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.ml.feature import Bucketizer
 
+from millrace.operators.tables import keyed_join
 from millrace.scratch import materialise
 
 
@@ -18,7 +19,7 @@ def share_of_total(df: DataFrame, within: Sequence[str], value: str, name: str)
     """
     totals = df.groupBy(*within).agg(F.sum(value).cast("double").alias("_total"))
     return (
-        df.join(totals, list(within))
+        keyed_join(df, totals, within)
         .withColumn(name, F.try_divide(F.col(value).cast("double"), F.col("_total")))
         .drop("_total")
     )
@@ -141,7 +142,7 @@ def neighbours(
     at = F.col(order)
     if dict(df.dtypes)[order] in ("timestamp", "timestamp_ntz", "date"):
         at = F.unix_micros(at.cast("timestamp"))
-    tagged = df.join(hot, list(keys), "left").withColumn("_pos", at.cast("double"))
+    tagged = keyed_join(df, hot, keys, "left").withColumn("_pos", at.cast("double"))
     slices = int(min(10_000, -(-n_hot // max_rows) + 1))
     cuts = tagged.filter("_n is not null").approxQuantile(
         "_pos", [i / slices for i in range(1, slices)], 0.5 / slices)
@@ -156,7 +157,7 @@ def neighbours(
     edges = edges.select(
         *keys, "_slice",
         F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after"))
-    joined = look(sliced, [*keys, "_slice"]).join(edges, [*keys, "_slice"], "left")
+    joined = keyed_join(look(sliced, [*keys, "_slice"]), edges, [*keys, "_slice"], "left")
     return finish(joined, F.coalesce("_prev", "_before"), F.coalesce("_next", "_after"))
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.aggregates import neighbours
-from millrace.operators.tables import latest_by, pack
+from millrace.operators.tables import keyed_join, latest_by, pack
 
 DELETE_FLAG = "_deleted"
 
@@ -75,7 +75,7 @@ def _last_non_null(changes: DataFrame, keys: Sequence[str], sequence: Sequence[s
     at = pack(sequence)
     rows = _flag(changes, delete_when)
     gone = rows.filter(DELETE_FLAG).groupBy(*keys).agg(F.max(at).alias("_gone"))
-    alive = rows.join(gone, list(keys), "left").filter(
+    alive = keyed_join(rows, gone, keys, "left").filter(
         ~F.col(DELETE_FLAG) & (F.col("_gone").isNull() | (at > F.col("_gone"))))
     rest = [c for c in changes.columns if c not in keys and c not in sequence]
     last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in rest]
@@ -90,14 +90,18 @@ def scd2(
     delete_when: str | None = None,
     tracked: Sequence[str] | None = None,
     max_rows: int = 5_000_000,
+    unique: bool = True,
 ) -> DataFrame:
     """Validity intervals per key.
 
     A version starts where a tracked column differs from the previous change or
     the previous change was a delete; it ends at the next version or delete.
-    Untracked columns show the last change inside the version. ``sequence`` must
-    be unique per key.
+    Untracked columns show the last change inside the version. Changes of a key
+    that share a sequence value are reduced to the one with the largest values
+    when ``unique`` is False.
     """
+    if not unique:
+        changes = latest_by(changes, [*keys, sequence], [])
     rest = [c for c in changes.columns if c not in keys and c != sequence]
     tracked = list(tracked) if tracked is not None else rest
     loose = [c for c in rest if c not in tracked]
@@ -116,7 +120,7 @@ def scd2(
     closed = closed.filter(~F.col(DELETE_FLAG))
     if loose:
         final = rows.groupBy(*keys).agg(F.max_by("_now", sequence).alias("_final"))
-        closed = closed.join(final, list(keys))
+        closed = keyed_join(closed, final, keys)
         last = F.when(F.col("__END_AT").isNull(), F.col("_final")).otherwise(F.col("_until"))
     else:
         last = F.col("_now")

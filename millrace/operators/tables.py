@@ -19,6 +19,8 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     Ties beyond ``order`` are broken by the remaining columns.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.distinct()
     ranked = pack([*order, *rest])
     return (
         df.groupBy(*keys)
@@ -38,6 +40,14 @@ def earliest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     )
 
 
+def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on key columns in which NULL equals NULL, as it does in a grouping."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(renamed, on, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def grid(left: DataFrame, right: DataFrame, spread: int = 8) -> DataFrame:
     """Each row of one dimension paired with each row of another.
 

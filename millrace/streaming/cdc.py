@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators.changes import DELETE_FLAG, newest_changes, scd2
-from millrace.operators.tables import latest_by
+from millrace.operators.tables import keyed_join, latest_by
 from millrace.streaming.runs import EachBatch, write_batch
 
 
@@ -51,10 +51,10 @@ def scd2_batches(log: str, versions: str, keys: Sequence[str], sequence: str, de
         rows = spark.read.parquet(log)
         touched = rows.filter(F.col("batch_id") == batch_id).select(*keys).distinct()
         past = rows.filter(F.col("batch_id") <= batch_id).drop("batch_id")
-        past = past.join(touched, list(keys), "left_semi").dropDuplicates([*keys, sequence])
-        built = scd2(past, keys, sequence, delete_when, tracked)
+        past = keyed_join(past, touched, keys, "left_semi")
+        built = scd2(past, keys, sequence, delete_when, tracked, unique=False)
         # a key whose history became empty still has to hide its older versions
-        marked = touched.join(built, list(keys), "left")
+        marked = keyed_join(touched, built, keys, "left")
         write_batch(marked, versions, batch_id)
     return write
 
@@ -64,6 +64,6 @@ def scd2_table(spark: SparkSession, versions: str, keys: Sequence[str]) -> DataF
     rows = spark.read.parquet(versions)
     newest = rows.groupBy(*keys).agg(F.max("batch_id").alias("_newest"))
     return (
-        rows.join(newest, list(keys)).filter((F.col("batch_id") == F.col("_newest")) & F.col("__START_AT").isNotNull())
+        keyed_join(rows, newest, keys).filter((F.col("batch_id") == F.col("_newest")) & F.col("__START_AT").isNotNull())
         .drop("batch_id", "_newest")
     )
