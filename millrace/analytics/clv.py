@@ -40,6 +40,7 @@ def gamma_gamma_loglik(rows: pd.DataFrame, params: np.ndarray) -> np.ndarray:
             + (p * x - 1) * np.log(m) + p * x * np.log(x) - (p * x + q) * np.log(x * m + v))
 
 
+LIMIT = 10.0  # log parameters stay within +-LIMIT
 NODES, WEIGHTS = np.polynomial.legendre.leggauss(40)
 
 
@@ -93,38 +94,50 @@ def summed(stats: DataFrame, loglik: LogLik, candidates: Sequence[np.ndarray]) -
     return out
 
 
+def _spread(stats: DataFrame, label: str) -> DataFrame:
+    """Written once for all passes, in enough files to keep every core busy on little data."""
+    return materialise(stats.repartition(stats.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def maximise(stats: DataFrame, loglik: LogLik, start: Sequence[float], penalty: float,
              rounds: int = 25, tolerance: float = 1e-7) -> np.ndarray:
     """Damped Newton search over log parameters; derivatives and step lengths are batched."""
+    d, h = len(start), 1e-3
+    unit = np.eye(d) * h
+    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
+
     def value(points):
         return summed(stats, loglik, points) - penalty * np.array([np.sum(np.exp(p) ** 2) for p in points])
 
-    d, h = len(start), 1e-3
+    def around(p):
+        return [*[p + unit[i] for i in range(d)], *[p - unit[i] for i in range(d)],
+                *[p + unit[i] + unit[j] for i, j in pairs]]
+
     at = np.log(np.asarray(start, dtype="float64"))
-    unit = np.eye(d) * h
-    best = None
+    f = value([at, *around(at)])
     for _ in range(rounds):
-        pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
-        stencil = [at, *[at + unit[i] for i in range(d)], *[at - unit[i] for i in range(d)],
-                   *[at + unit[i] + unit[j] for i, j in pairs]]
-        f = value(stencil)
-        up, down, cross = f[1:d + 1], f[d + 1:2 * d + 1], f[2 * d + 1:]
+        here, up, down, cross = f[0], f[1:d + 1], f[d + 1:2 * d + 1], f[2 * d + 1:]
         slope = (up - down) / (2 * h)
-        curve = np.diag((up - 2 * f[0] + down) / h ** 2)
+        curve = np.diag((up - 2 * here + down) / h ** 2)
         for (i, j), c in zip(pairs, cross):
-            curve[i, j] = curve[j, i] = (c - up[i] - up[j] + f[0]) / h ** 2
+            curve[i, j] = curve[j, i] = (c - up[i] - up[j] + here) / h ** 2
         values, vectors = np.linalg.eigh(-curve)
         step = vectors @ ((vectors.T @ slope) / np.maximum(np.abs(values), 1e-4))
         step *= min(1.0, 2.0 / max(np.linalg.norm(step), 1e-12))
         uphill = slope / max(np.linalg.norm(slope), 1e-12)
-        tries = [at, *[at + step * k for k in (1.0, 0.5, 0.2, 0.05)], *[at + uphill * k for k in (0.5, 0.1, 0.02)]]
-        g = value(tries)
-        pick = int(np.argmax(g))
-        gain = g[pick] - g[0]
-        at, best = tries[pick], g[pick]
-        if pick == 0 or gain < tolerance:
+        moves = [*[step * k for k in (1.0, 0.5, 0.2, 0.05)], *[uphill * k for k in (0.5, 0.1, 0.02)]]
+        tries = [np.clip(at + m, -LIMIT, LIMIT) for m in moves]
+        # the derivatives at the full step are asked for in the same pass: it is the usual winner
+        g = value([*tries, *around(tries[0])])
+        pick = int(np.argmax(g[:len(tries)]))
+        gain = g[pick] - here
+        if not gain > 0:
+            break
+        at = tries[pick]
+        if gain < tolerance * (1.0 + abs(here)):
             break
-    if best is None or not np.isfinite(best):
+        f = np.concatenate([g[:1], g[len(tries):]]) if pick == 0 else value([at, *around(at)])
+    if not np.isfinite(f[0]):
         raise RuntimeError("the search found no finite likelihood")
     return np.exp(at)
 
@@ -138,7 +151,7 @@ def fit_spend(summary: DataFrame, penalty: float = 0.003, frequency: str = "freq
     repeat = summary.filter((F.col(frequency) > 0) & (F.col(value) > 0)).select(
         F.col(frequency).cast("double").alias("x"), F.col(value).cast("double").alias("m"))
     unit = repeat.agg(F.avg("m")).first()[0]
-    stats = materialise(repeat.select("x", (F.col("m") / unit).alias("m")).withColumn("n", F.lit(1.0)), "spend-stats")
+    stats = _spread(repeat.select("x", (F.col("m") / unit).alias("m"), F.lit(1.0).alias("n")), "spend-stats")
     p, q, v = maximise(stats, gamma_gamma_loglik, [2.0, 2.0, 1.0], penalty)
     return {"p": float(p), "q": float(q), "v": float(v * unit)}
 
@@ -160,7 +173,7 @@ def fit_retention(summary: DataFrame, penalty: float = 1.0, frequency: str = "fr
     triples = summary.groupBy(
         F.col(frequency).cast("double").alias("x"), (F.col(recency).cast("double") * scale).alias("tx"),
         (F.col(age).cast("double") * scale).alias("T")).agg(F.count("*").cast("double").alias("n"))
-    stats = materialise(triples, "retention-stats")
+    stats = _spread(triples, "retention-stats")
     r, alpha, s, beta = maximise(stats, pareto_nbd_loglik, [1.0, 1.0, 1.0, 1.0], penalty)
     return {"r": float(r), "alpha": float(alpha / scale), "s": float(s), "beta": float(beta / scale)}
 

@@ -58,6 +58,8 @@ class SeriesModel:
         gram = x.T @ x + np.diag(weight)
         self.beta = np.linalg.solve(gram, x.T @ target)
         rest = target - x @ self.beta
+        # back from logs to a mean, not a median
+        self.smear = float(np.exp(rest).mean())
         self.sigma = float(np.sqrt(rest @ rest / max(len(y) - x.shape[1], 1)))
         self.inverse = np.linalg.inv(gram)
 
@@ -68,11 +70,13 @@ class SeriesModel:
         n = 2 if self.s.growth else 1
         w = n + 2 * self.s.weekly
         back = lambda v: np.maximum(np.expm1(v), 0.0)
+        yhat = np.maximum(np.exp(mid) * self.smear - 1.0, 0.0)
         return pd.DataFrame({
             "trend": back(x[:, :n] @ self.beta[:n]),
             "weekly": np.expm1(x[:, n:w] @ self.beta[n:w]),
             "yearly": np.expm1(x[:, w:] @ self.beta[w:]),
-            "yhat": back(mid), "yhat_lower": back(mid - width), "yhat_upper": back(mid + width),
+            "yhat": yhat,
+            "yhat_lower": np.minimum(back(mid - width), yhat), "yhat_upper": np.maximum(back(mid + width), yhat),
         })
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.tables import grid, latest_by
+from millrace.operators.tables import grid, hot_keys, latest_by, salted_join
+from millrace.scratch import materialise
 
 
 def latest_snapshots(snapshots: DataFrame) -> DataFrame:
@@ -22,14 +23,24 @@ def countable_changes(changes: DataFrame, stores: DataFrame) -> DataFrame:
     )
 
 
-def _moved(changes: DataFrame, latest: DataFrame, how: str) -> DataFrame:
-    """Movements since the count, summed per item and store."""
-    counted = latest.select("item_id", "store_id", F.col("date_time").alias("_counted_at"))
+def moved_since(changes: DataFrame, latest: DataFrame, how: str = "inner", max_rows: int = 5_000_000) -> DataFrame:
+    """Movements since the count, summed per item and store.
+
+    Where one item of a store has more than ``max_rows`` movements, these are
+    summed per moment first and then dealt over several tasks for the join.
+    """
+    keys = ["item_id", "store_id"]
+    counted = latest.select(*keys, F.col("date_time").alias("_counted_at"))
+    hot = hot_keys(changes, keys, max_rows)
+    amount, rows = F.sum("quantity").alias("quantity"), F.count("*").alias("_rows")
+    steps = (changes.withColumn("_rows", F.lit(1)) if hot is None
+             else changes.groupBy(*keys, "date_time").agg(amount, rows))
     return (
-        changes.join(counted, ["item_id", "store_id"], how)
+        salted_join(steps, counted, keys, how, hot, ["date_time"])
         .filter(F.col("_counted_at").isNull() | (F.col("date_time") >= F.col("_counted_at")))
-        .groupBy("item_id", "store_id")
-        .agg(F.sum("quantity").alias("_moved"), F.max("date_time").alias("_moved_at"))
+        .groupBy(*keys)
+        .agg(F.sum("quantity").alias("_moved"), F.max("date_time").alias("_moved_at"),
+             F.sum("_rows").alias("_movements"))
     )
 
 
@@ -69,6 +80,7 @@ def current_stock(
         latest_snapshots(snapshots.select("item_id", "store_id", "date_time", "quantity"))
         .join(store, "store_id", "left_semi")
     )
+    latest = materialise(latest, "latest-counts")  # one row per item and store, read three times
     counts = latest.select(
         "item_id", "store_id",
         F.col("quantity").alias("_counted"), F.col("date_time").alias("_counted_at"),
@@ -79,7 +91,7 @@ def current_stock(
         rows = (
             grid(item, store)
             .join(counts, ["item_id", "store_id"], "left")
-            .join(_moved(kept, latest, "left"), ["item_id", "store_id"], "left")
+            .join(moved_since(kept, latest, "left"), ["item_id", "store_id"], "left")
         )
         return _stock(rows)
     if mode != "reference":
@@ -87,7 +99,8 @@ def current_stock(
 
     counted = (
         counts.join(item, "item_id")
-        .join(_moved(kept, latest, "inner"), ["item_id", "store_id"], "left")
+        .join(moved_since(kept, latest), ["item_id", "store_id"], "left")
+        .drop("_movements")
     )
     n_stores = store.agg(F.count("*")).scalar()
     seen = counts.groupBy("item_id").agg(F.count("*").alias("_seen"))
@@ -115,7 +128,7 @@ def transaction_documents(changes: DataFrame, part_size: int = 10_000) -> DataFr
     """
     key = ["trans_id"]
     rows = changes.withColumn("trans_id", F.expr("substring(trans_id, 2, length(trans_id) - 2)"))
-    sizes = rows.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(part_size)).alias("_parts"))
+    large = hot_keys(rows, key, part_size)
     # identical rows are first counted, so a repeated row is one entry however often it occurs
     counted = rows.groupBy("trans_id", "item_id", "quantity").agg(
         F.count("*").alias("_n"),
@@ -124,9 +137,13 @@ def transaction_documents(changes: DataFrame, part_size: int = 10_000) -> DataFr
         F.min("change_type_id").alias("change_type_id"),
     )
     copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
-    parted = copies.join(sizes, key).withColumn(
-        "part", F.pmod(F.xxhash64("item_id", "quantity", "_copy"), F.col("_parts")).cast("int")
-    )
+    if large is None:
+        parted = copies.withColumn("part", F.lit(0))
+    else:
+        # aim at half a part on average, so that no part outgrows the limit by the luck of the hash
+        parts = F.coalesce(F.ceil(F.col("_n_items") * 2 / F.lit(part_size)), F.lit(1))
+        deal = F.pmod(F.xxhash64("item_id", "quantity", "_copy"), parts).cast("int")
+        parted = copies.join(large.withColumnRenamed("_n", "_n_items"), key, "left").withColumn("part", deal)
     return parted.groupBy("trans_id", "part").agg(
         F.min("date_time").alias("date_time"),
         F.min("store_id").alias("store_id"),

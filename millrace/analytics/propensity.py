@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,8 +46,14 @@ WINDOWS = {
 }
 
 
-def with_last_day(tx: DataFrame) -> DataFrame:
-    return tx.withColumn(LAST, tx.agg(F.max("day")).scalar())
+def with_last_day(tx: DataFrame, windows: Sequence[str] | None = None) -> DataFrame:
+    """Stamp the last day on every row. With ``windows`` only the days they can reach are kept;
+    the bounds are constants, so the scan can skip older row groups."""
+    last = tx.agg(F.max("day")).first()[0]
+    if windows is not None and last is not None:
+        oldest = last - timedelta(days=max(WINDOWS[w].oldest for w in windows))
+        tx = tx.filter((F.col("day") >= F.lit(oldest)) & (F.col("day") <= F.lit(last)))
+    return tx.withColumn(LAST, F.lit(last).cast("date"))
 
 
 def _used(flag: str) -> Column:
@@ -195,15 +202,15 @@ def labels(tx: DataFrame, pairs: DataFrame) -> DataFrame:
     inside the task, which replaces a window over the zero-filled table.
     """
     weeks = purchase_weeks(tx)
-    ends = weeks.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    lo, hi = tx.agg(F.min(week_bucket("day")), F.max(week_bucket("day"))).first()
     # one entry per calendar week, so an array is as long as the calendar at most
     bought = weeks.filter("units <> 0").groupBy("household_key", "commodity_desc").agg(
         F.collect_list(F.struct("day", "units")).alias("_weeks"))
     keyed = (
         pairs.select("household_key", "commodity_desc").distinct()
         .join(bought, ["household_key", "commodity_desc"], "left")
-        .withColumn("_lo", ends.select("lo").scalar())
-        .withColumn("_hi", ends.select("hi").scalar())
+        .withColumn("_lo", F.lit(lo).cast("date"))
+        .withColumn("_hi", F.lit(hi).cast("date"))
     )
     # the spine stops before the last week
     spine = F.expr("if(_hi > _lo, sequence(_lo, date_sub(_hi, 1), interval 7 days), cast(array() as array<date>))")
@@ -228,29 +235,29 @@ def backfill(tx: DataFrame, pairs: DataFrame, weeks: int = 2, lag_days: int = 28
     transaction day up to it, as published, which a weekly lookup can miss.
     """
     longest = max(WINDOWS[w].oldest for w in windows)
-    newest = tx.agg(F.max(week_bucket("day"))).scalar()
-    top = F.date_sub(newest, lag_days)
-    base = tx.withColumn("_top", top)
-    # last transaction day up to each as-of day: one row, used as a scalar per offset
-    lasts = base.agg(*[
-        F.max(F.when(F.col("day") <= F.date_sub("_top", 7 * n), F.col("day"))).alias(f"l{n}") for n in range(weeks)])
+    newest = tx.agg(F.max(week_bucket("day"))).first()[0]
+    as_ofs = [newest - timedelta(days=lag_days + 7 * n) for n in range(weeks)]
+    # last transaction day up to each as-of day: one row with a column per as-of day
+    lasts = tx.agg(*[F.max(F.when(F.col("day") <= F.lit(d), F.col("day"))) for d in as_ofs]).first()
+    known = [(d, last) for d, last in zip(as_ofs, lasts) if last is not None]
+    if stamp != "as_of":  # as-of days that share their last transaction day are one feature day
+        known = [(d, last) for last, d in {last: d for d, last in known}.items()]
+    if not known:
+        raise ValueError("no transactions up to the first as-of day")
     anchors = F.array(*[
-        F.struct(F.date_sub(F.col("_top"), 7 * n).alias("as_of"), lasts.select(f"l{n}").scalar().alias("last"))
-        for n in range(weeks)])
-    spread = base.select(*tx.columns, F.inline(anchors)).filter(
-        (F.col("day") <= F.col("last")) & (F.datediff("last", "day") <= longest)).withColumnRenamed("last", LAST)
-    stamped = F.col("as_of") if stamp == "as_of" else F.col(LAST)
-    spread = spread.select(*tx.columns, LAST, stamped.alias("feature_day"))
-    one = tx.sparkSession.range(1).withColumn("_top", top)
-    anchor_days = one.select(F.inline(anchors)).select(
-        (F.col("as_of") if stamp == "as_of" else F.col("last")).alias("feature_day"))
+        F.struct(F.lit(d).alias("as_of"), F.lit(last).alias(LAST)) for d, last in known])
+    first, final = min(last for _, last in known), max(last for _, last in known)
+    reach = tx.filter((F.col("day") >= F.lit(first - timedelta(days=longest))) & (F.col("day") <= F.lit(final)))
+    spread = reach.select("*", F.inline(anchors)).filter(
+        (F.col("day") <= F.col(LAST)) & (F.datediff(LAST, "day") <= longest))
+    spread = spread.select(*tx.columns, LAST, (F.col("as_of") if stamp == "as_of" else F.col(LAST)).alias("feature_day"))
+    days_each = F.array_distinct(F.array(*[F.lit(d if stamp == "as_of" else last) for d, last in known]))
     both = []
     for keys, suffix in ((["household_key"], ""), (["household_key", "commodity_desc"], "_cmd")):
         by = [*keys, "feature_day"]
         f = summary_features(spread, by, windows)
         f = with_ratios(f, by, windows) if ratios else f
         both.append(f.select(*by, *[F.col(c).alias(_suffixed(c, suffix, windows)) for c in f.columns if c not in by]))
-    days_each = anchor_days.agg(F.sort_array(F.collect_set("feature_day"))).scalar()  # at most ``weeks`` days
     anchor = pairs.select("household_key", "commodity_desc").distinct().withColumn("feature_day", F.explode(days_each))
     out = anchor.join(both[0], ["household_key", "feature_day"], "left").join(
         both[1], ["household_key", "commodity_desc", "feature_day"], "left")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.ml.feature import Bucketizer
 
-from millrace.operators.tables import keyed_join
+from millrace.operators.tables import hot_keys, keyed_join
 from millrace.scratch import materialise
 
 
@@ -133,16 +133,15 @@ def neighbours(
         made += [nxt.getField(src).alias(new) for new, src in following.items()]
         return rows.select(*df.columns, *made)
 
-    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
-    hot = materialise(hot, "hot-keys")  # at most rows / max_rows entries
-    n_hot = hot.agg(F.sum("_n")).first()[0]
-    if not n_hot:
+    hot = hot_keys(df, keys, max_rows)
+    if hot is None:
         return finish(look(df, keys), F.col("_prev"), F.col("_next"))
 
     at = F.col(order)
     if dict(df.dtypes)[order] in ("timestamp", "timestamp_ntz", "date"):
         at = F.unix_micros(at.cast("timestamp"))
     tagged = keyed_join(df, hot, keys, "left").withColumn("_pos", at.cast("double"))
+    n_hot = hot.agg(F.sum("_n")).first()[0]
     slices = int(min(10_000, -(-n_hot // max_rows) + 1))
     cuts = tagged.filter("_n is not null").approxQuantile(
         "_pos", [i / slices for i in range(1, slices)], 0.5 / slices)

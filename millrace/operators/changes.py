@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.operators.aggregates import neighbours
-from millrace.operators.tables import keyed_join, latest_by, pack
+from millrace.operators.tables import hot_keys, keyed_join, latest_by, pack, salted_join
 
 DELETE_FLAG = "_deleted"
 
@@ -70,12 +70,13 @@ def scd1(
 
 
 def _last_non_null(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str],
-                   delete_when: str | None) -> DataFrame:
+                   delete_when: str | None, max_rows: int = 5_000_000) -> DataFrame:
     """Per column the last non-NULL value since the key's last delete."""
     at = pack(sequence)
     rows = _flag(changes, delete_when)
     gone = rows.filter(DELETE_FLAG).groupBy(*keys).agg(F.max(at).alias("_gone"))
-    alive = keyed_join(rows, gone, keys, "left").filter(
+    marked = salted_join(rows, gone, keys, "left", hot_keys(rows, keys, max_rows), sequence)
+    alive = marked.filter(
         ~F.col(DELETE_FLAG) & (F.col("_gone").isNull() | (at > F.col("_gone"))))
     rest = [c for c in changes.columns if c not in keys and c not in sequence]
     last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c) for c in rest]

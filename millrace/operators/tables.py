@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.scratch import materialise
+
 
 def pack(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in cols])
@@ -48,6 +50,35 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_right_{k}" for k in keys])
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows and their count ``_n``, or None if there are none.
+
+    One counting pass. The result has at most rows / max_rows entries and is
+    written, so the planner knows its size when it is joined.
+    """
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
+    hot = materialise(counted, "hot-keys")
+    return None if hot.isEmpty() else hot
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None,
+                spread: Sequence[str], salts: int = 64) -> DataFrame:
+    """``big`` joined to ``small`` (one row per key) with the rows of hot keys dealt over ``salts`` tasks.
+
+    Only rows of hot keys get a salt, from a hash of the ``spread`` columns, and
+    only their row of ``small`` is repeated. Without hot keys it is a plain join.
+    """
+    if hot is None:
+        return keyed_join(big, small, keys, how)
+    mark = hot.select(*keys, F.lit(True).alias("_hot"))
+    deal = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    dealt = keyed_join(big, mark, keys, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), deal).otherwise(F.lit(0))).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = keyed_join(small, mark, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return keyed_join(dealt, repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def grid(left: DataFrame, right: DataFrame, spread: int = 8) -> DataFrame:
     """Each row of one dimension paired with each row of another.
 

@@ -10,6 +10,7 @@ from millrace.operators.tables import grid
 from millrace.queries import inputs
 from millrace.queries.inputs import ORDERS_SQL, TRANSACTIONS_SQL
 from millrace.queries.registry import query
+from millrace.queries.staging import staged
 
 
 
@@ -79,12 +80,16 @@ def m3(t):
 # ---- household features --------------------------------------------------------------------
 
 def tx(t):
-    return clean.normalise_transactions(inputs.raw_transactions(t))
+    """The normalised transactions as a table, written once and ordered by day, so that the many
+    passes over it neither repeat the joins nor read days outside their window."""
+    path = staged(t, "transactions", lambda p: clean.normalise_transactions(inputs.raw_transactions(t))
+                  .repartitionByRange("day").sortWithinPartitions("day").write.parquet(p))
+    return t.spark.read.parquet(path)
 
 
 def pairs(t):
     """Every household with every commodity."""
-    base = inputs.raw_transactions(t)
+    base = tx(t)
     return grid(base.select("household_key").distinct(), base.select("commodity_desc").distinct())
 
 
@@ -134,7 +139,7 @@ def features_sql(keys, windows, with_ratios=False):
 
 def _anchored(t, keys, windows, ratios=False):
     rows = tx(t)
-    f = pro.summary_features(pro.with_last_day(rows), keys, windows)
+    f = pro.summary_features(pro.with_last_day(rows, windows), keys, windows)
     f = pro.with_ratios(f, keys, windows) if ratios else f
     return rows.select(*keys).distinct().join(f, list(keys), "left")
 
@@ -161,7 +166,7 @@ def m20(t):
 WITH {TRANSACTIONS_SQL}, {summary_sql(["household_key"], ["90d"])}
 SELECT household_key, {', '.join(f"CAST(days_since_{d}_90d AS DOUBLE) AS days_since_{d}_90d" for d in pro.DISCOUNTS)} FROM w90d""")
 def m21(t):
-    f = pro.summary_features(pro.with_last_day(tx(t)), ["household_key"], ["90d"])
+    f = pro.summary_features(pro.with_last_day(tx(t), ["90d"]), ["household_key"], ["90d"])
     return f.select("household_key", *[f"days_since_{d}_90d" for d in pro.DISCOUNTS])
 
 
@@ -256,7 +261,7 @@ SELECT commodity_desc, CAST(sum(amount_list) AS DOUBLE) AS amount_list, CAST(sum
        CAST(sum(total_coupon_discount) AS DOUBLE) AS total_coupon, CAST(sum(instore_discount) AS DOUBLE) AS instore
 FROM tx GROUP BY 1""")
 def m28(t):
-    return tx(t).groupBy("commodity_desc").agg(
+    return clean.normalise_transactions(inputs.raw_transactions(t)).groupBy("commodity_desc").agg(
         F.sum("amount_list").alias("amount_list"), F.sum("amount_paid").alias("amount_paid"),
         F.sum("campaign_coupon_discount").alias("campaign"), F.sum("manuf_coupon_discount").alias("manuf"),
         F.sum("total_coupon_discount").alias("total_coupon"), F.sum("instore_discount").alias("instore"))

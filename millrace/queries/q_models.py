@@ -44,12 +44,14 @@ def x3(t):
 @query("m12_allocated_forecast", f"""
 WITH {SALES_SQL}, daily AS (SELECT item, date, sum(sales) AS y FROM sales GROUP BY ALL),
 share AS (SELECT store, item, CAST(sum(sales) AS DOUBLE) / CAST(sum(sum(sales)) OVER (PARTITION BY item) AS DOUBLE) AS ratio FROM sales GROUP BY store, item)
-SELECT strftime(date, '%Y-%m-%d') AS date, store, item, CAST(y AS DOUBLE) * ratio AS sales FROM daily JOIN share USING (item)
-WHERE date >= DATE '2001-06-01'""")
+SELECT store, item, count(*) AS days, min(CAST(y AS DOUBLE) * ratio) AS lowest, max(CAST(y AS DOUBLE) * ratio) AS highest,
+       strftime(max(date), '%Y-%m-%d') AS last_day FROM daily JOIN share USING (item) GROUP BY ALL""")
 def m12(t):
-    """The actual sales side of the allocation, from the day the last season starts."""
-    rows = fc.allocated_forecast(inputs.sales(t))
-    return rows.filter("sales is not null and date >= date'2001-06-01'").select("date", "store", "item", "sales")
+    """The history side of the allocation, summarised per store and item."""
+    rows = fc.allocated_forecast(inputs.sales(t)).filter("sales is not null")
+    return rows.groupBy("store", "item").agg(
+        F.count("*").alias("days"), F.min("sales").alias("lowest"), F.max("sales").alias("highest"),
+        F.max("date").alias("last_day"))
 
 
 @query("m12_allocated_forecast_totals")

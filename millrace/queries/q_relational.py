@@ -129,11 +129,11 @@ FROM change c LEFT JOIN latest l ON c.item_id = l.item_id AND c.store_id = l.sto
 def j4(t):
     latest = inventory.latest_snapshots(inputs.snapshots(t)).select(
         "item_id", "store_id", F.col("quantity").alias("counted"))
-    return (
-        inputs.changes(t).join(latest, ["item_id", "store_id"], "left").groupBy("item_id", "store_id")
-        .agg(F.count("*").alias("n"), F.count("counted").alias("matched"),
-             F.sum(F.coalesce("counted", F.lit(0))).alias("counted"))
-    )
+    # summed per pair before the join, so both sides have one row per key
+    moves = inputs.changes(t).groupBy("item_id", "store_id").agg(F.count("*").alias("n"))
+    return moves.join(latest, ["item_id", "store_id"], "left").select(
+        "item_id", "store_id", "n", F.when(F.col("counted").isNotNull(), F.col("n")).otherwise(0).alias("matched"),
+        (F.col("n") * F.coalesce("counted", F.lit(0))).alias("counted"))
 
 
 @query("j5_dimension_grid", f"""
@@ -163,14 +163,11 @@ SELECT s.item_id, s.store_id, strftime(s.date_time, '%Y-%m-%d') AS counted_on,
 FROM latest s LEFT JOIN change c
   ON s.item_id = c.item_id AND s.store_id = c.store_id AND c.date_time >= s.date_time GROUP BY ALL""")
 def j7(t):
-    s = inventory.latest_snapshots(inputs.snapshots(t)).select(
-        "item_id", "store_id", F.col("date_time").alias("at")).alias("s")
-    c = inputs.changes(t).alias("c")
-    on = ((F.col("s.item_id") == F.col("c.item_id")) & (F.col("s.store_id") == F.col("c.store_id"))
-          & (F.col("c.date_time") >= F.col("s.at")))
-    return s.join(c, on, "left").groupBy(
-        "s.item_id", "s.store_id", F.col("s.at").cast("date").alias("counted_on")).agg(
-        F.count("c.quantity").alias("n_later"), F.coalesce(F.sum("c.quantity"), F.lit(0)).alias("moved"))
+    latest = inventory.latest_snapshots(inputs.snapshots(t))
+    later = inventory.moved_since(inputs.changes(t), latest)
+    return latest.join(later, ["item_id", "store_id"], "left").select(
+        "item_id", "store_id", F.col("date_time").cast("date").alias("counted_on"),
+        F.coalesce("_movements", F.lit(0)).cast("bigint").alias("n_later"), F.coalesce("_moved", F.lit(0)).alias("moved"))
 
 
 @query("j8_inner_join_negated_filter", f"""

@@ -40,17 +40,24 @@ def compact_scd1(spark: SparkSession, base: str, keys: Sequence[str], sequence:
 
 
 def scd2_batches(log: str, versions: str, keys: Sequence[str], sequence: str, delete_when: str | None = None,
-                 tracked: Sequence[str] | None = None) -> EachBatch:
+                 tracked: Sequence[str] | None = None, buckets: int = 16) -> EachBatch:
     """Append the batch to a change log, then recompute the histories of the keys it touched.
 
-    Rows may arrive in any order, because a touched key is rebuilt from its whole log.
+    Rows may arrive in any order, because a touched key is rebuilt from its whole
+    log. The log is split by a hash of the key and only the touched buckets are read.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        write_batch(df, log, batch_id)
+        # rebalancing gathers each bucket into few files and still splits a hot one
+        split = df.withColumn("_bucket", bucket).hint("rebalance", "_bucket")
+        write_batch(split, log, batch_id, ["_bucket"])
         rows = spark.read.parquet(log)
-        touched = rows.filter(F.col("batch_id") == batch_id).select(*keys).distinct()
-        past = rows.filter(F.col("batch_id") <= batch_id).drop("batch_id")
+        touched = rows.filter(F.col("batch_id") == batch_id).select(*keys, "_bucket").distinct()
+        used = [r[0] for r in touched.select("_bucket").distinct().collect()]  # at most ``buckets`` numbers
+        touched = touched.drop("_bucket")
+        past = rows.filter((F.col("batch_id") <= batch_id) & F.col("_bucket").isin(used)).drop("batch_id", "_bucket")
         past = keyed_join(past, touched, keys, "left_semi")
         built = scd2(past, keys, sequence, delete_when, tracked, unique=False)
         # a key whose history became empty still has to hide its older versions
