@@ -72,8 +72,13 @@ def main(argv):
     if argv[:1] == ["--sf"]:
         sf, argv = argv[1], argv[2:]
     import __spark_entry__ as entry
-    from millrace.session import local_session
-    spark = local_session()
+    if os.environ.get("CHECK_PLAIN_SESSION"):  # whatever settings Spark starts with
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from millrace.session import local_session
+        spark = local_session()
     con = duck(sf)
     sqls = entry.oracle_sql()
     bad = 0
