@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.aggregates import share_of_total
 from millrace.operators.tables import keyed_join
+from millrace.session import task_count
 
 YEAR, WEEK = 365.25, 7.0
 Z95 = 1.959963984540054  # two-sided 95 %
@@ -90,8 +91,7 @@ def _key_ddl(df: DataFrame, keys: Sequence[str]) -> str:
 
 
 def _tasks(df: DataFrame, tasks: int | None) -> int:
-    return tasks or max(df.sparkSession.sparkContext.defaultParallelism,
-                        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return tasks or task_count(df.sparkSession)
 
 
 def forecast(sales: DataFrame, keys: Sequence[str], horizon: int = 90, settings: Settings = Settings(),

@@ -12,6 +12,8 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.session import task_count
+
 AMOUNTS = ["amount_list", "instore_discount", "campaign_coupon_discount", "manuf_coupon_discount",
            "total_coupon_discount", "amount_paid"]
 DISCOUNTS = ["instore_discount", "campaign_coupon_discount", "manuf_coupon_discount", "total_coupon_discount"]
@@ -206,22 +208,29 @@ def labels(tx: DataFrame, pairs: DataFrame) -> DataFrame:
     # one entry per calendar week, so an array is as long as the calendar at most
     bought = weeks.filter("units <> 0").groupBy("household_key", "commodity_desc").agg(
         F.collect_list(F.struct("day", "units")).alias("_weeks"))
+    # a pair is a few bytes but becomes hundreds of rows: keep the partitions from being coalesced
     keyed = (
-        pairs.select("household_key", "commodity_desc").distinct()
+        pairs.select("household_key", "commodity_desc")
+        .repartition(task_count(tx.sparkSession), "household_key", "commodity_desc").distinct()
         .join(bought, ["household_key", "commodity_desc"], "left")
         .withColumn("_lo", F.lit(lo).cast("date"))
         .withColumn("_hi", F.lit(hi).cast("date"))
     )
+    # weeks whose following 30 days sum to more than nothing, worked out once per pair
+    keyed = keyed.withColumn("_positive", F.expr("""
+        filter(
+            array_distinct(flatten(transform(_weeks, w -> transform(sequence(1, 4), k -> date_sub(w.day, 7 * k))))),
+            d -> aggregate(filter(_weeks, w -> w.day > d and w.day <= date_add(d, 30) and w.day < _hi),
+                           0L, (a, w) -> a + w.units) > 0)""")).drop("_weeks")
     # the spine stops before the last week
     spine = F.expr("if(_hi > _lo, sequence(_lo, date_sub(_hi, 1), interval 7 days), cast(array() as array<date>))")
-    rows = keyed.select("household_key", "commodity_desc", "_weeks", "_lo", "_hi", F.explode(spine).alias("day"))
-    ahead = F.expr("""aggregate(
-        filter(_weeks, w -> w.day > day and datediff(w.day, day) <= 30 and w.day < _hi),
-        0L, (a, w) -> a + w.units)""")
+    flagged = F.transform(spine, lambda d: F.struct(
+        d.alias("day"), F.coalesce(F.array_contains("_positive", d), F.lit(False)).alias("_hit")))
+    rows = keyed.select("household_key", "commodity_desc", "_hi", F.inline(flagged))
     has_later = F.date_add("day", 7) < F.col("_hi")
     return rows.select(
         "household_key", "commodity_desc", "day",
-        F.when(has_later, (F.coalesce(ahead, F.lit(0)) > 0).cast("int")).alias("will_by_in_30_days"))
+        F.when(has_later, F.col("_hit").cast("int")).alias("will_by_in_30_days"))
 
 
 # ---- backfill and training sets ------------------------------------------------------------

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-FEATURE_SCHEMA = """struct<properties: struct<zone: string, zone_id: int>,
+FEATURE_SCHEMA = """struct<properties: struct<zone: string, zone_id: bigint>,
     geometry: struct<type: string, coordinates: array<array<array<double>>>>>"""
 COLLECTION_SCHEMA = f"type string, features array<{FEATURE_SCHEMA}>"
 

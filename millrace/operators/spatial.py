@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import geo
+from millrace.session import task_count
 
 
 def _boxes(rows: DataFrame, lo_x: Column, hi_x: Column, lo_y: Column, hi_y: Column) -> DataFrame:
@@ -40,7 +41,7 @@ def tessellate(zones: DataFrame, ring: str, size: float, coarse: int = 8) -> Dat
         geo.step(F.array_min("_ys"), block), geo.step(F.array_max("_ys"), block)).drop("_xs", "_ys")
     blocks = _classify(blocks, block).select(
         *others, "_sides", F.col("_edge").alias("_block_edge"), F.col("_ix").alias("_bx"), F.col("_iy").alias("_by"))
-    blocks = blocks.repartition(*others, "_bx", "_by")
+    blocks = blocks.repartition(task_count(zones.sparkSession), "_bx", "_by")
     first_x, first_y = F.col("_bx") * coarse, F.col("_by") * coarse
     cells = _boxes(blocks, first_x, first_x + (coarse - 1), first_y, first_y + (coarse - 1))
     inside = cells.filter(~F.col("_block_edge")).withColumn("_edge", F.lit(False))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.scratch import materialise
+from millrace.session import task_count
 
 
 def pack(cols: Sequence[str]) -> Column:
@@ -91,6 +92,7 @@ def grid(left: DataFrame, right: DataFrame, spread: int = 8) -> DataFrame:
     lhs = (
         left.withColumn("_a", F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int"))
         .withColumn("_b", F.explode(span))
+        .repartition(task_count(left.sparkSession), "_a", "_b")
     )
     rhs = (
         right.withColumn("_b", F.pmod(F.xxhash64(*right.columns), F.lit(spread)).cast("int"))

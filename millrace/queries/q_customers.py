@@ -186,11 +186,12 @@ labels AS (SELECT household_key, commodity_desc, day, CAST(sum(units) OVER (
 
 
 @query("m22_weekly_spine", f"""
-WITH {LABEL_SQL} SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS pairs, count(DISTINCT household_key) AS households FROM dense GROUP BY 1""")
+WITH {LABEL_SQL} SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS pairs, min(household_key) AS lowest, max(household_key) AS highest FROM dense GROUP BY 1""")
 def m22(t):
     """The whole spine, summarised per week."""
     rows = pro.labels(tx(t), pairs(t))
-    return rows.groupBy("day").agg(F.count("*").alias("pairs"), F.count_distinct("household_key").alias("households"))
+    return rows.groupBy("day").agg(F.count("*").alias("pairs"), F.min("household_key").alias("lowest"),
+                                   F.max("household_key").alias("highest"))
 
 
 @query("m23_purchase_labels", f"""

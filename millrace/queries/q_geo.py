@@ -1,4 +1,4 @@
-"""Zone and trip queries. A zone is a nation drawn on a 5 x 5 board, a trip is an event."""
+"""Zone and trip queries. A zone is a supplier drawn on a board 25 fields wide, a trip is an event."""
 
 from __future__ import annotations
 
@@ -15,39 +15,50 @@ CONVEX = [(1, 1), (9, 2), (8, 9), (2, 8), (1, 1)]
 NOTCHED = [(1, 1), (9, 1), (9, 9), (5, 4), (1, 9), (1, 1)]
 
 
+WIDTH = 25
+
+
 def zone_features(t):
-    """GeoJSON-shaped features built from the nations."""
-    x0 = (F.col("n_nationkey") % 5 * 10).cast("double")
-    y0 = (F.floor(F.col("n_nationkey") / 5) * 10).cast("double")
+    """GeoJSON-shaped features built from the suppliers, numbered in blocks of 1000 per region."""
+    x0 = (F.col("s_suppkey") % WIDTH * 10).cast("double")
+    y0 = (F.floor(F.col("s_suppkey") / WIDTH) * 10).cast("double")
 
     def shape(points):
         return F.array(F.array(*[F.array(x0 + float(x), y0 + float(y)) for x, y in points]))
 
-    coordinates = F.when(F.col("n_nationkey") % 2 == 0, shape(CONVEX)).otherwise(shape(NOTCHED))
+    coordinates = F.when(F.col("s_suppkey") % 2 == 0, shape(CONVEX)).otherwise(shape(NOTCHED))
     feature = F.struct(
-        F.struct(F.col("n_name").alias("zone"), F.col("n_nationkey").alias("zone_id")).alias("properties"),
+        F.struct(F.col("s_name").alias("zone"), F.col("s_suppkey").alias("zone_id")).alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")).alias("geometry"))
-    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("r_name").alias("region"), feature.alias("feature"))
+    return (
+        t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(F.col("r_name").alias("region"), F.floor(F.col("s_suppkey") / 1000).alias("block"), feature.alias("feature"))
+    )
+
+
+def collections(t, **json_options):
+    """One GeoJSON text per region and block, so a text holds at most 1000 features."""
+    return zone_features(t).groupBy("region", "block").agg(F.collect_list("feature").alias("features")).select(
+        "region", "block", F.to_json(F.struct(F.col("region").alias("type"), "features"), json_options).alias("value"))
 
 
 def zones(t):
-    """Parsed from GeoJSON text, one collection per region."""
-    text = zone_features(t).groupBy("region").agg(F.collect_list("feature").alias("features")).select(
-        F.to_json(F.struct(F.col("region").alias("type"), "features")).alias("value"))
-    return geo.features(text).select("zone", "zone_id", geo.ring().alias("ring"))
+    """Parsed from GeoJSON text."""
+    return geo.features(collections(t)).select("zone", "zone_id", geo.ring().alias("ring"))
 
 
 def trips(t):
     e, u = F.col("event_id"), F.col("user_id")
+    height = t.supplier.agg((F.ceil(F.count("*") / WIDTH) * 1000).cast("bigint")).scalar()  # of the board, in hundredths
     k = F.get_json_object("props", "$.k").cast("int")
     return t.events.select(
         "event_id", F.col("event_type").alias("vendor_id"), F.col("ts").alias("pickup_datetime"),
         F.timestamp_add("MINUTE", k - 5, F.col("ts")).alias("dropoff_datetime"),
-        ((e * 37 + u) % 5000 / 100.0).cast("double").alias("pickup_longitude"),
-        ((e * 91 + u * 7) % 5000 / 100.0).cast("double").alias("pickup_latitude"),
-        ((e * 53 + u * 3) % 5000 / 100.0).cast("double").alias("dropoff_longitude"),
-        ((e * 71 + u * 11) % 5000 / 100.0).cast("double").alias("dropoff_latitude"),
+        ((e * 37 + u) % (WIDTH * 1000) / 100.0).cast("double").alias("pickup_longitude"),
+        ((e * 91 + u * 7) % height / 100.0).cast("double").alias("pickup_latitude"),
+        ((e * 53 + u * 3) % (WIDTH * 1000) / 100.0).cast("double").alias("dropoff_longitude"),
+        ((e * 71 + u * 11) % height / 100.0).cast("double").alias("dropoff_latitude"),
         (F.col("value") - 0.5).alias("trip_distance"), F.col("value").alias("fare_amount"),
         (F.col("value") + (k % 7) - 1).alias("total_amount"))
 
@@ -59,20 +70,21 @@ def _values(points):
 ZONES_SQL = f"""
 corner AS (SELECT 0 AS odd, * FROM (VALUES {_values(CONVEX)}) v(i, ox, oy)
            UNION ALL SELECT 1, * FROM (VALUES {_values(NOTCHED)}) v(i, ox, oy)),
-ring AS (SELECT n_name AS zone, n_nationkey AS zone_id, i, CAST(n_nationkey % 5 * 10 + ox AS DOUBLE) AS x,
-                CAST(n_nationkey // 5 * 10 + oy AS DOUBLE) AS y FROM nation JOIN corner ON n_nationkey % 2 = odd),
+ring AS (SELECT s_name AS zone, s_suppkey AS zone_id, i, CAST(s_suppkey % {WIDTH} * 10 + ox AS DOUBLE) AS x,
+                CAST(s_suppkey // {WIDTH} * 10 + oy AS DOUBLE) AS y FROM supplier JOIN corner ON s_suppkey % 2 = odd),
 side AS (SELECT a.zone, a.zone_id, a.x AS a_x, a.y AS a_y, b.x AS b_x, b.y AS b_y FROM ring a JOIN ring b
          ON a.zone_id = b.zone_id AND b.i = a.i + 1)"""
 
-TRIPS_SQL = """
+TRIPS_SQL = f"""
+board AS (SELECT CAST(ceil(count(*) / {WIDTH}) * 1000 AS BIGINT) AS height FROM supplier),
 trip AS (
   SELECT event_id, event_type AS vendor_id, ts AS pickup_datetime,
          ts + to_minutes(CAST(json_extract_string(props, '$.k') AS INTEGER) - 5) AS dropoff_datetime,
-         (event_id * 37 + user_id) % 5000 / 100.0 AS px, (event_id * 91 + user_id * 7) % 5000 / 100.0 AS py,
-         (event_id * 53 + user_id * 3) % 5000 / 100.0 AS dx, (event_id * 71 + user_id * 11) % 5000 / 100.0 AS dy,
+         (event_id * 37 + user_id) % {WIDTH * 1000} / 100.0 AS px, (event_id * 91 + user_id * 7) % height / 100.0 AS py,
+         (event_id * 53 + user_id * 3) % {WIDTH * 1000} / 100.0 AS dx, (event_id * 71 + user_id * 11) % height / 100.0 AS dy,
          value - 0.5 AS trip_distance, value AS fare_amount,
          value + CAST(json_extract_string(props, '$.k') AS INTEGER) % 7 - 1 AS total_amount
-  FROM events)"""
+  FROM events, board)"""
 
 
 def in_zone_sql(name, x, y):
@@ -105,7 +117,7 @@ CELL_OF = lambda x, y: (f"(CAST(floor({x} / {SIZE}) AS BIGINT) + 524288) * 10485
 
 
 @query("g1_geojson_features", f"""
-WITH {ZONES_SQL} SELECT zone, CAST(zone_id AS INTEGER) AS zone_id, count(*) AS points, min(x) AS min_x, max(y) AS max_y FROM ring GROUP BY ALL""")
+WITH {ZONES_SQL} SELECT zone, zone_id, count(*) AS points, min(x) AS min_x, max(y) AS max_y FROM ring GROUP BY ALL""")
 def g1(t):
     return zones(t).select(
         "zone", "zone_id", F.size("ring").cast("bigint").alias("points"),

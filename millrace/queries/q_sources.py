@@ -72,10 +72,11 @@ def s3(t):
 
 
 @query("s4_table_by_name", """
-SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def s4(t):
-    files.register_tables(t.spark, {n: f"{t.sf_dir}/{n}.parquet" for n in ("nation", "region")})
-    return t.spark.sql("select n_name, r_name from nation join region on n_regionkey = r_regionkey")
+    files.register_tables(t.spark, {n: f"{t.sf_dir}/{n}.parquet" for n in ("customer", "nation", "region")})
+    return t.spark.sql("""select c_custkey, n_name, r_name from customer
+                          join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
 
 
 def text_files(t):
@@ -118,10 +119,11 @@ def s7(t):
 
 
 @query("s8_incremental_multiline_json", """
-SELECT r_name AS type, count(*) AS features, min(n_name) AS first_zone FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
+SELECT r_name AS type, count(*) AS features, min(s_name) AS first_zone
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
 def s8(t):
     """One pretty-printed feature collection per file."""
-    src = staged(t, "zones-geojson", lambda p: geo_documents(t).select("region", "value").write.partitionBy("region").text(p))
+    src = zone_files(t)
     out, cp = work(t, "s8-out"), work(t, "s8-cp")
     stream = runs.new_files(t.spark, src, "json", geo.COLLECTION_SCHEMA, multiLine=True, recursiveFileLookup=True)
     runs.land(stream, out, cp)
@@ -129,11 +131,9 @@ def s8(t):
     return flat.groupBy("type").agg(F.count("*").alias("features"), F.min("f.properties.zone").alias("first_zone"))
 
 
-def geo_documents(t):
-    """Zones as GeoJSON text, one collection per region; the collection type holds the region."""
-    from millrace.queries.q_geo import zone_features
-    return zone_features(t).groupBy("region").agg(F.sort_array(F.collect_list("feature")).alias("features")).select(
-        "region", F.to_json(F.struct(F.col("region").alias("type"), "features"), {"pretty": "true"}).alias("value"))
+def zone_files(t):
+    from millrace.queries.q_geo import collections
+    return staged(t, "zones-geojson", lambda p: collections(t, pretty="true").write.partitionBy("region", "block").text(p))
 
 
 @query("s9_incremental_binary", BINARY_SQL)

@@ -440,8 +440,7 @@ def l3(t):
 
     def write(path):
         documents = transaction_documents(rows).drop("part")
-        documents.write.json(path)
-        documents.write.mode("append").json(path)
+        documents.unionByName(documents).write.json(path)
 
     documents = staged(t, "pos-documents", write)
     counts = staged_as(t, "pos-snapshots", inputs.snapshots(t), "csv", header=True,
@@ -454,10 +453,9 @@ def l3(t):
 
 @query("l4_taxi_zone_months", f"WITH {q_geo.BETWEEN_SQL} SELECT pickup_zone, month_id, {q_geo.TOTALS_SQL} FROM joined GROUP BY ALL")
 def l4(t):
-    from millrace.queries.q_sources import geo_documents
-    zone_files = staged(t, "zones-geojson", lambda p: geo_documents(t).select("region", "value").write.partitionBy("region").text(p))
+    from millrace.queries.q_sources import zone_files
     trips = staged_as(t, "taxi-trips", q_geo.trips(t), "parquet")
-    return taxi.run_taxi(t.spark, zone_files, trips, q_geo.SIZE)["zone_month"]
+    return taxi.run_taxi(t.spark, zone_files(t), trips, q_geo.SIZE)["zone_month"]
 
 
 @query("l5_change_feed_history", f"""

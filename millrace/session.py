@@ -25,6 +25,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def task_count(spark: SparkSession) -> int:
+    """Partitions for rows that are few and small but expand or cost much each. An explicit
+    number keeps adaptive execution from merging them by their size."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
     builder = (
