@@ -111,6 +111,7 @@ def neighbours(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     max_rows: int = 5_000_000,
+    hot: DataFrame | None | str = "look",
 ) -> DataFrame:
     """``lag``/``lead`` by one row over (keys, order) that holds up under a hot key.
 
@@ -119,7 +120,7 @@ def neighbours(
     in one task, which is right for keys up to ``max_rows``. Keys beyond it are
     cut into slices at the quantiles of their rows; neighbours are then taken
     inside a slice and the slice edges are stitched through a table that has one
-    row per hot key and slice.
+    row per hot key and slice. A caller that knows the hot keys passes them in.
     """
     previous, following = previous or {}, following or {}
     held = F.struct(*[F.col(c) for c in sorted({*previous.values(), *following.values()})])
@@ -133,7 +134,7 @@ def neighbours(
         made += [nxt.getField(src).alias(new) for new, src in following.items()]
         return rows.select(*df.columns, *made)
 
-    hot = hot_keys(df, keys, max_rows)
+    hot = hot_keys(df, keys, max_rows) if isinstance(hot, str) else hot
     if hot is None:
         return finish(look(df, keys), F.col("_prev"), F.col("_next"))
 

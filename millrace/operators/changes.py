@@ -108,7 +108,8 @@ def scd2(
     loose = [c for c in rest if c not in tracked]
     rows = _flag(changes, delete_when)
     rows = rows.select(*keys, sequence, DELETE_FLAG, pack(rest).alias("_now"))
-    seen = neighbours(rows, keys, sequence, max_rows=max_rows,
+    hot = hot_keys(rows, keys, max_rows)  # keys that are not hot here have no more edges than changes
+    seen = neighbours(rows, keys, sequence, max_rows=max_rows, hot=hot,
                       previous={"_was": "_now", "_was_deleted": DELETE_FLAG})
     differs = reduce(
         lambda a, b: a | b,
@@ -116,7 +117,7 @@ def scd2(
     starts = F.col("_was_deleted").isNull() | F.col("_was_deleted") | differs
     edges = seen.filter(F.col(DELETE_FLAG) | starts)
     # the change just before the next edge is the last one inside this version
-    closed = neighbours(edges, keys, sequence, max_rows=max_rows,
+    closed = neighbours(edges, keys, sequence, max_rows=max_rows, hot=hot,
                         following={"__END_AT": sequence, "_until": "_was"})
     closed = closed.filter(~F.col(DELETE_FLAG))
     if loose:

@@ -54,12 +54,11 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | None:
     """Keys with more than ``max_rows`` rows and their count ``_n``, or None if there are none.
 
-    One counting pass. The result has at most rows / max_rows entries and is
-    written, so the planner knows its size when it is joined.
+    One counting pass; if there are any, they are written (at most rows / max_rows
+    entries), so the planner knows their size when they are joined.
     """
     counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > max_rows)
-    hot = materialise(counted, "hot-keys")
-    return None if hot.isEmpty() else hot
+    return None if counted.isEmpty() else materialise(counted, "hot-keys")
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from millrace.functions.clean import token_to_null
 from millrace.operators import quality
 from millrace.operators.tables import earliest_by
-from millrace.scratch import scratch_path
+from millrace.scratch import materialise, scratch_path
 from millrace.streaming import cdc, runs
 
 TRIP_RULES = {
@@ -62,7 +62,9 @@ class Airline:
 
     def __init__(self, spark: SparkSession, source: str, airports: DataFrame, airlines: DataFrame, schema, fmt: str = "json"):
         self.spark, self.source, self.schema, self.fmt = spark, source, schema, fmt
-        self.airports, self.airlines = airport_table(airports), airline_table(airlines)
+        # small tables of known size, so that the streaming joins broadcast them and no carrier is a hot key
+        self.airports = materialise(airport_table(airports), "airports")
+        self.airlines = materialise(airline_table(airlines), "airlines")
         base = scratch_path(spark, "airline")
         self.bronze, self.silver, self.daily, self.scd1, self.log, self.scd2 = (
             f"{base}/{n}" for n in ("bronze", "silver", "daily", "scd1", "log", "scd2"))

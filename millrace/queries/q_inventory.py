@@ -21,39 +21,30 @@ kept AS (
   WHERE NOT (y.name = 'online' AND x.change_type = 'bopis'))
 """
 
-STOCK_SQL = f"""
-WITH {POS_SQL}, {KEPT_SQL},
+def stock_sql(inputs_sql, every_store=False):
+    """Pairs of item and store with their last count and what moved since; DISTINCT folds the
+    pairs without a count into one row, unless every store is wanted."""
+    store = "store.store_id" if every_store else "n.store_id"
+    since = "n.date_time IS NULL OR k.date_time >= n.date_time" if every_store else "k.date_time >= n.date_time"
+    how = "LEFT JOIN" if every_store else "JOIN"
+    return f"""
+WITH {inputs_sql}, {KEPT_SQL},
+pair AS (SELECT {store} AS store_id, item.item_id, item.name, n.quantity, n.date_time
+         FROM item CROSS JOIN store LEFT JOIN latest n ON n.item_id = item.item_id AND n.store_id = store.store_id),
+later AS (SELECT k.item_id, k.store_id, sum(k.quantity) AS moved, max(k.date_time) AS moved_at
+          FROM kept k {how} latest n ON n.item_id = k.item_id AND n.store_id = k.store_id WHERE {since} GROUP BY ALL),
 stock AS (
-  SELECT s.store_id, i.item_id, min(i.name) AS name,
-         CAST(coalesce(min(s.quantity), 0) AS BIGINT) AS snapshot_quantity,
-         CAST(coalesce(sum(c.quantity), 0) AS BIGINT) AS change_quantity,
-         CAST(coalesce(min(s.quantity), 0) + coalesce(sum(c.quantity), 0) AS BIGINT) AS current_inventory,
-         min(s.date_time) AS last_inventory_date,
-         greatest(min(s.date_time), max(c.date_time)) AS last_change_quantity_date
-  FROM item i CROSS JOIN store
-  LEFT JOIN latest s ON s.item_id = i.item_id AND s.store_id = store.store_id
-  LEFT JOIN kept c ON s.item_id = c.item_id AND s.store_id = c.store_id
-       AND (c.date_time >= s.date_time OR s.date_time IS NULL)
-  GROUP BY i.item_id, s.store_id)
+  SELECT DISTINCT pair.store_id, pair.item_id, name, CAST(coalesce(quantity, 0) AS BIGINT) AS snapshot_quantity,
+         CAST(coalesce(moved, 0) AS BIGINT) AS change_quantity,
+         CAST(coalesce(quantity, 0) + coalesce(moved, 0) AS BIGINT) AS current_inventory,
+         date_time AS last_inventory_date, greatest(date_time, moved_at) AS last_change_quantity_date
+  FROM pair LEFT JOIN later ON later.item_id = pair.item_id AND later.store_id = pair.store_id)
 SELECT {STOCK_COLUMNS} FROM stock
 """
 
-FIXED_SQL = f"""
-WITH {POS_SQL}, {KEPT_SQL},
-stock AS (
-  SELECT store.store_id, i.item_id, min(i.name) AS name,
-         CAST(coalesce(min(s.quantity), 0) AS BIGINT) AS snapshot_quantity,
-         CAST(coalesce(sum(c.quantity), 0) AS BIGINT) AS change_quantity,
-         CAST(coalesce(min(s.quantity), 0) + coalesce(sum(c.quantity), 0) AS BIGINT) AS current_inventory,
-         min(s.date_time) AS last_inventory_date,
-         greatest(min(s.date_time), max(c.date_time)) AS last_change_quantity_date
-  FROM item i CROSS JOIN store
-  LEFT JOIN latest s ON s.item_id = i.item_id AND s.store_id = store.store_id
-  LEFT JOIN kept c ON i.item_id = c.item_id AND store.store_id = c.store_id
-       AND (c.date_time >= s.date_time OR s.date_time IS NULL)
-  GROUP BY i.item_id, store.store_id)
-SELECT {STOCK_COLUMNS} FROM stock
-"""
+
+STOCK_SQL = stock_sql(POS_SQL)
+FIXED_SQL = stock_sql(POS_SQL, every_store=True)
 
 
 @query("i1_current_stock", STOCK_SQL)

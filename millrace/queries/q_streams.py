@@ -12,9 +12,9 @@ from millrace.analytics.segments import register_model
 from millrace.plans import airline, feeds, stock, taxi, users
 from millrace.queries import inputs, q_changes, q_geo
 from millrace.queries.inputs import POS_SQL, TRIPS_SQL, USERS_SQL
-from millrace.queries.q_inventory import KEPT_SQL, STOCK_COLUMNS
+from millrace.queries.q_inventory import stock_sql
 from millrace.queries.registry import query
-from millrace.queries.staging import arrive, slices, staged, staged_as
+from millrace.queries.staging import arrive, finished, slices, staged, staged_as
 from millrace.scratch import scratch_path
 from millrace.streaming import cdc, runs
 
@@ -360,9 +360,14 @@ def i5(t):
 # ---- end-to-end jobs -----------------------------------------------------------------------
 
 def airline_job(t):
+    return finished(t, "airline", lambda: _airline_job(t))
+
+
+def _airline_job(t):
     src = scratch_path(t.spark, "airline-in")
     job = airline.Airline(t.spark, src, inputs.airports(t), inputs.airline_rows(t), inputs.trips(t).schema)
-    whole = inputs.trips(t).withColumn("_y", F.col("year_text").cast("int"))
+    trips = t.spark.read.parquet(staged_as(t, "trips", inputs.trips(t), "parquet"))
+    whole = trips.withColumn("_y", F.col("year_text").cast("int"))
     arrive([p.drop("_y") for p in slices(whole, "_y", 2)], src, "json", job.run)
     return job
 
@@ -405,22 +410,10 @@ def l2(t):
     return gold.select("id", "email", "firstname", "creation_date", "age", "annual_income", "spending_core", "segment")
 
 
-L3_SQL = f"""
-WITH {POS_SQL.replace("FROM lineitem WHERE l_returnflag <> 'A')", '''FROM (
+# identical documents are one document
+L3_SQL = stock_sql(POS_SQL.replace("FROM lineitem WHERE l_returnflag <> 'A')", """FROM (
     SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate
-    FROM lineitem) WHERE l_returnflag <> 'A')''')}, {KEPT_SQL},
-stock AS (
-  SELECT s.store_id, i.item_id, min(i.name) AS name,
-         CAST(coalesce(min(s.quantity), 0) AS BIGINT) AS snapshot_quantity,
-         CAST(coalesce(sum(c.quantity), 0) AS BIGINT) AS change_quantity,
-         CAST(coalesce(min(s.quantity), 0) + coalesce(sum(c.quantity), 0) AS BIGINT) AS current_inventory,
-         min(s.date_time) AS last_inventory_date,
-         greatest(min(s.date_time), max(c.date_time)) AS last_change_quantity_date
-  FROM item i CROSS JOIN store
-  LEFT JOIN latest s ON s.item_id = i.item_id AND s.store_id = store.store_id
-  LEFT JOIN kept c ON s.item_id = c.item_id AND s.store_id = c.store_id AND c.date_time >= s.date_time
-  GROUP BY i.item_id, s.store_id)
-SELECT {STOCK_COLUMNS} FROM stock"""
+    FROM lineitem) WHERE l_returnflag <> 'A')"""))
 
 
 @query("l3_inventory", L3_SQL)
@@ -476,6 +469,10 @@ def l5_latest(t):
 
 
 def _feed_job(t):
+    return finished(t, "feed", lambda: _run_feed(t))
+
+
+def _run_feed(t):
     before, after = q_changes.two_states(t)
     src = scratch_path(t.spark, "feed-in")
     job = feeds.FeedTargets(t.spark, src, ["id"], tracked=["bal", "seg"])

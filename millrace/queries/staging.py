@@ -21,6 +21,17 @@ def staged(t, name: str, write: Callable[[str], None]) -> str:
     return _written[key]
 
 
+_jobs: dict[tuple[str, str, str], object] = {}
+
+
+def finished(t, name: str, run: Callable[[], object]):
+    """A job that was run once per session and table directory, for queries on its several tables."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, name)
+    if key not in _jobs:
+        _jobs[key] = run()
+    return _jobs[key]
+
+
 def staged_as(t, name: str, df: DataFrame, fmt: str, files: int = 4, **options) -> str:
     return staged(t, f"{name}-{fmt}",
                   lambda path: df.repartition(files).write.format(fmt).options(**options).save(path))
