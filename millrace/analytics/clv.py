@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.scratch import materialise
+from millrace.session import task_count
 
 LogLik = Callable[[pd.DataFrame, np.ndarray], np.ndarray]
 
@@ -96,7 +97,7 @@ def summed(stats: DataFrame, loglik: LogLik, candidates: Sequence[np.ndarray]) -
 
 def _spread(stats: DataFrame, label: str) -> DataFrame:
     """Written once for all passes, in enough files to keep every core busy on little data."""
-    return materialise(stats.repartition(stats.sparkSession.sparkContext.defaultParallelism), label)
+    return materialise(stats, label, task_count(stats.sparkSession))
 
 
 def maximise(stats: DataFrame, loglik: LogLik, start: Sequence[float], penalty: float,

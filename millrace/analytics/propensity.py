@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -195,13 +195,14 @@ def purchase_weeks(tx: DataFrame) -> DataFrame:
         F.sum("units").alias("units"))
 
 
-def labels(tx: DataFrame, pairs: DataFrame) -> DataFrame:
+def labels(tx: DataFrame, pairs: DataFrame, days: Sequence[date] | None = None) -> DataFrame:
     """For each pair and week: was any unit bought in the 30 days after it?
 
     The last week is not part of the spine, and a week with no later week in
     the spine has a NULL label. Only pairs are shuffled: each carries the sorted
     weeks in which it bought, and the weekly spine is expanded after the join
-    inside the task, which replaces a window over the zero-filled table.
+    inside the task, which replaces a window over the zero-filled table. With
+    ``days`` only the labels of these weeks are expanded, from the same purchases.
     """
     weeks = purchase_weeks(tx)
     lo, hi = tx.agg(F.min(week_bucket("day")), F.max(week_bucket("day"))).first()
@@ -224,6 +225,8 @@ def labels(tx: DataFrame, pairs: DataFrame) -> DataFrame:
                            0L, (a, w) -> a + w.units) > 0)""")).drop("_weeks")
     # the spine stops before the last week
     spine = F.expr("if(_hi > _lo, sequence(_lo, date_sub(_hi, 1), interval 7 days), cast(array() as array<date>))")
+    if days is not None:
+        spine = F.array_intersect(spine, F.array(*[F.lit(d) for d in days]).cast("array<date>"))
     flagged = F.transform(spine, lambda d: F.struct(
         d.alias("day"), F.coalesce(F.array_contains("_positive", d), F.lit(False)).alias("_hit")))
     rows = keyed.select("household_key", "commodity_desc", "_hi", F.inline(flagged))

@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.clean import relabel
+from millrace.scratch import materialise
+from millrace.session import task_count
 
 
 def fit_segments(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, scale: bool = True) -> PipelineModel:
@@ -21,16 +23,18 @@ def fit_segments(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42,
     if scale:
         stages.append(MinMaxScaler(min=0.0, max=10.0, inputCol="_raw", outputCol="_features"))
     stages.append(KMeans(k=k, seed=seed, maxIter=30, featuresCol="_features" if scale else "_raw", predictionCol="cluster"))
-    return Pipeline(stages=stages).fit(df)
+    ready = materialise(df.select(*columns), "segment-input", task_count(df.sparkSession))
+    return Pipeline(stages=stages).fit(ready)
 
 
 def elbow(df: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
     """Within-cluster squared distance for each number of clusters."""
+    source = materialise(df.select(*columns), "elbow-input", task_count(df.sparkSession))
     prep = Pipeline(stages=[
         VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
         MinMaxScaler(min=0.0, max=10.0, inputCol="_raw", outputCol="_features"),
-    ]).fit(df)
-    ready = prep.transform(df).select("_features").persist()  # read once per k and iteration
+    ]).fit(source)
+    ready = prep.transform(source).select("_features").persist()  # read once per k and iteration
     try:
         costs = [(k, float(KMeans(k=k, seed=seed, maxIter=30, featuresCol="_features").fit(ready).summary.trainingCost))
                  for k in ks]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.analytics.segments import probability_of_one
 from millrace.scratch import materialise
+from millrace.session import task_count
 
 
 def text_model(texts: Sequence[str], numbers: Sequence[str], label: str, words: int = 1024,
@@ -35,6 +36,12 @@ def text_model(texts: Sequence[str], numbers: Sequence[str], label: str, words:
     return Pipeline(stages=[index, *stages])
 
 
+def fit_text_model(train: DataFrame, texts: Sequence[str], numbers: Sequence[str], label: str, **settings) -> PipelineModel:
+    """Fit on a written copy of the training rows, because every stage makes its own passes."""
+    kept = materialise(train.select(*texts, *numbers, label), "text-training", task_count(train.sparkSession))
+    return text_model(texts, numbers, label, **settings).fit(kept)
+
+
 def split_by_key(df: DataFrame, key: str, test_share: float) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key: the same rows on every run and retry."""
     side = F.pmod(F.xxhash64(F.col(key)), F.lit(1000)) < int(test_share * 1000)
@@ -77,7 +84,8 @@ def select_classifier(df: DataFrame, key: str, features: Sequence[str], label: s
                       test_share: float = 0.3, seed: int = 42) -> tuple[str, PipelineModel, list[tuple[str, float]]]:
     """Fit every candidate and keep the one with the highest area under the ROC curve."""
     ready = materialise(df.select(key, F.col(label).cast("double").alias(label), *[
-        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]), "training")
+        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]),
+        "training", task_count(df.sparkSession))
     train, test = split_by_key(ready, key, test_share)
     measure = BinaryClassificationEvaluator(labelCol=label)
     trials, best = [], None

@@ -250,8 +250,8 @@ def training(t):
     commodity = t.part.agg(F.min("p_type")).first()[0]
     rows, keys = tx(t), pairs(t)
     features = pro.backfill(rows, keys, weeks=1, windows=["30d"], ratios=False)
-    newest = rows.agg(F.date_sub(F.max(pro.week_bucket("day")), 28)).scalar()
-    wanted = pro.labels(rows, keys).filter(F.col("day") == newest)
+    newest = rows.agg(F.date_sub(F.max(pro.week_bucket("day")), 28)).first()[0]
+    wanted = pro.labels(rows, keys, [newest])
     return pro.training_set(features, wanted, commodity)
 
 
@@ -273,7 +273,7 @@ def m28(t):
 def j12(t):
     rows, keys = tx(t), pairs(t)
     features = pro.backfill(rows, keys, weeks=1, windows=["30d"], ratios=False)
-    newest = rows.agg(F.date_sub(F.max(pro.week_bucket("day")), 28)).scalar()
-    wanted = pro.labels(rows, keys).filter((F.col("day") == newest) & F.col("will_by_in_30_days").isNotNull())
+    newest = rows.agg(F.date_sub(F.max(pro.week_bucket("day")), 28)).first()[0]
+    wanted = pro.labels(rows, keys, [newest]).filter("will_by_in_30_days is not null")
     return wanted.join(features, ["household_key", "commodity_desc", "day"], "left").groupBy(
         "commodity_desc", "will_by_in_30_days", "line_items_30d").agg(F.count("*").alias("n"))

@@ -190,7 +190,7 @@ def m10(t):
 def classified(t):
     rows = t.documents.select("doc_id", "text", "source", F.col("n_chars").cast("double").alias("n_chars"), "lang")
     train, test = txt.split_by_key(rows, "doc_id", 0.33)
-    model = txt.text_model(["text", "source"], ["n_chars"], "lang").fit(train)
+    model = txt.fit_text_model(train, ["text", "source"], ["n_chars"], "lang")
     return model, rows, test
 
 
@@ -217,7 +217,8 @@ def propensity_training(t):
     rows, keys = q_customers.tx(t), q_customers.pairs(t)
     features = pro.backfill(rows, keys, weeks=2, windows=["30d"], ratios=False)
     names = [c for c in features.columns if c not in ("household_key", "commodity_desc", "day")]
-    label = pro.labels(rows, keys).filter(F.col("will_by_in_30_days").isNotNull())
+    days = [r[0] for r in features.select("day").distinct().collect()]  # the two backfilled days
+    label = pro.labels(rows, keys, days).filter(F.col("will_by_in_30_days").isNotNull())
     return features.join(label, ["household_key", "commodity_desc", "day"]), features, names
 
 

@@ -31,8 +31,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage with a written table that survives the loss of executors."""
+def materialise(df: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
+    """Cut lineage with a written table that survives the loss of executors.
+
+    ``tasks`` spreads the rows evenly, for readers that make many passes over them.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df if tasks is None else df.repartition(tasks)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -124,7 +124,7 @@ def test_score_directions(spark):
 def test_text_classifier_beats_the_majority(t):
     rows = t.documents.select("doc_id", "text", "source", F.col("n_chars").cast("double").alias("n_chars"), "lang")
     train, test = txt.split_by_key(rows, "doc_id", 0.33)
-    model = txt.text_model(["text", "source"], ["n_chars"], "lang", words=256, trees=10).fit(train)
+    model = txt.fit_text_model(train, ["text", "source"], ["n_chars"], "lang", words=256, trees=10)
     guessed = txt.predict_labels(model, test, "lang")
     most = test.groupBy("lang").count().agg(F.max("count") / F.sum("count")).first()[0]
     assert txt.micro_f1(guessed) > most

@@ -282,3 +282,11 @@ def test_scan_of_features_is_bounded(t):
 def test_scan_reads_only_needed_columns(t):
     plan = inputs.sales(t).groupBy("store").agg(F.sum("sales"))._jdf.queryExecution().toString()
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double>" in plan
+
+
+def test_labels_of_chosen_weeks_equal_the_whole_table(t):
+    from millrace.queries import q_customers as q
+    tx, pairs = q.tx(t), q.pairs(t)
+    whole = pro.labels(tx, pairs)
+    days = [r[0] for r in whole.select("day").distinct().orderBy(F.desc("day")).limit(3).collect()]
+    assert rows(pro.labels(tx, pairs, days)) == rows(whole.filter(F.col("day").isin(days)))
