@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, near_dup
+from millrace.llm import bpe, fingerprints, near_dup
+from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,16 +32,16 @@ ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcd
 
 ORACLES["op2_minhash_near_dup"] = rf"""
 WITH RECURSIVE w AS (
-    SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x20\x09-\x0D]+'), x -> x <> '') AS words FROM documents),
+    SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
 s AS (
     SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-        ELSE list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
 n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
 shared AS (
-    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
 link AS (
     SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-    WHERE 100 * both >= 75 * (x.n_shingles + y.n_shingles - both)),
+    WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)),
 reach AS (SELECT doc_id, doc_id AS seen FROM documents UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.seen),
 c AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n_shingles, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
@@ -48,6 +49,14 @@ FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_i
 """
 
 
+@query
+def op3_prefix_hash_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    docs = read(spark, sf_dir, "documents")
+    return fingerprints.edited_pairs(docs, 3 * task_count(spark)).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "same_prefix")
+
+
 @query
 def op5_byte_bpe(spark, sf_dir):
     """Token ids of every document and the bytes they decode to, as digests."""
