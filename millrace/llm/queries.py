@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, fingerprints, near_dup
+from millrace.llm import bpe, fingerprints, near_dup, pii
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_semi_markov_pii(spark, sf_dir):
+    """Personal data in every document: pattern spans, and those the semi-Markov field adds."""
+    found = pii.find(read(spark, sf_dir, "documents"), pii.train())
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op2_minhash_near_dup(spark, sf_dir):
     """Near-duplicate groups of all documents."""
