@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, fingerprints, near_dup, pii
+from millrace.llm import bpe, decontam, fingerprints, near_dup, pii
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,33 @@ def op5_byte_bpe(spark, sf_dir):
     import public_tokenizers as vocabularies
     out = bpe.round_trip(read(spark, sf_dir, "documents"), vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    """Words of every document inside benchmark windows."""
+    out = decontam.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op6_benchmark_decontamination"] = rf"""
+WITH doc AS (
+    SELECT doc_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents),
+item AS (
+    SELECT item_id, list_filter(string_split_regex({ASCII_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM benchmark),
+win AS (
+    SELECT item_id, least(10, len(words)) AS n, unnest(list_transform(range(1, greatest(len(words) - 9, 1) + 1),
+        lambda i: array_to_string(words[i:i + 9], ' '))) AS phrase FROM item WHERE len(words) > 0),
+place AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS pos FROM doc),
+gram AS (
+    SELECT doc_id, pos, n, array_to_string(words[pos:pos + n - 1], ' ') AS phrase
+    FROM place, (SELECT DISTINCT n FROM win) WHERE pos + n - 1 <= len(words)),
+found AS (SELECT gram.doc_id, gram.pos, gram.n, win.item_id FROM gram JOIN win ON win.phrase = gram.phrase AND win.n = gram.n),
+hit AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS spot FROM found) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id)
+SELECT doc.doc_id, len(words) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
