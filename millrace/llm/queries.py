@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, decontam, fingerprints, near_dup, pii
+from millrace.llm import bpe, ctw, decontam, fingerprints, near_dup, pii, toxicity
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,18 @@ SELECT doc.doc_id, len(words) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op10_toxic_segments(spark, sf_dir):
+    """Toxicity of every document by its maximum-scoring passages."""
+    docs = read(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+    return out.select("doc_id", (toxicity.fold(F.col("doc_id")) == 2).alias("held_out"), "score",
+                      (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "best", "total", "start", "end")
+
+
+@query
+def op9_context_tree_scores(spark, sf_dir):
+    """Log probability of every document by words and by the weighted context tree."""
+    return ctw.score(read(spark, sf_dir, "documents"))
