@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, ctw, decontam, fingerprints, near_dup, pii, toxicity
+from millrace.llm import bpe, ctw, decontam, fingerprints, near_dup, pii, quality, toxicity, warc
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,30 @@ def op10_toxic_segments(spark, sf_dir):
 def op9_context_tree_scores(spark, sf_dir):
     """Log probability of every document by words and by the weighted context tree."""
     return ctw.score(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_zstd_warc(spark, sf_dir):
+    """Every page through a Zstandard WARC archive and back."""
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+# DuckDB has SHA-1 in hexadecimal only; base32 takes five bits at a time from the 160
+ORACLES["op8_zstd_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS largest FROM p)
+SELECT page_id, payload_bytes,
+    array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(
+        ((('0x' || hex[(i * 5) // 4 + 1:(i * 5) // 4 + 2] || CASE WHEN (i * 5) // 4 = 39 THEN '0' ELSE '' END)::INTEGER)
+            // (CASE (i * 5) % 4 WHEN 0 THEN 8 WHEN 1 THEN 4 WHEN 2 THEN 2 ELSE 1 END)) % 32 + 1)::INTEGER]), '') AS payload_digest,
+    CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = largest THEN NULL ELSE largest END AS refers_to
+FROM d
+"""
+
+
+@query
+def op7_weak_label_quality(spark, sf_dir):
+    """Votes, weak label and score of every document."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.train(docs))
