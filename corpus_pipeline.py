@@ -1,10 +1,61 @@
-"""From raw documents to token ids: each stage is written as Parquet and read again as the next one's documents."""
+"""From raw documents to token ids: each stage is written as Parquet and read again as the next one's documents.
+
+Every stage works on all rows its predecessor kept. Rows with a null id are judged like others where a decision rests on the row's
+text, and kept where it rests on ids; extra columns are carried along until the last stage; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.llm import bpe, decontam, near_dup, pii, quality
+from millrace.scratch import materialise
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak-label scorer accepts; it is fitted on the documents at hand."""
+    return quality.accepted(docs, quality.train(docs))
+
+
+def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near copies."""
+    copies = near_dup.near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("copy__"))
+    return docs.join(copies.hint("merge"), docs["doc_id"] == copies["copy__"], "left_anti")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = decontam.decontaminate(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("hit__"))
+    return docs.join(found.hint("merge"), docs["doc_id"] == found["hit__"], "left_anti")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; n_chars follows the text."""
+    masked = pii.mask(docs, pii.train())
+    return masked.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, n_chars, n_tokens, ids, decoded_sha256): the ids as little-endian 32-bit numbers."""
+    import public_tokenizers as vocabularies
+    out = bpe.with_tokens(docs.select("doc_id", "lang", "source", "n_chars", "text"), vocabularies.path("byte_bpe_50k.tiktoken"),
+                          vocabularies.PATTERN)
+    return out.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("text", "decoded")
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("near_duplicates", keep_first_of_near_copies),
+    ("decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
+    ("byte_bpe", to_token_ids),
+]
+ORACLE_SQL = None  # the classifier and the random field have no SQL form; tests/llm holds the brute-force version
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.text import CHUNK_BYTES, chunks, table
 
@@ -56,19 +56,25 @@ def decode_ids(ids: np.ndarray, ranks: str, pattern: str) -> bytes:
     return encoding(ranks, pattern).decode_bytes(ids.tolist())
 
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` (little-endian 32-bit numbers) and ``decoded`` (the bytes those ids stand for)."""
+def with_tokens(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs``, and ``n_tokens``, ``ids`` (little-endian 32-bit numbers) and ``decoded`` (the bytes those ids stand for)."""
     schema = "n_tokens long, ids binary, decoded binary"
+    added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
     def run(batches):
-        for batch, col in chunks(batches, "text", CHUNK_BYTES):
+        for batch, col in chunks(batches, text_col, CHUNK_BYTES):
             ids = [encode_text(t.decode("utf-8", "replace"), ranks, pattern) for t in col.to_pylist()]
             out = table(schema, [[len(x) for x in ids], [x.tobytes() for x in ids],
                                  [decode_ids(x, ranks, pattern) for x in ids]])
-            yield pa.RecordBatch.from_arrays([batch.column(0), *out.columns], ["doc_id", *out.schema.names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *out.columns], [*batch.schema.names, *out.schema.names])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *added.fields]))
 
+
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``n_tokens``, ``ids`` and ``decoded`` of each row."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, {schema}")
+    return with_tokens(src, ranks, pattern).drop("text")
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,7 +16,6 @@ empty table gives an empty result; only the named columns are read (``mask`` kee
 from __future__ import annotations
 
 import functools
-import hashlib
 import random
 import re
 from collections import Counter
@@ -384,18 +383,11 @@ def masked(text: str, field: Field) -> str:
 
 def mask(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """All columns of ``docs``, personal data in the text replaced by its kind; a null text stays null."""
-    names = docs.columns
 
     def run(batches):
         for batch in batches:
-            i = batch.schema.get_field_index("text__")
-            texts = [None if t is None else masked(t, field) for t in batch.column(i).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if k == i else c for k, c in enumerate(batch.columns)], schema=pa.schema(
-                [pa.field(f.name, pa.string()) if k == i else f for k, f in enumerate(batch.schema)]))
+            i = batch.schema.get_field_index(text_col)
+            texts = pa.array([None if t is None else masked(t, field) for t in batch.column(i).to_pylist()], batch.schema.field(i).type)
+            yield batch.set_column(i, batch.schema.field(i), texts)
 
-    inner = docs.withColumnRenamed(text_col, "text__") if text_col != "text__" else docs
-    return inner.mapInArrow(run, inner.schema).withColumnRenamed("text__", text_col).select(*[f"`{n}`" for n in names])
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    return docs.mapInArrow(run, docs.schema)

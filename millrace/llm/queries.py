@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, ctw, decontam, fingerprints, near_dup, pii, quality, toxicity, warc
+from millrace.llm import bpe, ctw, decontam, fingerprints, licenses, near_dup, pii, quality, toxicity, warc
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,10 @@ def op7_weak_label_quality(spark, sf_dir):
     """Votes, weak label and score of every document."""
     docs = read(spark, sf_dir, "documents")
     return quality.judged(docs, quality.train(docs))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    """Licence notices in every document."""
+    docs = read(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.train(docs))
