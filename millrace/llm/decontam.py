@@ -85,7 +85,7 @@ def matches(index: DataFrame, wins: DataFrame, slack: int = 0) -> DataFrame:
               .select("win", *DOC, "k", "none", "start", "len", "rank", "term", (F.col("start") + F.col("off")).alias("at"), shifts)
               .withColumn("pos", F.col("at") + F.col("shift")))
     whole = (wanted.join(near, ["k", "none", "v", "pos", "term"])
-             .groupBy("win", *DOC, "start", "len").agg(F.count_distinct("rank").alias("n") if slack else F.count("*").alias("n"))
+             .groupBy("win", *DOC, "start", "len").agg(F.count_distinct("rank").alias("n"))
              .filter("n = len - 2").drop("n"))
     return materialise(found.filter("len <= 2").unionByName(whole), "matches")
 
