@@ -31,15 +31,24 @@ _P = np.uint64(PRIME)
 _powers: dict[int, np.ndarray] = {}
 
 
+def folded_once(x: np.ndarray) -> np.ndarray:
+    """Equal modulo the prime; below 2**32 if x is below 2**62."""
+    return (x & _P) + (x >> np.uint64(31))
+
+
 def reduced(x: np.ndarray) -> np.ndarray:
-    """x modulo the prime, for x below 2**62."""
-    x = (x & _P) + (x >> np.uint64(31))
-    x = (x & _P) + (x >> np.uint64(31))
-    return np.where(x == _P, np.uint64(0), x)
+    """x modulo the prime."""
+    x = folded_once(folded_once(folded_once(x)))
+    x -= _P * (x >= _P)
+    return x
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base, np.ones(1, np.uint64))
+    have = _powers.get(base)
+    if have is None:
+        have = np.ones(1, np.uint64)
+    elif len(have) > n:
+        return have
     while len(have) <= n:
         have = np.concatenate([have, reduced(have * np.uint64(pow(base, len(have), PRIME)))])
     _powers[base] = have
@@ -63,25 +72,25 @@ class PrefixHash:
         self.n = cut + len(codes)
         self.sums = []
         for k, base in enumerate(BASES):
-            terms = reduced((codes.astype(np.uint64) + np.uint64(1)) * powers(base, self.n)[cut: self.n])
+            terms = folded_once((codes.astype(np.uint64) + np.uint64(1)) * powers(base, self.n)[cut: self.n])
             sums = np.zeros(self.n + 1, np.uint64)
             if head is not None:
                 sums[: cut + 1] = head.sums[k][: cut + 1]
             sums[cut + 1:] = reduced(np.cumsum(terms) + sums[cut])
             self.sums.append(sums)
 
-    def spans(self, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
-        sums, base = self.sums[which], BASES[which]
-        return reduced(reduced(sums[end] + _P - sums[start]) * powers(inverse(base), self.n)[start])
-
     def span(self, start: int, end: int) -> int:
-        a, b = np.array([start]), np.array([end])
-        return int(self.spans(a, b, 0)[0]) << 31 | int(self.spans(a, b, 1)[0])
+        """Both hashes of a span as one number."""
+        out = 0
+        for base, sums in zip(BASES, self.sums):
+            value = (int(sums[end]) - int(sums[start])) * int(powers(inverse(base), self.n)[start]) % PRIME
+            out = out << 31 | value
+        return out
 
     def windows(self, lo: int, hi: int, length: int = SPAN) -> np.ndarray:
         """Hashes of the spans of ``length`` characters that start at lo, ..., hi - 1."""
         sums, shift = self.sums[0], powers(inverse(BASES[0]), self.n)
-        return reduced(reduced(sums[lo + length: hi + length] + _P - sums[lo:hi]) * shift[lo:hi])
+        return reduced((sums[lo + length: hi + length] + _P - sums[lo:hi]) * shift[lo:hi])
 
 
 def same(a: PrefixHash, i: int, b: PrefixHash, j: int, length: int) -> bool:
@@ -147,12 +156,15 @@ def alike(x: tuple, y: tuple) -> float:
 def dice(x: np.ndarray, y: np.ndarray) -> float:
     if not len(x) or not len(y):
         return 0.0
-    low = np.union1d(x, y)
-    if len(x) == SKETCH or len(y) == SKETCH:  # a full sketch tells about hashes up to its largest only
-        low = low[:SKETCH]
-    j = np.isin(low, x, assume_unique=True) & np.isin(low, y, assume_unique=True)
-    j = j.mean()
-    return float(2 * j / (1 + j))
+    both = np.concatenate([x, y])
+    both.sort()
+    twice = np.append(both[1:] == both[:-1], False)
+    first = np.concatenate([[True], ~twice[:-1]])
+    rank = np.cumsum(first)  # among the hashes of either
+    # a full sketch tells about hashes up to its largest only
+    limit = min(SKETCH, int(rank[-1])) if len(x) == SKETCH or len(y) == SKETCH else int(rank[-1])
+    j = int((twice & (rank <= limit)).sum()) / limit
+    return 2 * j / (1 + j)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
