@@ -101,8 +101,11 @@ def _spread(stats: DataFrame, label: str) -> DataFrame:
 
 
 def maximise(stats: DataFrame, loglik: LogLik, start: Sequence[float], penalty: float,
-             rounds: int = 25, tolerance: float = 1e-7) -> np.ndarray:
-    """Damped Newton search over log parameters; derivatives and step lengths are batched."""
+             rounds: int = 100, tolerance: float = 1e-7) -> np.ndarray:
+    """Damped Newton search over log parameters; derivatives and step lengths are batched.
+
+    A search that still gains after ``rounds`` steps raises.
+    """
     d, h = len(start), 1e-3
     unit = np.eye(d) * h
     pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
@@ -138,6 +141,8 @@ def maximise(stats: DataFrame, loglik: LogLik, start: Sequence[float], penalty:
         if gain < tolerance * (1.0 + abs(here)):
             break
         f = np.concatenate([g[:1], g[len(tries):]]) if pick == 0 else value([at, *around(at)])
+    else:
+        raise RuntimeError(f"no convergence in {rounds} steps; gradient {np.linalg.norm(slope):.3g}, gain {gain:.3g}")
     if not np.isfinite(f[0]):
         raise RuntimeError("the search found no finite likelihood")
     return np.exp(at)

@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, IDF, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.analytics.segments import probability_of_one
@@ -16,15 +16,18 @@ from millrace.scratch import materialise
 from millrace.session import task_count
 
 
-def text_model(texts: Sequence[str], numbers: Sequence[str], label: str, words: int = 1024,
+def text_model(texts: Sequence[str], numbers: Sequence[str], label: str, min_texts: int = 2, words: int = 1 << 18,
                trees: int = 20, seed: int = 42) -> Pipeline:
-    """TF-IDF of the whole of each text column next to numeric columns, into a random forest."""
+    """TF-IDF of the whole of each text column next to numeric columns, into a random forest.
+
+    The vocabulary follows the data: every word of at least ``min_texts`` texts, ``words`` of them at most.
+    """
     stages = []
     for c in texts:
         stages += [
             RegexTokenizer(inputCol=c, outputCol=f"_{c}_words", pattern="\\W+"),
             StopWordsRemover(inputCol=f"_{c}_words", outputCol=f"_{c}_kept"),
-            HashingTF(inputCol=f"_{c}_kept", outputCol=f"_{c}_tf", numFeatures=words),
+            CountVectorizer(inputCol=f"_{c}_kept", outputCol=f"_{c}_tf", minDF=min_texts, vocabSize=words),
             IDF(inputCol=f"_{c}_tf", outputCol=f"_{c}_tfidf"),
         ]
     stages += [

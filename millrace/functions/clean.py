@@ -51,8 +51,8 @@ def strip_braces(c: str | Column) -> Column:
 def normalise_transactions(raw: DataFrame) -> DataFrame:
     """Discounts as positive amounts plus list and paid price (columns of a retailer's till export)."""
     zero = F.lit(0)
-    coupon, match = F.col("coupon_disc"), F.col("coupon_match_disc")
-    retail, sales = F.col("retail_disc"), F.col("sales_value")
+    # each input on its own: an amount that is absent must not take the others along
+    coupon, match, retail, sales = (F.coalesce(F.col(c), zero) for c in ("coupon_disc", "coupon_match_disc", "retail_disc", "sales_value"))
     made = {
         "campaign_coupon_discount": F.when(match == 0, -coupon).otherwise(zero),
         "manuf_coupon_discount": F.when(match != 0, -coupon).otherwise(zero),
@@ -65,7 +65,7 @@ def normalise_transactions(raw: DataFrame) -> DataFrame:
     used = {"coupon_disc", "coupon_match_disc", "retail_disc", "sales_value"}
     return raw.select(
         *[c for c in raw.columns if c not in used],
-        *[F.coalesce(v, zero).alias(k) for k, v in made.items()],
+        *[v.alias(k) for k, v in made.items()],
     )
 
 
@@ -81,10 +81,15 @@ def fill_zero(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: str) -> DataFrame:
-    """Bernoulli sample that depends on the key only, so re-runs and re-computed tasks agree."""
-    bound = format(int(round(fraction * 16 ** 7)), "07x")
-    digest = F.substring(F.sha1(F.concat(F.lit(seed), F.col(key).cast("string"))), 1, 7)
-    return df.filter(digest < F.lit(bound))
+    """Bernoulli sample that depends on the key only, so re-runs and re-computed tasks agree.
+
+    A fraction of 1 keeps all rows and 0 none; a NULL key counts as an empty one.
+    """
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction {fraction} is not between 0 and 1")
+    text = F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    digest = F.conv(F.substring(F.sha1(text.cast("binary")), 1, 7), 16, 10).cast("bigint")
+    return df.filter(digest < F.lit(int(round(fraction * 16 ** 7))))
 
 
 def shuffle_rows(df: DataFrame, seed: int) -> DataFrame:

@@ -12,7 +12,7 @@ FEATURE_SCHEMA = """struct<properties: struct<zone: string, zone_id: bigint>,
     geometry: struct<type: string, coordinates: array<array<array<double>>>>>"""
 COLLECTION_SCHEMA = f"type string, features array<{FEATURE_SCHEMA}>"
 
-CELL_SPAN = 1 << 20  # cells per row of the grid, enough for every usual resolution
+CELL_SPAN = 1 << 31  # cells per row of the grid; a step beyond half of it either way is refused
 
 
 def features(collections: DataFrame, column: str = "value") -> DataFrame:
@@ -43,7 +43,12 @@ def step(v: Column, size: float) -> Column:
 
 
 def cell_at(ix: Column, iy: Column) -> Column:
-    return (ix + CELL_SPAN // 2) * CELL_SPAN + (iy + CELL_SPAN // 2)
+    """One number per cell; two cells never share it."""
+    half = CELL_SPAN // 2
+    inside = ix.between(-half, half - 1) & iy.between(-half, half - 1)
+    number = (ix + half) * F.lit(CELL_SPAN).cast("bigint") + (iy + half)
+    return F.when(ix.isNull() | iy.isNull(), F.lit(None).cast("bigint")).when(inside, number).otherwise(
+        F.raise_error(F.lit("a coordinate lies outside the grid; use larger cells")).cast("bigint"))
 
 
 def cell(p: Column, size: float) -> Column:

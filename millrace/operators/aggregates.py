@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.ml.feature import Bucketizer
 
 from millrace.operators.tables import hot_keys, keyed_join
 from millrace.scratch import materialise
@@ -48,19 +47,31 @@ def values_at_ranks(counts: DataFrame, ranks: Sequence[int]) -> list[float]:
     """Values at 1-based ranks of a (v, n) table, by narrowing value ranges.
 
     Each pass counts rows per equal-width slice of the still open ranges, one
-    aggregate job for all ranks; a range closes when it holds one value.
+    aggregate job for all ranks; a range closes when it holds one value. Values
+    are ordered as Spark orders them: -Infinity, numbers, Infinity, NaN.
     """
-    lo_hi = counts.agg(F.min("v"), F.max("v")).first()
-    todo = {r: (lo_hi[0], lo_hi[1], 0) for r in ranks}  # rank -> (low, high, rows below low)
+    inf = float("inf")
+    number = ~F.isnan("v") & (F.col("v") > -inf) & (F.col("v") < inf)
+    ends = counts.agg(F.min(F.when(number, F.col("v"))).alias("lo"), F.max(F.when(number, F.col("v"))).alias("hi"),
+                      *[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(k) for k, c in (
+                          ("low", F.col("v") == -inf), ("finite", number), ("high", F.col("v") == inf))]).first()
     found: dict[int, float] = {}
+    todo = {}  # rank -> (low, high, rows below low)
+    for r in ranks:
+        if r <= ends.low:
+            found[r] = -inf
+        elif r <= ends.low + ends.finite:
+            todo[r] = (ends.lo, ends.hi, ends.low)
+        else:
+            found[r] = inf if r <= ends.low + ends.finite + ends.high else float("nan")
     while todo:
         open_ranges = sorted({(lo, hi, below) for lo, hi, below in todo.values()})
         tagged = None
         for i, (lo, hi, _) in enumerate(open_ranges):
             inside = (F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi))
-            width = hi - lo
-            slot = F.lit(0) if width == 0 else F.least(
-                F.lit(255), F.floor((F.col("v") - F.lit(lo)) / F.lit(width) * 256).cast("int"))
+            width = hi / 2 - lo / 2  # halves, as the whole may exceed the largest double
+            slot = F.lit(0) if lo == hi else F.least(
+                F.lit(255), F.floor((F.col("v") / 2 - F.lit(lo / 2)) / F.lit(max(width, 5e-324)) * 256).cast("int"))
             pair = F.struct(F.lit(i).alias("i"), slot.cast("int").alias("slot"))
             hit = F.when(inside, pair)
             tagged = [hit] if tagged is None else [*tagged, hit]
@@ -80,6 +91,8 @@ def values_at_ranks(counts: DataFrame, ranks: Sequence[int]) -> list[float]:
                 if at + r["n"] >= rank:
                     if r["lo"] == r["hi"]:
                         found[rank] = r["lo"]
+                    elif (r["lo"], r["hi"]) == (lo, hi):
+                        raise RuntimeError(f"values from {lo} to {hi} cannot be told apart")
                     else:
                         nxt[rank] = (r["lo"], r["hi"], at)
                     break
@@ -117,10 +130,11 @@ def neighbours(
 
     ``previous``/``following`` map a new column name to the column it reads;
     ``order`` must be unique within a key. A plain window puts all rows of a key
-    in one task, which is right for keys up to ``max_rows``. Keys beyond it are
-    cut into slices at the quantiles of their rows; neighbours are then taken
-    inside a slice and the slice edges are stitched through a table that has one
-    row per hot key and slice. A caller that knows the hot keys passes them in.
+    in one task, which is right for keys up to ``max_rows``. Rows of keys beyond
+    it are range-partitioned by key and order into slices of about ``max_rows``;
+    neighbours are then taken inside a slice and the slice edges are stitched
+    through a table that has one row per hot key and slice. ``order`` may have any
+    type that can be sorted. A caller that knows the hot keys passes them in.
     """
     previous, following = previous or {}, following or {}
     held = F.struct(*[F.col(c) for c in sorted({*previous.values(), *following.values()})])
@@ -138,19 +152,13 @@ def neighbours(
     if hot is None:
         return finish(look(df, keys), F.col("_prev"), F.col("_next"))
 
-    at = F.col(order)
-    if dict(df.dtypes)[order] in ("timestamp", "timestamp_ntz", "date"):
-        at = F.unix_micros(at.cast("timestamp"))
-    tagged = keyed_join(df, hot, keys, "left").withColumn("_pos", at.cast("double"))
+    marked = keyed_join(df, hot, keys, "left")
     n_hot = hot.agg(F.sum("_n")).first()[0]
-    slices = int(min(10_000, -(-n_hot // max_rows) + 1))
-    cuts = tagged.filter("_n is not null").approxQuantile(
-        "_pos", [i / slices for i in range(1, slices)], 0.5 / slices)
-    inf = float("inf")
-    sliced = (
-        Bucketizer(splits=[-inf, *sorted(set(cuts)), inf], inputCol="_pos", outputCol="_b").transform(tagged)
-        .withColumn("_slice", F.when(F.col("_n").isNotNull(), F.col("_b")).otherwise(F.lit(0.0)))
-    )
+    slices = int(-(-n_hot // max_rows) + 1)
+    dealt = (marked.filter("_n is not null").repartitionByRange(slices, *keys, order)
+             .withColumn("_slice", F.spark_partition_id()))
+    dealt = materialise(dealt, "slices")  # written, so that a row's slice never changes
+    sliced = dealt.unionByName(marked.filter("_n is null").withColumn("_slice", F.lit(-1)))
     edges = sliced.filter("_n is not null").groupBy(*keys, "_slice").agg(
         F.min_by(held, F.col(order)).alias("_first"), F.max_by(held, F.col(order)).alias("_last"))
     across = W.partitionBy(*keys).orderBy("_slice")

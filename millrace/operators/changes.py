@@ -146,7 +146,9 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
     """What turns ``before`` into ``after``; each key occurs at most once on either side."""
     rest = [c for c in before.columns if c not in keys]
     a = before.select(*keys, pack(rest).alias("_a"))
-    b = after.select(*keys, pack(rest).alias("_b"))
+    b = after.select(*[F.col(k).alias(f"_b_{k}") for k in keys], pack(rest).alias("_b"))
+    same = [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys]
+    merged = [F.coalesce(F.col(k), F.col(f"_b_{k}")).alias(k) for k in keys]
 
     def change(kind: str, row: str) -> Column:
         return F.struct(F.lit(kind).alias("_change_type"), F.col(row).alias("_row"))
@@ -157,7 +159,7 @@ def change_feed(before: DataFrame, after: DataFrame, keys: Sequence[str], versio
         .when(~F.col("_a").eqNullSafe(F.col("_b")),
               F.array(change("update_preimage", "_a"), change("update_postimage", "_b")))
     )
-    return a.join(b, list(keys), "full").select(*keys, F.inline(events)).select(
+    return a.join(b, same, "full").select(*merged, F.inline(events)).select(
         *keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest],
         "_change_type", F.lit(version).cast("bigint").alias("_commit_version"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -62,14 +63,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | N
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, hot: DataFrame | None,
-                spread: Sequence[str], salts: int = 64) -> DataFrame:
-    """``big`` joined to ``small`` (one row per key) with the rows of hot keys dealt over ``salts`` tasks.
+                spread: Sequence[str], salts: int | None = None) -> DataFrame:
+    """``big`` joined to ``small`` (one row per key) with the rows of hot keys dealt over ``salts`` tasks (all, if not given).
 
     Only rows of hot keys get a salt, from a hash of the ``spread`` columns, and
     only their row of ``small`` is repeated. Without hot keys it is a plain join.
     """
     if hot is None:
         return keyed_join(big, small, keys, how)
+    salts = salts or task_count(big.sparkSession)
     mark = hot.select(*keys, F.lit(True).alias("_hot"))
     deal = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     dealt = keyed_join(big, mark, keys, "left").withColumn(
@@ -79,14 +81,16 @@ def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str,
     return keyed_join(dealt, repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def grid(left: DataFrame, right: DataFrame, spread: int = 8) -> DataFrame:
+def grid(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:
     """Each row of one dimension paired with each row of another.
 
     The result is the product by definition. It is made by an equi join on a
     ``spread`` x ``spread`` block number: each block pairs one share of the left
     with one share of the right, so no side is ever held whole by a task, and
-    the planner still broadcasts a side whose size it knows to be small.
+    the planner still broadcasts a side whose size it knows to be small. Unless
+    given, there are four blocks per task of the session, so none stays idle.
     """
+    spread = spread or max(8, math.ceil(math.sqrt(4 * task_count(left.sparkSession))))
     span = F.sequence(F.lit(0), F.lit(spread - 1))
     lhs = (
         left.withColumn("_a", F.pmod(F.xxhash64(*left.columns), F.lit(spread)).cast("int"))

@@ -111,9 +111,9 @@ tested AS (
          count(*) FILTER ((a_y > (y0 + y1) / 2) <> (b_y > (y0 + y1) / 2)
                           AND (x0 + x1) / 2 < (b_x - a_x) * ((y0 + y1) / 2 - a_y) / (b_y - a_y) + a_x) % 2 = 1 AS mid
   FROM box b JOIN side s ON b.zone_id = s.zone_id GROUP BY ALL),
-cells AS (SELECT zone, zone_id, (ix + 524288) * 1048576 + (iy + 524288) AS cell, NOT edge AS is_core FROM tested WHERE edge OR mid)"""
+cells AS (SELECT zone, zone_id, (ix + 1073741824) * 2147483648 + (iy + 1073741824) AS cell, NOT edge AS is_core FROM tested WHERE edge OR mid)"""
 
-CELL_OF = lambda x, y: (f"(CAST(floor({x} / {SIZE}) AS BIGINT) + 524288) * 1048576 + CAST(floor({y} / {SIZE}) AS BIGINT) + 524288")
+CELL_OF = lambda x, y: (f"(CAST(floor({x} / {SIZE}) AS BIGINT) + 1073741824) * 2147483648 + CAST(floor({y} / {SIZE}) AS BIGINT) + 1073741824")
 
 
 @query("g1_geojson_features", f"""

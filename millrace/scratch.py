@@ -1,11 +1,15 @@
 """Where intermediate tables, checkpoints and staged files go.
 
-The cluster names a shared folder in ``spark.checkpoint.dir``. Only a local
-session that leaves it unset gets a folder of its own.
+The session names a shared folder in ``spark.checkpoint.dir``; tests, the benchmark and
+``local_session`` set it. Only a session in one single process (``local[...]``) that leaves it
+unset gets a folder of its own; every other one fails early.
 """
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -18,11 +22,12 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_root:
         _local_root[app] = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, _local_root[app], ignore_errors=True)
     return _local_root[app]
 
 
