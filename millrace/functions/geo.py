@@ -1,7 +1,9 @@
 """Points, polygons and grid cells as plain columns.
 
-A point is ``struct<x,y>``, a polygon its outer ring as ``array<struct<x,y>>``
-(closed or not), a cell a bigint on a square grid of a given size.
+A point is ``struct<x,y>``, a ring ``array<struct<x,y>>`` (closed or not), a zone one
+ring or the array of all rings of its polygons, outer ones and holes alike: a point is
+inside if it lies within an odd number of them. A cell is a bigint on a square grid
+of a given size.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 FEATURE_SCHEMA = """struct<properties: struct<zone: string, zone_id: bigint>,
-    geometry: struct<type: string, coordinates: array<array<array<double>>>>>"""
+    geometry: struct<type: string, coordinates: string>>"""
 COLLECTION_SCHEMA = f"type string, features array<{FEATURE_SCHEMA}>"
 
 CELL_SPAN = 1 << 31  # cells per row of the grid; a step beyond half of it either way is refused
@@ -22,9 +24,14 @@ def features(collections: DataFrame, column: str = "value") -> DataFrame:
         "collection", "f.properties.*", F.col("f.geometry").alias("geometry"))
 
 
-def ring(geometry: str = "geometry") -> Column:
-    """The outer ring of a GeoJSON polygon."""
-    return F.transform(F.col(f"{geometry}.coordinates")[0], lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+def rings(geometry: str = "geometry") -> Column:
+    """All rings of a GeoJSON Polygon or MultiPolygon; another type of geometry raises."""
+    kind, text = F.col(f"{geometry}.type"), F.col(f"{geometry}.coordinates")
+    lists = "array<array<array<double>>>"
+    found = (F.when(kind == "Polygon", F.from_json(text, lists))
+             .when(kind == "MultiPolygon", F.flatten(F.from_json(text, f"array<{lists}>")))
+             .otherwise(F.raise_error(F.concat(F.lit("not a polygon: "), F.coalesce(kind, F.lit("no type")))).cast(lists)))
+    return F.transform(found, lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
 
 
 def point(x: str | Column, y: str | Column) -> Column:

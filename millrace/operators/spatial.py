@@ -23,7 +23,7 @@ def _classify(rows: DataFrame, size: float) -> DataFrame:
 
 
 def tessellate(zones: DataFrame, ring: str, size: float, coarse: int = 8) -> DataFrame:
-    """Cells of a square grid covering each polygon.
+    """Cells of a square grid covering each zone; ``ring`` holds one ring or an array of rings.
 
     ``is_core`` cells lie wholly inside. Other cells carry as ``chip`` the sides
     that a ray to the right from inside the cell can meet, which is all the
@@ -33,9 +33,11 @@ def tessellate(zones: DataFrame, ring: str, size: float, coarse: int = 8) -> Dat
     """
     others = [c for c in zones.columns if c != ring]
     block = size * coarse
-    shaped = zones.select(*others, geo.edges(F.col(ring)).alias("_sides"),
-                          F.transform(ring, lambda p: p["x"]).alias("_xs"),
-                          F.transform(ring, lambda p: p["y"]).alias("_ys"))
+    several = dict(zones.dtypes)[ring].startswith("array<array")
+    points = F.flatten(ring) if several else F.col(ring)
+    sides = F.flatten(F.transform(ring, geo.edges)) if several else geo.edges(F.col(ring))
+    shaped = zones.select(*others, sides.alias("_sides"), F.transform(points, lambda p: p["x"]).alias("_xs"),
+                          F.transform(points, lambda p: p["y"]).alias("_ys"))
     blocks = _boxes(
         shaped, geo.step(F.array_min("_xs"), block), geo.step(F.array_max("_xs"), block),
         geo.step(F.array_min("_ys"), block), geo.step(F.array_max("_ys"), block)).drop("_xs", "_ys")
@@ -95,10 +97,12 @@ def trips_between_zones(trips: DataFrame, cells: DataFrame, size: float, mode: s
         F.date_format(F.col("t.pickup_datetime"), "yyyyMM").alias("month_id"))
 
 
-TRIP_RULES = {
-    "valid_times": "dropoff_datetime >= pickup_datetime and trip_distance >= 0",
-    "valid_amounts": "total_amount >= fare_amount and total_amount >= 0",
-}
+def trip_rules(vendor: str = "VTS") -> dict[str, str]:
+    return {
+        "valid_times": "dropoff_datetime >= pickup_datetime and trip_distance >= 0",
+        "valid_amounts": "total_amount >= fare_amount and total_amount >= 0",
+        "one_vendor": f"vendor_id = '{vendor}'",
+    }
 
 
 def _trip_totals() -> list[Column]:

@@ -10,16 +10,17 @@ from millrace.scratch import scratch_path
 from millrace.streaming import runs
 
 
-def run_taxi(spark: SparkSession, zone_files: str, trip_table: str, size: float, mode: str = "exact") -> dict[str, DataFrame]:
+def run_taxi(spark: SparkSession, zone_files: str, trip_table: str, size: float, mode: str = "exact",
+             vendor: str = "VTS") -> dict[str, DataFrame]:
     base = scratch_path(spark, "taxi")
     cp = f"{base}/checkpoints"
     stream = runs.new_files(spark, zone_files, "json", geo.COLLECTION_SCHEMA, multiLine=True, recursiveFileLookup=True)
     shapes = stream.select(F.explode("features").alias("f")).select(
         "f.properties.zone", "f.properties.zone_id", F.col("f.geometry").alias("geometry"))
-    runs.land(shapes.select("zone", "zone_id", geo.ring().alias("ring")), f"{base}/zones", f"{cp}/zones")
+    runs.land(shapes.select("zone", "zone_id", geo.rings().alias("ring")), f"{base}/zones", f"{cp}/zones")
     cells_path = f"{base}/cells"
     spatial.tessellate(spark.read.parquet(f"{base}/zones"), "ring", size).write.mode("overwrite").parquet(cells_path)
-    good = quality.drop_failing(runs.table_stream(spark, trip_table), spatial.TRIP_RULES)
+    good = quality.drop_failing(runs.table_stream(spark, trip_table), spatial.trip_rules(vendor))
     joined = spatial.trips_between_zones(good, spark.read.parquet(cells_path), size, mode)
     runs.land(joined, f"{base}/trips", f"{cp}/trips")
     trips = spark.read.parquet(f"{base}/trips")

@@ -10,9 +10,13 @@ from millrace.queries.registry import query
 
 SIZE = 2.0
 
-# corner offsets inside a 10 x 10 field: fixed shapes, the first convex and the second notched
+# corner offsets inside a 10 x 10 field; a zone has one of four shapes: convex, notched, convex with a hole, and two polygons
 CONVEX = [(1, 1), (9, 2), (8, 9), (2, 8), (1, 1)]
 NOTCHED = [(1, 1), (9, 1), (9, 9), (5, 4), (1, 9), (1, 1)]
+HOLE = [(3, 3), (3, 6), (6, 5), (3, 3)]
+ISLAND = [(4, 7), (6, 7), (5, 9), (4, 7)]
+SHAPES = [[CONVEX], [NOTCHED], [CONVEX, HOLE], [NOTCHED, ISLAND]]
+VENDOR = "purchase"
 
 
 WIDTH = 25
@@ -23,13 +27,16 @@ def zone_features(t):
     x0 = (F.col("s_suppkey") % WIDTH * 10).cast("double")
     y0 = (F.floor(F.col("s_suppkey") / WIDTH) * 10).cast("double")
 
-    def shape(points):
-        return F.array(F.array(*[F.array(x0 + float(x), y0 + float(y)) for x, y in points]))
+    def ring(points):
+        return F.array(*[F.array(x0 + float(x), y0 + float(y)) for x, y in points])
 
-    coordinates = F.when(F.col("s_suppkey") % 2 == 0, shape(CONVEX)).otherwise(shape(NOTCHED))
-    feature = F.struct(
-        F.struct(F.col("s_name").alias("zone"), F.col("s_suppkey").alias("zone_id")).alias("properties"),
-        F.struct(F.lit("Polygon").alias("type"), coordinates.alias("coordinates")).alias("geometry"))
+    kind = F.col("s_suppkey") % 4
+    polygon = F.when(kind == 0, F.array(ring(CONVEX))).when(kind == 1, F.array(ring(NOTCHED))).when(kind == 2, F.array(ring(CONVEX), ring(HOLE)))
+    # coordinates nest one deeper in a MultiPolygon, so a feature is put together as text
+    coordinates = F.coalesce(F.to_json(polygon), F.to_json(F.array(F.array(ring(NOTCHED)), F.array(ring(ISLAND)))))
+    feature = F.concat(
+        F.lit('{"properties":'), F.to_json(F.struct(F.col("s_name").alias("zone"), F.col("s_suppkey").alias("zone_id"))),
+        F.lit(',"geometry":{"type":"'), F.when(kind == 3, "MultiPolygon").otherwise("Polygon"), F.lit('","coordinates":'), coordinates, F.lit("}}"))
     return (
         t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -39,13 +46,15 @@ def zone_features(t):
 
 def collections(t, **json_options):
     """One GeoJSON text per region and block, so a text holds at most 1000 features."""
+    gap = F.lit("\n") if json_options.get("pretty") else F.lit("")
     return zone_features(t).groupBy("region", "block").agg(F.collect_list("feature").alias("features")).select(
-        "region", "block", F.to_json(F.struct(F.col("region").alias("type"), "features"), json_options).alias("value"))
+        "region", "block", F.concat(F.lit('{"type":"'), "region", F.lit('",'), gap, F.lit('"features":['), gap,
+                                    F.array_join("features", ",\n" if json_options.get("pretty") else ","), gap, F.lit("]}")).alias("value"))
 
 
 def zones(t):
     """Parsed from GeoJSON text."""
-    return geo.features(collections(t)).select("zone", "zone_id", geo.ring().alias("ring"))
+    return geo.features(collections(t)).select("zone", "zone_id", geo.rings().alias("ring"))
 
 
 def trips(t):
@@ -68,12 +77,11 @@ def _values(points):
 
 
 ZONES_SQL = f"""
-corner AS (SELECT 0 AS odd, * FROM (VALUES {_values(CONVEX)}) v(i, ox, oy)
-           UNION ALL SELECT 1, * FROM (VALUES {_values(NOTCHED)}) v(i, ox, oy)),
-ring AS (SELECT s_name AS zone, s_suppkey AS zone_id, i, CAST(s_suppkey % {WIDTH} * 10 + ox AS DOUBLE) AS x,
-                CAST(s_suppkey // {WIDTH} * 10 + oy AS DOUBLE) AS y FROM supplier JOIN corner ON s_suppkey % 2 = odd),
+corner AS ({' UNION ALL '.join(f"SELECT {k} AS kind, {p} AS part, * FROM (VALUES {_values(r)}) v(i, ox, oy)" for k, rs in enumerate(SHAPES) for p, r in enumerate(rs))}),
+ring AS (SELECT s_name AS zone, s_suppkey AS zone_id, part, i, CAST(s_suppkey % {WIDTH} * 10 + ox AS DOUBLE) AS x,
+                CAST(s_suppkey // {WIDTH} * 10 + oy AS DOUBLE) AS y FROM supplier JOIN corner ON s_suppkey % 4 = kind),
 side AS (SELECT a.zone, a.zone_id, a.x AS a_x, a.y AS a_y, b.x AS b_x, b.y AS b_y FROM ring a JOIN ring b
-         ON a.zone_id = b.zone_id AND b.i = a.i + 1)"""
+         ON a.zone_id = b.zone_id AND a.part = b.part AND b.i = a.i + 1)"""
 
 TRIPS_SQL = f"""
 board AS (SELECT CAST(ceil(count(*) / {WIDTH}) * 1000 AS BIGINT) AS height FROM supplier),
@@ -120,9 +128,9 @@ CELL_OF = lambda x, y: (f"(CAST(floor({x} / {SIZE}) AS BIGINT) + 1073741824) * 2
 WITH {ZONES_SQL} SELECT zone, zone_id, count(*) AS points, min(x) AS min_x, max(y) AS max_y FROM ring GROUP BY ALL""")
 def g1(t):
     return zones(t).select(
-        "zone", "zone_id", F.size("ring").cast("bigint").alias("points"),
-        F.array_min(F.transform("ring", lambda p: p["x"])).alias("min_x"),
-        F.array_max(F.transform("ring", lambda p: p["y"])).alias("max_y"))
+        "zone", "zone_id", F.size(F.flatten("ring")).cast("bigint").alias("points"),
+        F.array_min(F.transform(F.flatten("ring"), lambda p: p["x"])).alias("min_x"),
+        F.array_max(F.transform(F.flatten("ring"), lambda p: p["y"])).alias("max_y"))
 
 
 @query("g2_points_and_lines", f"""
@@ -166,9 +174,9 @@ def j11(t):
     return spatial.points_in_zones(points, "at", cells, SIZE).groupBy("zone").agg(F.count("*").alias("dropoffs"))
 
 
-RULES_SQL = """
+RULES_SQL = f"""
 good AS (SELECT * FROM trip WHERE dropoff_datetime >= pickup_datetime AND trip_distance >= 0
-         AND total_amount >= fare_amount AND total_amount >= 0)"""
+         AND total_amount >= fare_amount AND total_amount >= 0 AND vendor_id = '{VENDOR}')"""
 
 BETWEEN_SQL = f"""
 {ZONES_SQL}, {TRIPS_SQL}, {RULES_SQL}, {in_zone_sql('p', 'px', 'py')}, {in_zone_sql('d', 'dx', 'dy')},
@@ -178,7 +186,7 @@ joined AS (SELECT g.*, p.zone AS pickup_zone, d.zone AS dropoff_zone,
 
 
 def good_trips(t):
-    return quality.drop_failing(trips(t), spatial.TRIP_RULES)
+    return quality.drop_failing(trips(t), spatial.trip_rules(VENDOR))
 
 
 def between(t, mode="exact"):

@@ -448,7 +448,7 @@ def l3(t):
 def l4(t):
     from millrace.queries.q_sources import zone_files
     trips = staged_as(t, "taxi-trips", q_geo.trips(t), "parquet")
-    return taxi.run_taxi(t.spark, zone_files(t), trips, q_geo.SIZE)["zone_month"]
+    return taxi.run_taxi(t.spark, zone_files(t), trips, q_geo.SIZE, vendor=q_geo.VENDOR)["zone_month"]
 
 
 @query("l5_change_feed_history", f"""
