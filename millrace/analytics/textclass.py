@@ -47,7 +47,8 @@ def fit_text_model(train: DataFrame, texts: Sequence[str], numbers: Sequence[str
 
 def split_by_key(df: DataFrame, key: str, test_share: float) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key: the same rows on every run and retry."""
-    side = F.pmod(F.xxhash64(F.col(key)), F.lit(1000)) < int(test_share * 1000)
+    digest = F.conv(F.substring(F.sha1(F.col(key).cast("string").cast("binary")), 1, 7), 16, 10).cast("bigint")
+    side = digest < F.lit(int(round(test_share * 16 ** 7)))
     return df.filter(~side), df.filter(side)
 
 

@@ -14,15 +14,19 @@ from millrace.queries.registry import query
 FORECAST_CHECK_SQL = f"""
 WITH {SALES_SQL}, daily AS (SELECT store, item, date, sum(sales) AS sales FROM sales GROUP BY ALL)
 SELECT store, item, count(*) + {{h}} AS rows_out, count(*) AS observed, CAST(sum(sales) AS DOUBLE) AS sold,
-       strftime(max(date) + {{h}}, '%Y-%m-%d') AS last_ds, CAST(0 AS BIGINT) AS out_of_order FROM daily GROUP BY ALL"""
+       strftime(max(date) + {{h}}, '%Y-%m-%d') AS last_ds, CAST(0 AS BIGINT) AS out_of_order, CAST(1 AS DOUBLE) AS level FROM daily GROUP BY ALL"""
 
 
 def _checked(rows, keys):
-    """Per series: rows, history, last day and how many intervals do not enclose the forecast."""
+    """Per series: rows, history, last day, how many intervals do not enclose the forecast, and its level.
+
+    The model's factors back from logs make the mean of (1 + y) / (1 + yhat) over the history 1.
+    """
     bad = (F.col("yhat_lower") > F.col("yhat")) | (F.col("yhat") > F.col("yhat_upper")) | F.isnan("yhat")
     return rows.groupBy(*keys).agg(
         F.count("*").alias("rows_out"), F.count("y").alias("observed"), F.sum("y").alias("sold"),
-        F.max("ds").alias("last_ds"), F.count(F.when(bad, 1)).alias("out_of_order"))
+        F.max("ds").alias("last_ds"), F.count(F.when(bad, 1)).alias("out_of_order"),
+        F.round(F.avg((1 + F.col("y")) / (1 + F.col("yhat"))), 6).alias("level"))
 
 
 @query("m11_series_forecast", FORECAST_CHECK_SQL.format(h=90))

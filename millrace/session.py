@@ -31,8 +31,8 @@ def task_count(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
-    """A single-JVM session for tests and the benchmark."""
+def local_session(cores: int | str = 8, memory: str = "8g", scratch: str | None = None) -> SparkSession:
+    """A single-JVM session for tests and the benchmark; ``scratch`` is where intermediate tables go."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("millrace")
@@ -41,6 +41,8 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 import traceback
 
@@ -78,7 +79,7 @@ def main(argv):
         spark.sparkContext.setLogLevel("ERROR")
     else:
         from millrace.session import local_session
-        spark = local_session()
+        spark = local_session(scratch=tempfile.mkdtemp(prefix="check-"))
     con = duck(sf)
     sqls = entry.oracle_sql()
     bad = 0

@@ -11,9 +11,9 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from millrace.session import local_session
-    session = local_session(8, "6g")
+    session = local_session(8, "6g", str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 
