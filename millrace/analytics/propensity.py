@@ -10,8 +10,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.scratch import materialise
 from millrace.session import task_count
 
 AMOUNTS = ["amount_list", "instore_discount", "campaign_coupon_discount", "manuf_coupon_discount",
@@ -282,3 +284,32 @@ def training_set(features: DataFrame, label_rows: DataFrame, commodity: str) ->
     wanted = label_rows.filter(
         (F.col("commodity_desc") == commodity) & F.col("will_by_in_30_days").isNotNull())
     return wanted.join(features, keys, "left").drop(*keys)
+
+
+FEATURE_KEYS = ("household_key", "commodity_desc", "day")
+
+
+def merge_features(features: DataFrame, path: str, keys: Sequence[str] = FEATURE_KEYS) -> None:
+    """Feature rows into a stored table that is partitioned by day: rows of a known key are replaced, others added.
+
+    Only the days at hand are read and written again.
+    """
+    spark = features.sparkSession
+    new = materialise(features, "features")
+    days = [r.day for r in new.select("day").distinct().collect()]  # the backfilled weeks
+    try:
+        old = spark.read.parquet(path).filter(F.col("day").isin(days))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        merged = new
+    else:
+        kept = old.join(new.select(*keys), list(keys), "left_anti")
+        merged = materialise(new.unionByName(kept, allowMissingColumns=True), "merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
+
+
+def look_up(wanted: DataFrame, path: str, keys: Sequence[str] = FEATURE_KEYS) -> DataFrame:
+    """The stored features of the wanted keys, absent ones as NULL; only the wanted days are read."""
+    stored = wanted.sparkSession.read.parquet(path)
+    return wanted.join(stored, list(keys), "left")

@@ -10,6 +10,7 @@ from millrace.operators.tables import grid
 from millrace.queries import inputs
 from millrace.queries.inputs import ORDERS_SQL, TRANSACTIONS_SQL
 from millrace.queries.registry import query
+from millrace.scratch import scratch_path
 from millrace.queries.staging import staged
 
 
@@ -210,10 +211,10 @@ def m23(t):
         F.min(F.when(y == 1, F.col("day"))).alias("first_positive"))
 
 
-def backfill_sql():
+def backfill_sql(weeks=(0, 1)):
     out = []
     names = pro.feature_names()
-    for n in (0, 1):
+    for n in weeks:
         asof = f"((SELECT max(day - CAST(dayofweek(day) + 1 AS INTEGER)) FROM tx) - 28 - {7 * n})"
         last = f"(SELECT max(day) FROM tx WHERE day <= {asof})"
         hh = summary_sql(["household_key"], ["30d"], last=last).replace("w30d AS", "h AS")
@@ -231,6 +232,17 @@ def m24(t):
     return pro.backfill(tx(t), pairs(t), weeks=2, windows=["30d"], ratios=False)
 
 
+@query("m24_stored_features", backfill_sql((0, 1, 2)))
+def m24_stored(t):
+    """Two backfills whose weeks overlap, merged into one stored table: one row per key."""
+    path = scratch_path(t.spark, "feature-table")
+    rows, keys = tx(t), pairs(t)
+    newest = rows.agg(F.max(pro.week_bucket("day"))).first()[0]
+    for known in (rows.filter(pro.week_bucket("day") < F.lit(newest)), rows):
+        pro.merge_features(pro.backfill(known, keys, weeks=2, windows=["30d"], ratios=False), path)
+    return pro.look_up(t.spark.read.parquet(path).select(*pro.FEATURE_KEYS), path)
+
+
 TRAIN_SQL = f"""
 WITH {LABEL_SQL}, past AS (SELECT hi - 28 AS day FROM ends),
 f AS (SELECT household_key, count(*) AS line_items_30d FROM tx, past
