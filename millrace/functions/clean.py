@@ -51,11 +51,13 @@ def strip_braces(c: str | Column) -> Column:
 def normalise_transactions(raw: DataFrame) -> DataFrame:
     """Discounts as positive amounts plus list and paid price (columns of a retailer's till export)."""
     zero = F.lit(0)
-    # each input on its own: an amount that is absent must not take the others along
-    coupon, match, retail, sales = (F.coalesce(F.col(c), zero) for c in ("coupon_disc", "coupon_match_disc", "retail_disc", "sales_value"))
+    coupon, match = F.col("coupon_disc"), F.col("coupon_match_disc")
+    retail, sales = F.col("retail_disc"), F.col("sales_value")
+    # whose coupon it was is decided with absent amounts as 0; a sum with an absent part is 0, as published
+    own, matched = F.coalesce(coupon, zero), F.coalesce(match, zero)
     made = {
-        "campaign_coupon_discount": F.when(match == 0, -coupon).otherwise(zero),
-        "manuf_coupon_discount": F.when(match != 0, -coupon).otherwise(zero),
+        "campaign_coupon_discount": F.when(matched == 0, -own).otherwise(zero),
+        "manuf_coupon_discount": F.when(matched != 0, -own).otherwise(zero),
         "manuf_coupon_match_discount": -match,
         "total_coupon_discount": -(coupon - match),
         "instore_discount": -retail,
@@ -65,7 +67,7 @@ def normalise_transactions(raw: DataFrame) -> DataFrame:
     used = {"coupon_disc", "coupon_match_disc", "retail_disc", "sales_value"}
     return raw.select(
         *[c for c in raw.columns if c not in used],
-        *[v.alias(k) for k, v in made.items()],
+        *[F.coalesce(v, zero).alias(k) for k, v in made.items()],
     )
 
 

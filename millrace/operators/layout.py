@@ -32,12 +32,32 @@ def with_zone(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str =
     return scaled.select(*df.columns, woven.alias(name))
 
 
-def write_clustered(df: DataFrame, columns: Sequence[str], path: str, files: int, bits: int = 8) -> None:
-    """Range-partition on the interleaved columns, so each file covers a small box of values."""
+def with_rank_zone(df: DataFrame, columns: Sequence[str], bits: int = 6, name: str = "zone") -> DataFrame:
+    """As ``with_zone``, but the steps are quantiles: one outlier does not put all other rows into one step.
+
+    The driver holds 2**bits - 1 cut points per column.
+    """
+    shares = [i / 2 ** bits for i in range(1, 2 ** bits)]
+    cuts = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c) for c in columns]).first()
+
+    def step(c: str) -> Column:
+        points = sorted(set(cuts[c] or []))
+        if not points:
+            return F.lit(0)
+        return F.when(F.col(c).isNull(), 0).otherwise(F.size(F.filter(F.array(*map(F.lit, points)), lambda p: p < F.col(c).cast("double"))))
+
+    return df.select(*df.columns, interleave([step(c) for c in columns], bits).alias(name))
+
+
+def write_clustered(df: DataFrame, columns: Sequence[str], path: str, files: int, bits: int = 6) -> None:
+    """Range-partition on the interleaved quantiles, so each file covers a small box of values.
+
+    The columns themselves break ties, so that rows of one zone can still be split over files.
+    """
     (
-        with_zone(df, columns, bits, "_zone")
-        .repartitionByRange(files, "_zone")
-        .sortWithinPartitions("_zone")
+        with_rank_zone(df, columns, bits, "_zone")
+        .repartitionByRange(files, "_zone", *columns)
+        .sortWithinPartitions("_zone", *columns)
         .drop("_zone")
         .write.mode("overwrite").parquet(path)
     )

@@ -25,16 +25,18 @@ def p12_whole(t):
 @query("p13_absent_amounts", f"""
 WITH {TRANSACTIONS_SQL},
 holes AS (
-  SELECT household_key, basket_id, product_id, units, CASE WHEN product_id % 7 = 0 THEN 0 ELSE coupon_disc END AS coupon,
-         CASE WHEN product_id % 5 < 2 THEN 0 ELSE coupon_match_disc END AS match, CASE WHEN product_id % 11 = 0 THEN 0 ELSE retail_disc END AS retail,
-         CASE WHEN product_id % 13 = 0 THEN 0 ELSE sales_value END AS sales FROM raw_tx)
-SELECT household_key, basket_id, product_id, units, CAST(CASE WHEN match = 0 THEN -coupon ELSE 0 END AS DOUBLE) AS campaign_coupon_discount,
-       CAST(CASE WHEN match <> 0 THEN -coupon ELSE 0 END AS DOUBLE) AS manuf_coupon_discount, CAST(-match AS DOUBLE) AS manuf_coupon_match_discount,
-       CAST(match - coupon AS DOUBLE) AS total_coupon_discount, CAST(-retail AS DOUBLE) AS instore_discount,
-       CAST(sales AS DOUBLE) AS amount_paid, CAST(sales - retail - coupon - match AS DOUBLE) AS amount_list
+  SELECT household_key, basket_id, product_id, units, CASE WHEN product_id % 7 > 0 THEN coupon_disc END AS coupon,
+         CASE WHEN product_id % 5 >= 2 THEN coupon_match_disc END AS match, CASE WHEN product_id % 11 > 0 THEN retail_disc END AS retail,
+         CASE WHEN product_id % 13 > 0 THEN sales_value END AS sales FROM raw_tx)
+SELECT household_key, basket_id, product_id, units,
+       CAST(CASE WHEN coalesce(match, 0) = 0 THEN -coalesce(coupon, 0) ELSE 0 END AS DOUBLE) AS campaign_coupon_discount,
+       CAST(CASE WHEN coalesce(match, 0) <> 0 THEN -coalesce(coupon, 0) ELSE 0 END AS DOUBLE) AS manuf_coupon_discount,
+       CAST(-coalesce(match, 0) AS DOUBLE) AS manuf_coupon_match_discount, CAST(coalesce(match - coupon, 0) AS DOUBLE) AS total_coupon_discount,
+       CAST(-coalesce(retail, 0) AS DOUBLE) AS instore_discount, CAST(coalesce(sales, 0) AS DOUBLE) AS amount_paid,
+       CAST(coalesce(sales - retail - coupon - match, 0) AS DOUBLE) AS amount_list
 FROM holes""")
 def p13_absent(t):
-    """Each amount is absent on some rows, alone and together with others; it counts as 0 and takes no other along."""
+    """Each amount is absent on some rows, alone and together with others."""
     raw = inputs.raw_transactions(t)
     p = F.col("product_id")
     for c, gone in (("coupon_disc", p % 7 == 0), ("coupon_match_disc", p % 5 < 2), ("retail_disc", p % 11 == 0), ("sales_value", p % 13 == 0)):

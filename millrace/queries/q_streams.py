@@ -15,7 +15,7 @@ from millrace.queries.inputs import POS_SQL, TRIPS_SQL, USERS_SQL
 from millrace.queries.q_inventory import stock_sql
 from millrace.queries.registry import query
 from millrace.queries.staging import arrive, finished, slices, staged, staged_as
-from millrace.scratch import scratch_path
+from millrace.scratch import materialise, scratch_path
 from millrace.streaming import cdc, runs
 
 # ---- stream-static joins -------------------------------------------------------------------
@@ -32,6 +32,12 @@ silver AS (
   WHERE TRY_CAST(month_text AS INTEGER) BETWEEN 1 AND 12 AND TRY_CAST(day_text AS INTEGER) BETWEEN 1 AND 31)"""
 
 
+def dimensions(t):
+    """Airports and airlines, written once: no micro-batch builds them again, and the planner knows their size."""
+    return (materialise(airline.airport_table(inputs.airports(t)), "airports"),
+            materialise(airline.airline_table(inputs.airline_rows(t)), "airlines"))
+
+
 def trip_files(t):
     return staged_as(t, "trips", inputs.trips(t), "json")
 
@@ -44,8 +50,7 @@ def j1(t):
     out, cp = scratch_path(t.spark, "j1-out"), scratch_path(t.spark, "j1-cp")
     stream = quality.drop_failing(
         runs.new_files(t.spark, trip_files(t), "json", inputs.trips(t).schema, max_files=2), airline.TRIP_RULES)
-    runs.land(airline.enrich_trips(
-        stream, airline.airport_table(inputs.airports(t)), airline.airline_table(inputs.airline_rows(t))), out, cp)
+    runs.land(airline.enrich_trips(stream, *dimensions(t)), out, cp)
     return t.spark.read.parquet(out).drop("origin_coordinates", "dest_coordinates")
 
 
@@ -157,8 +162,7 @@ def a16(t):
     out, cp = scratch_path(t.spark, "a16-out"), scratch_path(t.spark, "a16-cp")
     stream = quality.drop_failing(
         runs.new_files(t.spark, trip_files(t), "json", inputs.trips(t).schema, max_files=2), airline.TRIP_RULES)
-    trips = airline.enrich_trips(
-        stream, airline.airport_table(inputs.airports(t)), airline.airline_table(inputs.airline_rows(t)))
+    trips = airline.enrich_trips(stream, *dimensions(t))
     runs.each_batch(airline.daily_features(trips), runs.batch_log(out), cp, "update")
     return runs.newest_rows(t.spark, out, ["date", "airline_name"])
 
@@ -419,7 +423,7 @@ L3_SQL = stock_sql(POS_SQL.replace("FROM lineitem WHERE l_returnflag <> 'A')", "
 @query("l3_inventory", L3_SQL)
 def l3(t):
     """Dimension, count and document files to current stock; every document is delivered twice."""
-    text = lambda n, df: staged_as(t, f"pos-{n}", df, "csv", files=1, header=True)
+    text = lambda n, df: staged_as(t, f"pos-{n}", df, "csv", header=True)
     types = t.lineitem.select(
         F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("change_type_id"),
         F.when(F.col("l_linestatus") == "O", "bopis").otherwise("sale").alias("change_type")).distinct()

@@ -159,6 +159,13 @@ def test_layout_keeps_rows_and_interleaves(spark):
     assert rows(zoned.select("zone")) == sorted([(i,) for i in range(256)], key=repr)
 
 
+def test_one_outlier_does_not_fill_one_file(spark, tmp_path):
+    df = spark.range(10_000).select(F.when(F.col("id") == 0, 10 ** 9).otherwise(F.col("id") % 100).alias("a"), (F.col("id") % 97).alias("b"))
+    layout.write_clustered(df, ["a", "b"], str(tmp_path / "out"), files=8)
+    sizes = [r[0] for r in spark.read.parquet(str(tmp_path / "out")).groupBy(F.input_file_name()).count().select("count").collect()]
+    assert sum(sizes) == 10_000 and max(sizes) < 2 * 10_000 / 8
+
+
 # ---- sources, quality, cleaning ------------------------------------------------------------
 
 def test_rescue_keeps_every_line(spark):
@@ -203,11 +210,14 @@ def test_transaction_nulls_become_zero(spark):
     raw = spark.createDataFrame([(1, None, None, -2.0, 8.0)], "id int, coupon_disc double, coupon_match_disc double, retail_disc double, sales_value double")
     got = clean.normalise_transactions(raw).first()
     assert got["amount_list"] == 0.0 and got["instore_discount"] == 2.0 and got["total_coupon_discount"] == 0.0
+    raw = spark.createDataFrame([(1, -5.0, None, -2.0, 8.0)], "id int, coupon_disc double, coupon_match_disc double, retail_disc double, sales_value double")
+    assert clean.normalise_transactions(raw).first()["campaign_coupon_discount"] == 5.0
 
 
 # ---- streams -------------------------------------------------------------------------------
 
 def test_late_rows_are_counted(t):
+    t.spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")  # the count must not rest on kept reports
     src, out, cp = (scratch_path(t.spark, n) for n in ("late-in", "late-out", "late-cp"))
     middle = t.events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     counted = 0
