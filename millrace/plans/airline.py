@@ -81,6 +81,10 @@ class Airline:
         runs.each_batch(changes, cdc.scd1_batches(self.scd1, DELAY_KEYS, ["date"]), f"{cp}/scd1")
         runs.each_batch(changes, cdc.scd2_batches(self.log, self.scd2, DELAY_KEYS, "date", tracked=["is_arr_delayed"]), f"{cp}/scd2")
 
+    def metrics(self) -> DataFrame:
+        """What the rules passed, failed and dropped, over all trips taken in so far."""
+        return quality.rule_metrics(token_to_null(self.spark.read.parquet(self.bronze)), "trips", TRIP_RULES, "drop")
+
     def daily_table(self) -> DataFrame:
         return runs.newest_rows(self.spark, self.daily, ["date", "airline_name"])
 

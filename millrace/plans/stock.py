@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.analytics import inventory
+from millrace.operators import quality
 from millrace.scratch import scratch_path
 from millrace.streaming import runs
 
@@ -20,6 +21,9 @@ def change_rows(documents: DataFrame, change_types: DataFrame, delay: str = "1 h
     return once.join(change_types, "change_type_id")
 
 
+STOCK_RULES = {"positive_stock": "current_inventory > 0"}
+
+
 class Stock:
     def __init__(self, spark: SparkSession, items: str, stores: str, change_types: str, snapshots: str, documents: str):
         self.spark = spark
@@ -41,6 +45,10 @@ class Stock:
         types = spark.read.parquet(f"{base}/change_type")
         runs.land(change_rows(documents, types), f"{base}/changes", f"{cp}/changes")
 
+    def metrics(self, mode: str = "reference") -> DataFrame:
+        """How many rows of the current stock are positive; the others are reported and kept."""
+        return quality.rule_metrics(self.current(mode), "current_stock", STOCK_RULES)
+
     def current(self, mode: str = "reference") -> DataFrame:
         read = lambda n: self.spark.read.parquet(f"{self.base}/{n}")
         latest = read("latest").select("item_id", "store_id", "date_time", "quantity")

@@ -388,6 +388,16 @@ def l1(t):
     return airline_job(t).daily_table()
 
 
+@query("l1_rule_metrics", f"""
+WITH {TRIPS_SQL},
+r AS (SELECT TRY_CAST(month_text AS INTEGER) BETWEEN 1 AND 12 AS m, TRY_CAST(day_text AS INTEGER) BETWEEN 1 AND 31 AS d FROM trips)
+SELECT 'trips' AS dataset, name, count(*) FILTER (passed) AS passed_records, count(*) FILTER (passed IS NOT TRUE) AS failed_records,
+       count(*) FILTER ((m AND d) IS NOT TRUE) AS dropped_records, count(*) FILTER (m AND d) AS output_records
+FROM (SELECT *, unnest(['valid_month', 'valid_day']) AS name, unnest([m, d]) AS passed FROM r) GROUP BY name""")
+def l1_metrics(t):
+    return airline_job(t).metrics()
+
+
 @query("i4_latest_delays", f"""
 WITH {DELAY_SQL} SELECT airline_name, origin_city, dest_city, strftime(date, '%Y-%m-%d') AS date, is_arr_delayed, arr_delay FROM (
   SELECT *, row_number() OVER (PARTITION BY airline_name, origin_city, dest_city ORDER BY date DESC) AS r2 FROM one) WHERE r2 = 1""")
@@ -420,8 +430,7 @@ L3_SQL = stock_sql(POS_SQL.replace("FROM lineitem WHERE l_returnflag <> 'A')", "
     FROM lineitem) WHERE l_returnflag <> 'A')"""))
 
 
-@query("l3_inventory", L3_SQL)
-def l3(t):
+def stock_job(t):
     """Dimension, count and document files to current stock; every document is delivered twice."""
     text = lambda n, df: staged_as(t, f"pos-{n}", df, "csv", header=True)
     types = t.lineitem.select(
@@ -445,7 +454,20 @@ def l3(t):
     job = stock.Stock(t.spark, text("items", inputs.items(t)), text("stores", inputs.stores(t)), text("types", types),
                       counts, documents)
     job.run()
-    return job.current()
+    return job
+
+
+@query("l3_inventory", L3_SQL)
+def l3(t):
+    return finished(t, "stock", lambda: stock_job(t)).current()
+
+
+@query("l3_stock_metrics", f"""
+SELECT 'current_stock' AS dataset, 'positive_stock' AS name, count(*) FILTER (current_inventory > 0) AS passed_records,
+       count(*) FILTER ((current_inventory > 0) IS NOT TRUE) AS failed_records, CAST(0 AS BIGINT) AS dropped_records, count(*) AS output_records
+FROM ({L3_SQL})""")
+def l3_metrics(t):
+    return finished(t, "stock", lambda: stock_job(t)).metrics()
 
 
 @query("l4_taxi_zone_months", f"WITH {q_geo.BETWEEN_SQL} SELECT pickup_zone, month_id, {q_geo.TOTALS_SQL} FROM joined GROUP BY ALL")
