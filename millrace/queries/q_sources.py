@@ -111,7 +111,8 @@ def s7(t):
     src, out, cp = work(t, "s7-in"), work(t, "s7-out"), work(t, "s7-cp")
 
     def run():
-        schema = files.hinted_schema(t.spark, src, "csv", "id bigint, annual_income double, spending_core double", header=True)
+        schema = files.stored_schema(t.spark, f"{cp}-schema", lambda: files.hinted_schema(
+            t.spark, src, "csv", "id bigint, annual_income double, spending_core double", header=True))
         runs.land(runs.new_files(t.spark, src, "csv", schema, header=True), out, cp)
 
     arrive(slices(inputs.spend(t), "id", 2), src, "csv", run, header=True)

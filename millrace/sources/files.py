@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 RESCUED = "_rescued_data"
@@ -25,6 +27,18 @@ def hinted_schema(spark: SparkSession, path: str, fmt: str, hints: str | T.Struc
     return T.StructType([*fields, *wanted.values()])
 
 
+def stored_schema(spark: SparkSession, at: str, infer: Callable[[], T.StructType]) -> T.StructType:
+    """A schema inferred by the first run and kept as JSON in the folder ``at``; later runs read it and look at no data."""
+    try:
+        return T.StructType.fromJson(json.loads(spark.read.text(at).first()[0]))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    found = infer()
+    spark.createDataFrame([(found.json(),)], "value string").coalesce(1).write.text(at)
+    return found
+
+
 def with_corrupt_record(schema: T.StructType) -> T.StructType:
     """The schema plus the column in which the permissive JSON and CSV readers keep bad records."""
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])

@@ -159,6 +159,16 @@ def test_layout_keeps_rows_and_interleaves(spark):
     assert rows(zoned.select("zone")) == sorted([(i,) for i in range(256)], key=repr)
 
 
+def test_schema_is_inferred_once(spark, tmp_path):
+    asked = []
+
+    def infer():
+        asked.append(1)
+        return spark.range(1).schema
+    first, second = (files.stored_schema(spark, str(tmp_path / "schema"), infer) for _ in range(2))
+    assert first == second == spark.range(1).schema and len(asked) == 1
+
+
 def test_one_outlier_does_not_fill_one_file(spark, tmp_path):
     df = spark.range(10_000).select(F.when(F.col("id") == 0, 10 ** 9).otherwise(F.col("id") % 100).alias("a"), (F.col("id") % 97).alias("b"))
     layout.write_clustered(df, ["a", "b"], str(tmp_path / "out"), files=8)
