@@ -10,10 +10,14 @@ How the work stays bounded:
 * One hash per shingle fills ``BINS`` bins; empty bins borrow from a filled one along a fixed random probe order of their own
   (optimal densification). ``ROWS`` neighbouring bins form a band, and equal bands put classes into one bucket. At a
   similarity of 0.75 a pair shares none of the 40 buckets with probability (1 - 0.75**5)**40 = 2e-5.
-* A bucket yields a star: its smallest member with each other one. Confirmed stars are joined to components. Only where a bucket
-  still holds several components can a link be missing; there the pairs across components whose sizes allow a link are
-  compared as well. So the components are those of all candidate pairs, while a bucket of n copies costs n - 1 pairs.
+* A bucket yields a star: its smallest member with each other one. Confirmed stars are joined to components, and a bucket of n
+  copies costs n - 1 pairs. Only where a bucket still holds several components can a link be missing. The members of such
+  buckets are compared across components by prefix filtering, which is exact: with all shingles in one order (rare ones first), two
+  sets of n and m shingles that are linked share one of the first n - ceil(0.75 n) + 1, and the first they share stands so early
+  that enough shingles, 75 (n + m) / 175, are left from it on. Variants of one text that are not linked begin with
+  their own rare shingles and meet nowhere, however large their bucket is.
 * Both sides of a pair are sets recomputed from the texts, which are smaller than the sets; a hub's pairs are dealt over salts.
+* Joins that move texts or buckets are merge joins at every size, so that a small run shows the plan of a large one.
 
 Odd input: a document with a null id is returned with its set size, a null component and kept; rows that repeat an id are
 compared each on its own and share the id's links; equal texts are linked and the smallest id is kept; empty tables give empty
@@ -35,6 +39,7 @@ WORDS = 5
 BINS, ROWS = 200, 5
 PERCENT = 75
 HUB_PAIRS = 500  # pairs of one hub in a salt
+ORDER_SLOTS = 1 << 18  # counters that order shingles; any order is exact, a better one yields fewer candidates
 _SPACE = separators()
 _probes: dict[int, np.ndarray] = {}
 
@@ -112,19 +117,26 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {schema}")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough. ``texts`` has one row (rep, text) per class.
+def texts_of(ids: DataFrame, src: DataFrame) -> DataFrame:
+    """(rep, text) of the given reps."""
+    return (src.join(ids.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+            .withColumnRenamed("doc_id", "rep"))
+
+
+def confirmed(pairs: DataFrame, src: DataFrame) -> DataFrame:
+    """Those pairs (a, b) whose full sets are similar enough.
 
     A hub in very many pairs is dealt over salts, each with a copy of its text.
     """
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).cast("int").alias("n")).filter("n > 1")
-    spread = (pairs.join(salts, "a", "left")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    texts = texts_of(needed, src)
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).cast("int").alias("n"))
+    spread = (pairs.join(parts.filter("n > 1"), "a", "left")
               .withColumn("salt", F.when(F.col("n") > 1, F.pmod(F.xxhash64("b"), F.col("n"))).otherwise(F.lit(0)).cast("int")))
-    hubs = (pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).cast("int").alias("n"))
-            .join(texts.withColumnRenamed("rep", "a"), "a")
+    hubs = (parts.join(texts.withColumnRenamed("rep", "a").hint("merge"), "a")
             .select("a", F.explode(F.sequence(F.lit(0), F.col("n") - F.lit(1))).alias("salt"), F.col("text").alias("text_a")))
-    both = (spread.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(hubs, ["a", "salt"]).select("a", "b", "text_a", "text_b"))
+    both = (spread.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
+            .join(hubs.hint("merge"), ["a", "salt"]).select("a", "b", "text_a", "text_b"))
 
     def run(batches):
         for batch, col in chunks(batches, "text_b"):
@@ -169,6 +181,54 @@ def sizes_fit(n: str, m: str):
     return F.least(F.col(n), F.col(m)).cast("long") * 100 >= F.greatest(F.col(n), F.col(m)).cast("long") * PERCENT
 
 
+def across_components(members: DataFrame, src: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of different components among (rep, component), by prefix filtering: no linked pair is missing."""
+    kind = members.schema["rep"].dataType.simpleString()
+    texts = materialise(texts_of(members, src).join(members.hint("merge"), "rep").select("rep", "component", "text"), "open")
+
+    def counted(batches):
+        n = np.zeros(ORDER_SLOTS, np.int64)
+        for _, col in chunks(batches):
+            for s in shingle_sets(col):
+                n += np.bincount((s & np.uint64(ORDER_SLOTS - 1)).astype(np.int64), minlength=ORDER_SLOTS) if len(s) > 4096 else 0
+                if len(s) <= 4096:
+                    np.add.at(n, (s & np.uint64(ORDER_SLOTS - 1)).astype(np.int64), 1)
+        some = np.flatnonzero(n)
+        yield table("slot int, n long", [some.astype(np.int32), n[some]])
+
+    rows = texts.select("text").mapInArrow(counted, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    often = np.zeros(ORDER_SLOTS, np.int64)
+    often[rows["slot"].to_numpy(int)] = rows["n"].to_numpy(int)
+    often = src.sparkSession.sparkContext.broadcast(often)  # ORDER_SLOTS numbers
+
+    def prefixes(batches):
+        for batch, col in chunks(batches):
+            index, first, size, place = [], [], [], []
+            for d, s in enumerate(shingle_sets(col)):
+                rare = s[np.lexsort((s, often.value[(s & np.uint64(ORDER_SLOTS - 1)).astype(np.int64)]))]
+                rare = rare[: len(s) + (-PERCENT * len(s)) // 100 + 1]
+                index.append(np.full(len(rare), d))
+                first.append(rare)
+                size.append(np.full(len(rare), len(s)))
+                place.append(np.arange(len(rare)))
+            index = pa.array(np.concatenate(index))
+            out = table("shingle long, n int, pos int", [np.concatenate(first).view(np.int64), *(np.concatenate(x).astype(np.int32) for x in (size, place))])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *out.columns],
+                                             ["rep", "component", *out.schema.names])
+
+    entries = materialise(texts.mapInArrow(prefixes, f"rep {kind}, component {kind}, shingle long, n int, pos int"), "prefixes")
+    mixed_ = entries.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    entries = materialise(entries.join(mixed_.select("shingle"), "shingle", "left_semi"), "prefixes")
+    left = entries.select("shingle", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("component").alias("c_a"))
+    right = entries.select("shingle", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("component").alias("c_b"))
+    needed = PERCENT * (F.col("n_a") + F.col("n_b")).cast("long")
+    whole = 100 + PERCENT
+    return (left.join(right, "shingle")
+            .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & sizes_fit("n_a", "n_b")
+                    & (whole * (F.col("n_a") - F.col("p_a")) >= needed) & (whole * (F.col("n_b") - F.col("p_b")) >= needed))
+            .select("a", "b").distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``; kept marks the smallest id of each component."""
     spark = docs.sparkSession
@@ -176,35 +236,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = materialise(signatures(src), "signatures")
     known = rows.filter("doc_id IS NOT NULL AND n_shingles > 0")
     classes = materialise(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    members = (known.select("doc_id", "n_shingles", "digest", "buckets")
-               .join(classes, (known.doc_id == classes.rep) & (known.digest == classes.digest), "left_semi")
+    members = (known.join(classes.select(F.col("rep").alias("doc_id"), "digest").hint("merge"), ["doc_id", "digest"], "left_semi")
                .dropDuplicates(["doc_id", "digest"]))
-    # an id that repeats with another text may stand for two classes; its texts are kept apart by the digest
     entries = members.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("buckets").alias("bucket"))
-    stars = entries.groupBy("bucket").agg(F.min(F.struct("rep", "n_shingles")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    buckets = materialise(entries.join(stars, "bucket").select("bucket", "rep", "n_shingles", F.col("hub.rep").alias("hub"),
-                                                              F.col("hub.n_shingles").alias("hub_n")), "buckets")
-    pairs = materialise(buckets.filter((F.col("rep") != F.col("hub")) & sizes_fit("n_shingles", "hub_n"))
-                        .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    needed = pairs.select(F.col("a").alias("rep")).union(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = (src.join(needed, src.doc_id == needed.rep, "left_semi").select(F.col("doc_id").alias("rep"), "text"))
-    links = materialise(confirmed(pairs, texts), "links")
+    stars = entries.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    buckets = materialise(entries.join(stars.hint("merge"), "bucket").select("bucket", "rep", "n_shingles", "hub"), "buckets")
+    hub_sizes = members.select(F.col("doc_id").alias("hub"), F.col("n_shingles").alias("hub_n"))
+    pairs = materialise(buckets.filter("rep != hub").select("hub", "rep", "n_shingles").distinct().join(hub_sizes.hint("merge"), "hub")
+                        .filter(sizes_fit("n_shingles", "hub_n")).select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+    links = materialise(confirmed(pairs, src), "links")
     groups = components(spark, links)
-    # buckets that still hold several components
     placed = buckets.join(groups, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = materialise(placed.join(open_buckets.select("bucket"), "bucket", "left_semi")
-                       .filter("rep != hub"), "open")
-    left = rest.select("bucket", F.col("rep").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"))
-    right = rest.select("bucket", F.col("rep").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    more = materialise(left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & sizes_fit("n_a", "n_b"))
-                       .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        needed = more.select(F.col("a").alias("rep")).union(more.select(F.col("b").alias("rep"))).distinct()
-        texts = src.join(needed, src.doc_id == needed.rep, "left_semi").select(F.col("doc_id").alias("rep"), "text")
-        extra = materialise(confirmed(more, texts), "links")
-        if not extra.isEmpty():
-            groups = components(spark, links.union(extra))
+    mixed_ = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    rest = materialise(placed.join(mixed_.select("bucket"), "bucket", "left_semi").select("rep", "component").distinct(), "open")
+    more = materialise(across_components(rest, src).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    extra = materialise(confirmed(more, src), "links")
+    groups = components(spark, links.union(extra))
     of_class = classes.join(groups, "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     out = rows.drop("buckets").join(of_class, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
