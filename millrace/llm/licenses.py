@@ -3,7 +3,7 @@
 A paragraph is a line. Its features are its distinct words, pairs and triples of words (alphanumeric, A-Z lower-cased), hashed to
 ``SLOTS``. A multinomial logistic regression with one class per licence family and one for everything else is trained here on notices
 made from the templates (words dropped, swapped and added by a seeded generator) and on lines of the corpus that share at most a
-few n-grams with any template; at most ``TRAINING_LINES`` of them, chosen by hash. A temperature fitted on further generated lines and
+few n-grams with any template: at most ``TRAINING_LINES`` of them, from about as many documents chosen by hash. A temperature fitted on further generated lines and
 other lines of the corpus calibrates the probabilities, and a paragraph whose best family stays below ``CERTAIN`` is unknown. A family
 is confirmed if at least ``CONFIRMED`` of a template's words and pairs occur in the paragraph.
 
@@ -174,7 +174,7 @@ def train(docs: DataFrame, text_col: str = "text", copies: int = 60, seed: int =
             p = Paragraphs(raw, off)
             out = []
             begin = p.hashes[p.first[:-1]] ^ np.diff(p.first).astype(np.uint64)
-            for k in np.flatnonzero(mixed(begin) % np.uint64(64) == 0).tolist():
+            for k in np.flatnonzero(mixed(begin) % np.uint64(8) == 0).tolist():
                 h = p.hashes[p.first[k]: p.first[k + 1]]
                 if len(parts(h) & known) <= 3:
                     end = np.flatnonzero(raw[p.start[k]: p.start[k] + 2000] == 10)
@@ -183,7 +183,9 @@ def train(docs: DataFrame, text_col: str = "text", copies: int = 60, seed: int =
             yield table("line string", [out])
 
     src = docs.select(F.col(text_col).alias("text"))
-    lines = src.mapInArrow(plain, "line string").orderBy(F.xxhash64("line"), "line").limit(TRAINING_LINES)
+    share = min(1.0, TRAINING_LINES / max(1, src.count()))
+    chosen = src.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else src
+    lines = chosen.mapInArrow(plain, "line string").limit(TRAINING_LINES)
     corpus = [r.line for r in lines.collect()]
     filler = sorted({w for line in corpus[:200] for w in line.split()[:20]}) or ["the", "and"]
     model = fitted(notices(copies, seed, filler) + [(t, NONE) for t in corpus[::2]])

@@ -8,7 +8,7 @@ clean text, whose scale and place are fitted on clean documents, so that a passa
 The document's score is a logistic curve over the significance of its best passage and of all significant passages.
 
 Training rows: labelled documents whose crc32(doc_id as text) mod 4 is 0 or 1 give the word counts; near-identical documents (one
-min-hash of 5-word shingles) share one vote. Those with 3 calibrate, at most ``CALIBRATION_ROWS`` of them, chosen by hash. Rows with 2 are
+min-hash of 5-word shingles) share one vote. Those with 3 calibrate, about ``CALIBRATION_ROWS`` of them at most, chosen by hash. Rows with 2 are
 never used. Labels, language, source and ids are not inputs of a score.
 
 Odd input: null and empty texts have no passage and get the score of a text without evidence; null ids are scored; labels with nulls
@@ -182,9 +182,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = Model(word_scores(with_labels(docs, labels, id_col, text_col, label_col, [0, 1])))
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     chosen = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna()
-              .filter(fold(F.col("doc_id")) == 3).groupBy("doc_id").agg(F.max("y").alias("y"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS))
-    chosen = materialise(chosen, "calibration")
+              .filter(fold(F.col("doc_id")) == 3).groupBy("doc_id").agg(F.max("y").alias("y")))
+    share = min(1.0, CALIBRATION_ROWS / max(1, chosen.count()))
+    if share < 1:
+        chosen = chosen.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = passages(src.filter(fold(F.col("doc_id")) == 3), model).join(chosen, "doc_id").toPandas()
     return fitted(model, [(np.frombuffer(p, "<f4").tolist(), int(n), int(y)) for p, n, y in zip(rows["passages"], rows["n"], rows["y"])])
 
