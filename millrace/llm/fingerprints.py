@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from millrace.llm.text import column, mixed, table
+from millrace.llm.text import column, distinct, mixed, table
 
 PRIME = (1 << 31) - 1
 BASES = (911_382_323, 972_663_749)
@@ -112,10 +112,10 @@ def common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> int:
 def smallest(x: np.ndarray) -> np.ndarray:
     """The SKETCH smallest distinct numbers."""
     if len(x) > 8 * SKETCH:
-        few = np.unique(np.partition(x, 4 * SKETCH)[: 4 * SKETCH])
+        few = distinct(np.partition(x, 4 * SKETCH)[: 4 * SKETCH])
         if len(few) >= SKETCH:
             return few[:SKETCH]
-    return np.unique(x)[:SKETCH]
+    return distinct(x)[:SKETCH]
 
 
 def folded(x: np.ndarray) -> np.ndarray:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.text import Words, buffers, chunks, grams, mixed, separators, table
+from millrace.llm.text import Words, buffers, chunks, distinct, grams, mixed, separators, table
 
 SLOTS = 1 << 15
 TRAINING_LINES = 3000
@@ -77,7 +77,7 @@ class Paragraphs:
                 slot.append((g[inside] >> np.uint64(49)).astype(np.int64))
         if not owner:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        both = np.unique(np.concatenate(owner) * SLOTS + np.concatenate(slot))
+        both = distinct(np.concatenate(owner) * SLOTS + np.concatenate(slot))
         return both // SLOTS, both % SLOTS
 
 

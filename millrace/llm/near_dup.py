@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm.text import Words, buffers, chunks, column, grams, separators, table
+from millrace.llm.text import Words, buffers, chunks, column, distinct, grams, separators, table
 from millrace.scratch import materialise
 
 WORDS = 5
@@ -64,7 +64,7 @@ def sets_of(words: Words) -> list[np.ndarray]:
     for d in range(len(first) - 1):
         a, b = int(first[d]), int(first[d + 1])
         if b - a >= WORDS:
-            out.append(np.unique(all5[a: b - WORDS + 1]))
+            out.append(distinct(all5[a: b - WORDS + 1]))
         else:
             out.append(grams(hashes[a:b], b - a) if b > a else hashes[:0])
     return out

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.text import Words, buffers, chunks, grams, separators, table
+from millrace.llm.text import Words, buffers, chunks, distinct, grams, separators, table
 from millrace.scratch import materialise
 
 BUCKETS = 1 << 20
@@ -104,7 +104,7 @@ def with_labels(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                 a, b = int(at[d]), int(at[d + 1])
                 few = shingles[a: b - 4] if b - a >= 5 else words.hashes[a:b]
                 group.append(int(few.min() >> np.uint64(1)) if len(few) else -1)
-                packed.append(np.unique(own[a:b]).astype("<u4").tobytes())
+                packed.append(distinct(own[a:b]).astype("<u4").tobytes())
             out = table(schema, [group, packed])
             yield pa.RecordBatch.from_arrays([batch.column(0), *out.columns], ["doc_id", *out.schema.names])
 
