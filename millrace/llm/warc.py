@@ -135,10 +135,12 @@ def frames(data: bytes) -> Iterator[bytes]:
 
 
 def dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
-    """Trained on at most DICTIONARY_PAGES pages, chosen by hash; empty if there is too little to learn from."""
+    """Trained on about DICTIONARY_PAGES pages, chosen by hash; empty if there is too little to learn from."""
     import zstandard
-    rows = (pages.select(F.col(html_col).alias("html")).filter(F.length("html") > 0).select(F.substring("html", 1, 20_000).alias("html"))
-            .orderBy(F.xxhash64("html"), "html").limit(DICTIONARY_PAGES).collect())
+    full = pages.select(F.col(html_col).alias("html")).filter(F.length("html") > 0)
+    share = min(1.0, DICTIONARY_PAGES / max(1, full.count()))
+    rows = (full.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else full)
+    rows = rows.select(F.substring("html", 1, 20_000).alias("html")).limit(2 * DICTIONARY_PAGES).collect()
     samples = [r.html.encode() for r in rows]
     if len(samples) < 8:
         return b""
@@ -156,11 +158,16 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     src = src.withColumn("bytes", F.octet_length("html")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     groups = (src.filter(F.col("bytes") >= revisit_from).groupBy("digest", "bytes").agg(F.max("id").alias("first"))
               .withColumn("response", F.col("first").cast("string")))
-    placed = src.join(groups, ["digest", "bytes"], "left")
-    revisits = F.col("response").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
+    # the payloads move once, to their archives; which of them revisit is worked out on digests and follows them there
+    src = src.withColumn("row", F.concat(F.when(F.col("page").isNull(), "-").otherwise("+"), F.coalesce("page", F.lit(""))))
+    revisits = (src.select("row", "page", "digest", "bytes").distinct().join(groups.drop("first"), ["digest", "bytes"])
+                .filter(~F.col("page").eqNullSafe(F.col("response"))).select("row", "digest", "response"))
+    revisits = revisits.filter("response IS NOT NULL")
     total = src.agg(F.sum("bytes").alias("b")).first().b or 0
     archives = max(1, -(-total // ARCHIVE_BYTES))
-    rows = placed.select("page", "url", "html", F.when(revisits, F.col("response")).alias("response"))
+    placed = src.select("row", "digest", "page", "url", "html").repartition(archives, "row", "digest").hint("merge").join(
+        revisits.repartition(archives, "row", "digest"), ["row", "digest"], "left")
+    rows = placed.select("page", "url", "html", "response")
     words = dictionary(pages, html_col)
 
     def run(batches):
@@ -175,7 +182,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                 out.append(encoder.compress(record(page, url, html.encode(), response)))
             yield table("frame binary", [out])
 
-    (rows.repartition(archives, "page", "url").mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
+    (rows.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
      .write.option("lineSep", BETWEEN.decode("latin-1")).text(path))
 
 
