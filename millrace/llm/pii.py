@@ -1,6 +1,7 @@
 """Personal data: fixed patterns, and a semi-Markov conditional random field that adds spans the patterns miss.
 
-The field segments a stretch of tokens into entities of up to ``LONGEST`` tokens and single tokens outside. A candidate segment
+The field segments a stretch of tokens into entities and single tokens outside. Entities have up to ``LONGEST`` tokens, but a whole
+colon-separated address and a whole e-mail address, spelled or not, are candidates at any length. A candidate segment
 is scored as a whole (its shape, digit count, checksum, parts, neighbours), and dynamic programming over segment ends chooses
 boundaries and kinds together. It is trained here by maximum likelihood (forward-backward over segments) on generated
 lines, written in the forms of ``positives`` and ``negatives`` among made-up words; the number of lines and the seed are parameters.
@@ -28,7 +29,7 @@ from millrace.llm.text import column, table
 
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 18
-AROUND = 24  # characters on either side of a seed
+AROUND = 24  # characters on either side of a seed, or more if an e-mail address reaches further
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -105,6 +106,47 @@ _SPELLED = r"\((?:at|AT)\)|\[(?:at|AT)\]|\{(?:at|AT)\}"
 _SEED = re.compile(rf"[0-9][0-9 ().\-/]{{5,}}[0-9]|@|{_SPELLED}|(?:[0-9A-Fa-f]{{1,4}}:){{3,}}")
 _MARK = re.compile(rf"@|{_SPELLED}")
 _RUN = re.compile(r"[A-Za-z]+|[0-9]+")
+_SPELLED_DOT = r"(?:\((?:dot|DOT)\)|\[(?:dot|DOT)\]|\{(?:dot|DOT)\})"
+_DOT_BEFORE = re.compile(_SPELLED_DOT)
+_AFTER = re.compile(rf"[ \t]*[A-Za-z0-9-]+(?:(?:\.|[ \t]*{_SPELLED_DOT}[ \t]*)[A-Za-z0-9-]+)*")
+_GROUPS = re.compile(r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){3,}")
+
+
+def mail_around(text: str, a: int, b: int) -> tuple[int, int] | None:
+    """The whole run of address characters around the mark at a:b, with spelled dots in it."""
+    def local_before(end: int) -> int:
+        start = end
+        while start and text[start - 1] in _LOCAL:
+            start -= 1
+        return start
+
+    def blank_before(end: int) -> int:
+        while end and text[end - 1] in " \t":
+            end -= 1
+        return end
+
+    domain, end = _AFTER.match(text, b), blank_before(a)
+    start = local_before(end)
+    if not domain or start == end:
+        return None
+    while _DOT_BEFORE.match(text, (dot := blank_before(start)) - 5):
+        end = blank_before(dot - 5)
+        more = local_before(end)
+        if more == end:
+            break
+        start = more
+    return start, domain.end()
+
+
+def whole_addresses(text: str):
+    """(start, end) of whole e-mail addresses around their marks, and of up to eight colon-separated hexadecimal groups."""
+    for m in _MARK.finditer(text):
+        if span := mail_around(text, *m.span()):
+            yield span
+    for m in _GROUPS.finditer(text):
+        a, b = m.span()
+        if text.count(":", a, b) < 8 and not text[a - 1: a].isalnum() and not text[b: b + 1].isalnum():
+            yield a, b
 
 
 def shape(s: str) -> tuple[str, str]:
@@ -161,6 +203,10 @@ class Stretch:
                     break
                 if text[b - 1].isalnum() and b > seed[0] + (text[seed[0]].isdigit()) * 6:
                     self.candidates.append((i, j + 1))
+        starts, ends = {a: i for i, (a, _) in enumerate(self.spans)}, {b: j + 1 for j, (_, b) in enumerate(self.spans)}
+        for a, b in whole_addresses(text) if seeds else ():
+            if a in starts and b in ends and ends[b] - starts[a] > LONGEST:
+                self.candidates.append((starts[a], ends[b]))
         self.features = [self.segment(i, j) for i, j in self.candidates]
         if known is not None:
             self.features = [[known[f] for f in fs if f in known] for fs in self.features]
@@ -170,7 +216,7 @@ class Stretch:
         left = kind_of_char(self.text[a - 1]) if a else "^"
         right = kind_of_char(self.text[b]) if b < len(self.text) else "$"
         after = kind_of_char(self.text[b + 1]) if b + 1 < len(self.text) else "$"
-        return [*span_features(self.text[a:b]), f"left={left}", f"right={right}", f"right2={right}{after}", f"tokens={j - i}"]
+        return [*span_features(self.text[a:b]), f"left={left}", f"right={right}", f"right2={right}{after}", f"tokens={min(j - i, LONGEST + 1)}"]
 
 
 class Field:
@@ -235,10 +281,11 @@ def negatives(rng: random.Random) -> str:
     bad = d(16)
     bad = bad if not luhn(bad) else bad[:-1] + str((int(bad[-1]) + 1) % 10)
     x = "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([8, 32, 40, 64])))
+    pairs = ":".join("".join(rng.choice("0123456789abcdef") for _ in range(2)) for _ in range(rng.choice([6, 16, 20])))
     return rng.choice([f"20{d(2)}-0{d(1)}-1{d(1)}", f"{d(2)}.{d(2)}.19{d(2)}", f"{d(2)}:{d(2)}:{d(2)}", f"{d(1)}.{d(1)}", f"{d(3)}.{d(3)}.{d(3)},00", bad, x,
                        f'"{x}"', f"{d(7)}", f"{d(9)}", f"{d(12)}", f"978-{d(1)}-{d(5)}-{d(3)}-{d(1)}", f"{d(4)}-{d(4)}", f"{d(1)}.{d(2)}.{d(3)}.{d(4)}",
                        f"{d(20)}", f"{d(2)} {d(2)} {d(2)} {d(2)}", f"{d(3)}/{d(4)}-{d(2)}", "word@", "@name", f"v{d(1)}.{d(2)}.{d(1)}", f"{d(5)}-{d(6)}",
-                       f"19{d(2)}-20{d(2)}", f"{d(3)} {d(3)} {d(3)}", f"a@b", f"{d(10)}", f"{d(2)}:{d(2)}:{d(2)}:{d(3)}", f"{d(4)} {d(4)}"])
+                       f"19{d(2)}-20{d(2)}", f"{d(3)} {d(3)} {d(3)}", f"a@b", f"{d(10)}", f"{d(2)}:{d(2)}:{d(2)}:{d(3)}", f"{d(4)} {d(4)}", pairs])
 
 
 def generated_lines(lines: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
@@ -268,7 +315,9 @@ def train(lines: int = 900, seed: int = 11, rounds: int = 6, rate: float = 0.3,
     for s, gold in read:
         s.features = [[known[f] for f in fs if f in known] for fs in s.features]
         where = {(s.spans[i][0], s.spans[j - 1][1]): c for c, (i, j) in enumerate(s.candidates)}
-        data.append((s, [(where[a, b], KINDS.index(k)) for k, a, b in gold if (a, b) in where]))
+        if lost := [s.text[a:b] for _, a, b in gold if (a, b) not in where]:
+            raise ValueError(f"generated entities that are no candidates: {lost}")
+        data.append((s, [(where[a, b], KINDS.index(k)) for k, a, b in gold]))
     weights = np.full((len(known), len(KINDS)), -0.2)
     seen = np.full(weights.shape, 1e-6)
     field, rng = Field(known, weights), random.Random(seed)
@@ -317,9 +366,11 @@ def stretches(text: str, taken: list[tuple[int, int]]):
             at += 1
         if at < len(taken) and taken[at][0] <= a and taken[at][1] >= b:
             continue
-        low = max(text.rfind("\n", max(0, a - AROUND), a) + 1, max(0, a - AROUND), taken[at - 1][1] if at else 0)
-        line = text.find("\n", b, b + AROUND)
-        high = min(line if line >= 0 else b + AROUND, len(text))
+        first, past = (_MARK.fullmatch(text, a, b) and mail_around(text, a, b)) or (a, b)
+        first, past = max(0, min(a - AROUND, first - 2)), max(b + AROUND, past + 2)  # an address is seen with what stands beside it
+        low = max(text.rfind("\n", first, a) + 1, first, taken[at - 1][1] if at else 0)
+        line = text.find("\n", b, past)
+        high = min(line if line >= 0 else past, len(text))
         for t in taken[at:at + 1]:
             if t[0] >= a:
                 high = min(high, max(t[0], a))

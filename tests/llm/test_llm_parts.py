@@ -102,6 +102,45 @@ def test_added_spans_keep_off_base_spans_and_masking_covers_all(field):
     assert "555" not in pii.masked(text, field) and "[EMAIL]" in pii.masked(text, field)
 
 
+def forms(rng):
+    """Generated entities by form; the long ones have more tokens than LONGEST, or reach further than AROUND."""
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    name = lambda n=7: "".join(rng.choice("abcdefghilmnoprstuvz") for _ in range(n))
+    return {
+        ("ip", "eight full groups"): ":".join("".join(rng.choice("0123456789abcdef") for _ in range(4)) for _ in range(8)),
+        ("ip", "eight short groups"): ":".join("".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(1, 4))) for _ in range(8)),
+        ("email", "spelled, parts"): f"{name()}.{name(1)}.{name()} (at) {name()}.{name()} (dot) com",
+        ("email", "spelled, many labels"): f"{name()} [at] {name(2)} [dot] {name(3)} [dot] {name()} [dot] org",
+        ("email", "long local part"): f"{name(14)}.{name(14)}_{d(3)} (at) {name()} (dot) de",
+        ("email", "long domain"): f"{name()} [at] {name(15)} [dot] {name(16)} [dot] net",
+        ("email", "short spelled"): f"{name()} (at) {name()}.com",
+        ("card", "dotted"): ".".join(rng.choice(["4111.1111.1111.1111", "5500.0000.0000.0004"]).split(".")),
+        ("phone", "national"): f"({d(3)}) {d(3)}-{d(4)}",
+    }
+
+
+def test_every_form_is_found_whole():
+    field, rng, missed = pii.train(), random.Random(8), {}
+    for _ in range(60):
+        for (kind, form), s in forms(rng).items():
+            text = f"words before it {s} and behind"
+            if (kind, 16, 16 + len(s)) not in pii.all_spans(text, field)[1]:
+                missed.setdefault(form, []).append(s)
+    assert {f: len(m) for f, m in missed.items() if len(m) > 6} == {}, {f: m[:2] for f, m in missed.items()}
+
+
+def test_hexadecimal_pairs_are_no_addresses():
+    field, rng = pii.train(), random.Random(9)
+    texts = ["key " + ":".join(f"{rng.randrange(256):02x}" for _ in range(n)) + " end" for n in (6, 16, 20) for _ in range(40)]
+    assert sum(bool(pii.all_spans(t, field)[1]) for t in texts) <= 6
+
+
+def test_entities_that_are_no_candidates_are_refused(monkeypatch):
+    monkeypatch.setattr(pii, "generated_lines", lambda lines, seed: [("ab 12 cd", [("phone", 0, 2)])])
+    with pytest.raises(ValueError, match="no candidates"):
+        pii.train.__wrapped__(lines=1)
+
+
 # --- near duplicates ---------------------------------------------------------------------------------------------------------
 
 def test_signatures_estimate_similarity_and_small_sets_fill_all_bins():
