@@ -4,8 +4,9 @@
 quality as unknown and each labeller as independent given it; expectation-maximisation over the counts of all vote patterns
 (at most 3**11 of them, counted in Spark over all documents) estimates every labeller's accuracy and the share of good
 documents. An abstention is no evidence. The posterior of a document's pattern is its soft label. A linear scorer over hashed word shapes (letters as a and A,
-digits as 0, doubled bytes once; single shapes, pairs, and words equal to the one before) learns the soft labels of about ``SAMPLE_DOCS`` documents, chosen by hash, and scores
-every document. No human label is used.
+digits as 0, doubled bytes once; single shapes, pairs, and words equal to the one before) learns the soft labels of about ``SAMPLE_DOCS`` documents, and scores
+every document. They are chosen among those with enough words: a text with c copies stands for c times the sampled share of them, rounded up or
+down by its hash, so copies weigh what they are and none crowds out other texts. No human label is used.
 
 Odd input: texts of fewer than ``FEW_WORDS`` words, null and empty ones among them, get only abstentions, and the share of good documents as
 their score, so they stay where most documents are good; null ids are passed through; repeated rows are judged each on its own; an empty table gives an
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.text import Words, buffers, chunks, grams, mixed, separators, table
+from millrace.scratch import materialise
 
 SLOTS = 1 << 12
 SAMPLE_DOCS = 4000
@@ -170,8 +172,8 @@ def latent_classes(counts: dict[str, int], rounds: int = 500) -> tuple[dict[str,
     return dict(zip(names, q.tolist())), {v[0]: (float(right[1, i]), float(right[0, i])) for i, v in enumerate(VOTERS)}
 
 
-def fitted(rows: list[tuple[np.ndarray, np.ndarray]], soft: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Logistic weights for soft labels, by accelerated gradient steps with a small ridge."""
+def fitted(rows: list[tuple[np.ndarray, np.ndarray]], soft: np.ndarray, copies: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, float]:
+    """Logistic weights for soft labels of rows that count ``copies`` times, by accelerated gradient steps with a small ridge."""
     if not rows:
         return np.zeros(SLOTS), 0.0
     slot = np.concatenate([s for s, _ in rows])
@@ -179,11 +181,12 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], soft: np.ndarray, rounds:
     row = np.repeat(np.arange(len(rows)), [len(s) for s, _ in rows])
     w, b = np.zeros(SLOTS), 0.0
     w_old, b_old = w, b
+    part = copies / max(float(copies.sum()), 1.0)
     for t in range(rounds):
         pull = t / (t + 3)
         u, c = w + pull * (w - w_old), b + pull * (b - b_old)
         z = np.bincount(row, weights=u[slot] * value, minlength=len(rows)) + c
-        e = (soft - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) / len(rows)
+        e = (soft - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) * part
         w_old, b_old = w, b
         w = u + 2.0 * (np.bincount(slot, weights=e[row] * value, minlength=SLOTS) - 1e-5 * u)
         b = c + 2.0 * float(e.sum())
@@ -192,31 +195,41 @@ def fitted(rows: list[tuple[np.ndarray, np.ndarray]], soft: np.ndarray, rounds:
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Votes of all documents, their classes, and a scorer learned from the soft labels of a sample."""
-    src = docs.select(F.col(text_col).alias("text"))
+    src = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
 
     def vote(batches):
-        for _, col in chunks(batches):
+        for batch, col in chunks(batches):
             raw, off = buffers(col)
-            yield table("pattern string", [patterns(votes(raw, off, Words(raw, off, _SPACE, lower=False)))])
-
-    counted = src.mapInArrow(vote, "pattern string").groupBy("pattern").count().collect()  # at most 3**11 rows
-    counts = {r.pattern: r["count"] for r in counted}
+            words = Words(raw, off, _SPACE, lower=False)
+            keys = batch.column(1).to_numpy()
+            yield table("pattern string, key long", [patterns(votes(raw, off, words)), pa.array(keys, mask=words.counts() < FEW_WORDS)])
+
+    # a row per text that can be judged; the others have no key, and one row in all
+    texts = materialise(src.mapInArrow(vote, "pattern string, key long").groupBy("pattern", "key").agg(F.count("*").alias("n")), "texts")
+    counted = texts.groupBy("pattern").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("key").isNotNull(), F.col("n"))).alias("judged"))
+    counted = counted.collect()  # at most 3**11 rows
+    counts = {r.pattern: r.n for r in counted}
     posterior, accuracy = latent_classes(counts)
     total = sum(counts.values())
-    share = min(1.0, SAMPLE_DOCS / max(total, 1))
+    share = min(1.0, SAMPLE_DOCS / max(sum(r.judged or 0 for r in counted), 1))
+    copies = F.floor(F.col("n") * share + F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / (1 << 30))
+    chosen = {r.key: r.copies for r in texts.filter("key IS NOT NULL").select("key", copies.alias("copies")).filter("copies > 0").collect()}
 
     def describe(batches):
-        for _, col in chunks(batches):
+        done = set()  # a chosen text is described once a task
+        for batch, col in chunks(batches):
+            new = [k for k, key in enumerate(batch.column(1).to_pylist()) if not (key in done or done.add(key))]
+            col = col.take(pa.array(new, pa.int64()))
             raw, off = buffers(col)
             found = features(raw, off)
-            yield table("pattern string, slots binary, weights binary", [
-                patterns(votes(raw, off, Words(raw, off, _SPACE, lower=False))),
+            yield table("key long, pattern string, slots binary, weights binary", [
+                batch.column(1).take(pa.array(new, pa.int64())), patterns(votes(raw, off, Words(raw, off, _SPACE, lower=False))),
                 [s.astype("<u2").tobytes() for s, _ in found], [w.astype("<f4").tobytes() for _, w in found]])
 
-    chosen = src.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else src
-    sample = chosen.mapInArrow(describe, "pattern string, slots binary, weights binary").limit(2 * SAMPLE_DOCS).toPandas()
+    described = src.filter(F.col("key").isin(list(chosen))).mapInArrow(describe, "key long, pattern string, slots binary, weights binary")
+    sample = described.dropDuplicates(["key"]).toPandas().sort_values("key")  # about SAMPLE_DOCS rows at most
     rows = [(np.frombuffer(s, "<u2").astype(np.int64), np.frombuffer(w, "<f4").astype(float)) for s, w in zip(sample["slots"], sample["weights"])]
-    weights, intercept = fitted(rows, np.array([posterior[p] for p in sample["pattern"]]))
+    weights, intercept = fitted(rows, np.array([posterior[p] for p in sample["pattern"]]), np.array([float(chosen[k]) for k in sample["key"]]))
     prior = sum(posterior[p] * n for p, n in counts.items()) / total if total else 1.0
     return Model(posterior, accuracy, weights, intercept, prior)
 

@@ -201,6 +201,21 @@ def test_quality_agrees_with_labels(spark):
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.1
 
 
+def test_quality_sample_holds_texts_and_not_nulls_or_copies(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 100)
+    seen = {}
+    fit = quality.fitted
+    monkeypatch.setattr(quality, "fitted", lambda rows, soft, *n: seen.update(rows=rows, n=n) or fit(rows, soft, *n))
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdeghil") for _ in range(rng.randint(2, 9))) for _ in range(12)) + "." for _ in range(1500)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(k, None) for k in range(6000)] + [(None, "one text with a great many copies.")] * 1500
+    quality.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    n = seen["n"][0] if seen["n"] else [1.0] * len(seen["rows"])
+    usable = [c for (slots, _), c in zip(seen["rows"], n) if len(slots)]
+    assert 35 <= len(usable) <= 70 and len(usable) == len(seen["rows"])  # half of the sample is the text with copies
+    assert 80 <= sum(usable) <= 125 and 45 <= max(usable) <= 55
+
+
 def test_warc_odd(spark):
     rows = [(1, "http://a/b c\r\n", "same"), (5, None, "same"), (3, "u", "same"), (None, "u", "same"), (2, "u", None), (4, "u", ""), (6, "é", "x" * 300_000),
             (7, "u", "ü\r\n\r\nWARC/1.1"), (8, "u", "twice"), (8, "u", "twice"), (None, None, "only null")]
