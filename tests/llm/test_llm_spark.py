@@ -130,6 +130,32 @@ def test_licenses_odd_and_found(spark, odd):
     assert got[1][0].n_paragraphs == 0 and got[4][0].licenses == "" and sum(map(len, got.values())) == len(ODD) + 3
 
 
+def test_wrapped_and_embedded_notices_are_found(spark):
+    bsd = licenses.TEMPLATES["bsd"][0]
+    wrapped = bsd.replace("or without ", "or without\n")
+    rng = random.Random(6)
+    some = lambda n: " ".join("".join(rng.choice("abcdeghil") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    notice = "This work is licensed under a Creative Commons\n# Attribution-NonCommercial 4.0\n# International License."
+    texts = [wrapped, " * " + wrapped.replace("\n", "\n * "), f"{some(900)} {bsd} {some(900)}", f"{some(20)}\n# {notice}\n{some(20)}",
+             notice.split("\n")[0] + "\n\nAttribution to nobody is asked for.", f"{some(300)}\n{some(300)}", f"{some(9)}\n{some(9)}\n//\n{some(9)}\n\n{some(9)}",
+             f"{some(500)} {licenses.TEMPLATES['mit'][1]} {notice} {some(500)}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, licenses.train(docs, copies=30)).collect()}
+    assert [got[k].licenses for k in range(8)] == ["bsd", "bsd", "bsd", "cc-by-nc", "", "", "", "cc-by-nc,mit"]
+    assert [got[k].n_paragraphs for k in (0, 3, 5, 6)] == [1, 1, 1, 3] and [got[k].n_confirmed for k in (0, 2, 7)] == [1, 1, 2]
+
+
+def test_licence_sample_holds_texts_and_not_nulls_or_copies(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "TRAINING_LINES", 60)
+    seen, fit = [], licenses.fitted
+    monkeypatch.setattr(licenses, "fitted", lambda lines, *a: seen.extend(t for t, c in lines if c == licenses.NONE) or fit(lines, *a))
+    rng = random.Random(4)
+    many = ["\n".join("".join(rng.choice("abcdeghil ") for _ in range(30)) for _ in range(10)) for _ in range(300)]
+    rows = [(k, None) for k in range(3000)] + [(k, "\n".join(f"copied line {i}" for i in range(200))) for k in range(300)] + list(enumerate(many))
+    licenses.train(spark.createDataFrame(rows, "doc_id long, text string"), copies=5)
+    assert sum(any(line in t for t in many) for line in seen) >= 5
+
+
 def test_bpe_odd(odd):
     import public_tokenizers as vocabularies
     ranks, pattern = vocabularies.path("byte_bpe_50k.tiktoken"), vocabularies.PATTERN
