@@ -7,8 +7,8 @@ maximal-scoring segments (passages that cannot be made better by adding or remov
 clean text, whose scale and place are fitted on clean documents, so that a passage's significance does not depend on the document's length.
 The document's score is a logistic curve over the significance of its best passage and of all significant passages.
 
-Training rows: labelled documents whose crc32(doc_id as text) mod 4 is 0 or 1 give the word counts; near-identical documents (one
-min-hash of 5-word shingles) share one vote. Those with 3 calibrate, about ``CALIBRATION_ROWS`` of them at most, chosen by hash. Rows with 2 are
+Training rows: labelled documents whose crc32(doc_id as text) mod 4 is 0 or 1 give the word counts; near-identical documents
+(the smallest 5-word shingle in each of ``BINS`` ranges of hashes is the same, or missing from both) share one vote. Those with 3 calibrate, about ``CALIBRATION_ROWS`` of them at most, chosen by hash. Rows with 2 are
 never used. Labels, language, source and ids are not inputs of a score.
 
 Odd input: null and empty texts have no passage and get the score of a text without evidence; null ids are scored; labels with nulls
@@ -18,6 +18,7 @@ all every word scores 0 and the score is the prior of one half of ``THRESHOLD``.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
@@ -35,6 +36,7 @@ SMOOTH = 0.1  # of a toxic document, for a word seen in none
 LIMIT = 6.0  # of a word's score either way
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
+BINS = np.uint64(16)
 _ALNUM = separators("alnum")
 
 
@@ -70,6 +72,14 @@ def segments(score: np.ndarray) -> list[tuple[float, int, int]]:
     return [(r - l, a, b) for l, r, a, b, _ in held]
 
 
+def vote_group(shingles: np.ndarray) -> int:
+    """A number that documents share if their smallest hashes in all of ``BINS`` ranges agree."""
+    h = np.sort(shingles)
+    bins = h // (np.uint64((1 << 64) - 1) // BINS + np.uint64(1))
+    smallest = h[np.concatenate([[True], bins[1:] != bins[:-1]])] if len(h) else h
+    return int.from_bytes(hashlib.blake2b(smallest.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 @dataclass
 class Model:
     scores: np.ndarray  # per slot
@@ -103,7 +113,7 @@ def with_labels(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
             for d in range(len(col)):
                 a, b = int(at[d]), int(at[d + 1])
                 few = shingles[a: b - 4] if b - a >= 5 else words.hashes[a:b]
-                group.append(int(few.min() >> np.uint64(1)) if len(few) else -1)
+                group.append(vote_group(few))
                 packed.append(distinct(own[a:b]).astype("<u4").tobytes())
             out = table(schema, [group, packed])
             yield pa.RecordBatch.from_arrays([batch.column(0), *out.columns], ["doc_id", *out.schema.names])

@@ -297,6 +297,17 @@ def test_toxicity_odd_and_held_out(spark, odd):
     assert toxicity.score(odd.limit(0), blank).count() == 0 and all(r[0].score < 0.3 for r in by_id(toxicity.score(odd, blank)).values())
 
 
+def test_votes_are_shared_by_near_copies_and_not_over_a_passage(spark):
+    rng = random.Random(2)
+    some = lambda n: " ".join("".join(rng.choice("abcdeghil") for _ in range(rng.randint(3, 9))) for _ in range(n))
+    passage, long = some(80), some(500)
+    texts = [f"{some(30)} {passage} {some(30)}" for _ in range(400)] + [long] * 50 + [f"{long} {long} more"] * 50 + ["few words"] * 9
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "0 AS toxic")
+    got = toxicity.with_labels(docs, labels, "doc_id", "text", "toxic", [0, 1, 2, 3]).select("doc_id", "grp").toPandas().set_index("doc_id")["grp"]
+    assert got[got.index < 400].nunique() >= 395 and got[got.index >= 400].nunique() == 2  # the doubled text has nearly the same shingles
+
+
 @pytest.mark.parametrize("run", [
     lambda d, b: near_dup.near_duplicates(d), lambda d, b: pii.find(d, pii.train(lines=300, rounds=3)), lambda d, b: fingerprints.edited_pairs(d, 4),
     lambda d, b: decontam.decontaminate(d, b), lambda d, b: licenses.scan(d, licenses.train(d, copies=10))])
