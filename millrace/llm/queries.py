@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, ctw, decontam, fingerprints, licenses, near_dup, pii, quality, toxicity, warc
+from millrace.llm import bpe, ctw, decontam, fingerprints, licenses, near_dup, pii, quality, runs, toxicity, warc
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,9 @@ def op4_license_scan(spark, sf_dir):
     """Licence notices in every document."""
     docs = read(spark, sf_dir, "documents")
     return licenses.scan(docs, licenses.train(docs))
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in every document, some of which first get a periodic tail."""
+    return runs.digests(runs.find(read(spark, sf_dir, "documents"), seed=runs.repeated_tail))
