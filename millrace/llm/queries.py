@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, ctw, decontam, fingerprints, licenses, near_dup, pii, quality, runs, toxicity, warc
+from millrace.llm import bpe, ctw, decontam, fingerprints, langid, licenses, near_dup, pii, quality, runs, toxicity, warc
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,11 @@ def op4_license_scan(spark, sf_dir):
 def op13_periodic_runs(spark, sf_dir):
     """Periodic runs of words in every document, some of which first get a periodic tail."""
     return runs.digests(runs.find(read(spark, sf_dir, "documents"), seed=runs.repeated_tail))
+
+
+@query
+def op11_language_bitmasks(spark, sf_dir):
+    """Language of every document by n-gram filters with a bit a language."""
+    docs = read(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.train(docs))
+    return out.select("doc_id", (langid.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "n_grams", "second")
