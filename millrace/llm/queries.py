@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, ctw, decontam, fingerprints, langid, licenses, near_dup, pii, quality, runs, toxicity, warc
+from millrace.llm import align, bpe, ctw, decontam, fingerprints, langid, licenses, near_dup, pii, quality, runs, toxicity, warc
 from millrace.session import task_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,11 @@ def op11_language_bitmasks(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     out = langid.predict(docs, langid.train(docs))
     return out.select("doc_id", (langid.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "n_grams", "second")
+
+
+@query
+def op12_tokenizer_alignment(spark, sf_dir):
+    """Groups of two tokenizers' tokens in every document, and how frequent their links are in the corpus."""
+    import public_tokenizers as vocabularies
+    out = align.align(read(spark, sf_dir, "documents"), vocabularies.path("byte_bpe_50k.json"), vocabularies.path("piece_bpe_32k.model"), digest=True)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").cast("string").alias("groups_sha256"))
