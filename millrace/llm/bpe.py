@@ -2,7 +2,7 @@
 
 Rules for odd input: a null text is the empty text and has no tokens; a null doc_id is passed through; repeated rows are
 encoded each on its own; an empty table gives an empty result; only the two named columns are read, so further columns
-may have any name. The file is read by each Python worker from ``ranks``, a path that exists on every machine.
+may have any name, and where a result column has the name of one it takes its place. The file is read by each Python worker from ``ranks``, a path that exists on every machine.
 """
 
 from __future__ import annotations
@@ -57,10 +57,18 @@ def decode_ids(ids: np.ndarray, ranks: str, pattern: str) -> bytes:
 
 
 def with_tokens(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs``, and ``n_tokens``, ``ids`` (little-endian 32-bit numbers) and ``decoded`` (the bytes those ids stand for)."""
+    """All columns of ``docs``, and ``n_tokens``, ``ids`` (little-endian 32-bit numbers) and ``decoded`` (the bytes those ids stand for).
+
+    A column of ``docs`` that has one of these names is replaced.
+    """
     schema = "n_tokens long, ids binary, decoded binary"
     added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
 
+    if text_col in added.names:
+        kept = [c for c in docs.columns if c not in added.names]
+        return with_tokens(docs.select(*kept, F.col(text_col).alias("_text_")), ranks, pattern, "_text_").drop("_text_")
+    docs = docs.drop(*added.names)
+
     def run(batches):
         for batch, col in chunks(batches, text_col, CHUNK_BYTES):
             ids = [encode_text(t.decode("utf-8", "replace"), ranks, pattern) for t in col.to_pylist()]

@@ -6,8 +6,8 @@ shorter item) is found by intersecting the lists of its terms, each shifted back
 training text on: first the two rarest lists, then, in the documents left, all others. With a slack, every term may stand up
 to that many words beside its place (proximity match).
 
-A document is known by its id and a hash of its text, so null ids and repeated ids with different texts stay apart; rows equal in both give
-equal results. Null and empty texts have no words and are not contaminated. Items without words have no windows; an item with a null
+A document is known by its id and the 128-bit MD5 digest of its text, so null ids and repeated ids with different texts stay apart; rows equal in both
+give equal results. Null and empty texts have no words and are not contaminated. Items without words have no windows; an item with a null
 id is searched and marks words, but is not counted among the items. An empty benchmark contaminates nothing. Only the named columns
 are read.
 
@@ -25,6 +25,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # on text that is not lower-cased
 DOC = ["d", "v"]
+END = "."  # no word: it holds a character that parts words
 
 
 def words(text: Column) -> Column:
@@ -33,7 +34,13 @@ def words(text: Column) -> Column:
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("d"), F.hash(text_col).alias("v"), F.col(text_col).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("d"), digest(text).alias("v"), text.alias("text"))
+
+
+def digest(text: Column) -> Column:
+    """The 16 bytes that tell texts apart; a null text is an empty one."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -47,9 +54,13 @@ def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text
 
 
 def build_index(documents: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings (d, v, pos, term) of the training words that are in ``terms``."""
-    tokens = documents.select(*DOC, F.posexplode(words(F.col("text"))).alias("pos", "term"))
-    return materialise(tokens.join(terms, "term"), "postings")
+    """Postings (d, v, pos, term, n_words) of the training words that are in ``terms``; and for each row of ``documents`` one whose
+    term is ``END``, so that texts are split once only."""
+    split = documents.select(*DOC, words(F.col("text")).alias("ws"))
+    counted = split.select(*DOC, F.size(F.filter("ws", lambda w: w != "")).alias("n_words"), F.array_append("ws", F.lit(END)).alias("ws"))
+    tokens = counted.select(*DOC, "n_words", F.posexplode("ws").alias("pos", "term"))
+    wanted = terms.select("term").unionByName(terms.sparkSession.range(1).select(F.lit(END).alias("term")))
+    return materialise(tokens.join(materialise(wanted, "terms"), "term").select(*DOC, "pos", "term", "n_words"), "postings")
 
 
 def matches(index: DataFrame, wins: DataFrame, slack: int = 0) -> DataFrame:
@@ -57,6 +68,7 @@ def matches(index: DataFrame, wins: DataFrame, slack: int = 0) -> DataFrame:
 
     ``start`` is where the window begins as the rarest term sees it.
     """
+    index = index.filter(F.col("term") != END).select(*DOC, "pos", "term")
     places = wins.select("win", F.size("terms").alias("len"), F.posexplode("terms").alias("off", "term"))
     rarity = index.groupBy("term").agg(F.count("*").alias("n"))
     ranked = materialise(
@@ -100,20 +112,20 @@ def covered(found: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items, contaminated) per row; items is the sorted list of item ids as text."""
+    """(doc_id, n_words, n_hit, n_items, items, contaminated, text_digest) per row; items is the sorted list of item ids as text."""
     documents = identified(docs, id_col, text_col)
     wins = windows(benchmark, item_col, item_text_col, length)
-    terms = materialise(wins.select(F.explode("terms").alias("term")).distinct(), "terms")
-    found = matches(build_index(documents, terms), wins)
+    index = build_index(documents, wins.select(F.explode("terms").alias("term")).distinct())
+    found = matches(index, wins)
     hits = covered(found)
     of_doc = (found.select("win", *DOC).distinct().join(wins.select("win", F.explode("items").alias("item")), "win")
               .groupBy(*DOC).agg(F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")))
     marks = materialise(hits.join(of_doc.select(F.col("d").alias("d2"), F.col("v").alias("v2"), "items"),
                                   F.col("d").eqNullSafe(F.col("d2")) & (F.col("v") == F.col("v2")), "left")
                         .select(F.col("d").alias("hit_d"), F.col("v").alias("hit_v"), "n_hit", "items"), "marks")
-    sized = documents.select("d", "v", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).alias("n_words"))
+    sized = index.filter(F.col("term") == END).select(*DOC, "n_words")  # a row each
     out = sized.join(marks, F.col("d").eqNullSafe(F.col("hit_d")) & (F.col("v") == F.col("hit_v")), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return out.select(F.col("d").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"),
                       F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.size(items).cast("long").alias("n_items"),
-                      items.alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+                      items.alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), F.col("v").alias("text_digest"))

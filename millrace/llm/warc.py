@@ -42,13 +42,16 @@ def sha1(data: bytes) -> str:
 
 
 def record_id(page_id: str | None) -> str:
-    return f"<urn:page:{urllib.parse.quote(page_id, safe='') if page_id is not None else ''}>"
+    """A null id and an empty one are told apart by the colon."""
+    return "<urn:page>" if page_id is None else f"<urn:page:{urllib.parse.quote(page_id, safe='')}>"
 
 
 def page_of(record: str) -> str | None:
+    if record == "<urn:page>":
+        return None
     if not (record.startswith("<urn:page:") and record.endswith(">")):
         raise ValueError(f"not a record id of a page: {record[:80]}")
-    return urllib.parse.unquote(record[10:-1]) or None
+    return urllib.parse.unquote(record[10:-1])
 
 
 def record(page_id: str | None, url: str, payload: bytes, response: str | None) -> bytes:
