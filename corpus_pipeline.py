@@ -1,7 +1,8 @@
 """From raw documents to token ids: each stage is written as Parquet and read again as the next one's documents.
 
-Every stage works on all rows its predecessor kept. Rows with a null id are judged like others where a decision rests on the row's
-text, and kept where it rests on ids; extra columns are carried along until the last stage; an empty table stays empty.
+Every stage works on all rows its predecessor kept. Decisions hold for rows, not for ids: rows with a null id or with one that stands at
+several texts are judged each by its own text, and one of rows equal in id and text stays. Extra columns are carried along until the
+last stage; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import bpe, decontam, near_dup, pii, quality
+from millrace.llm.rows import row_key
 from millrace.scratch import materialise
 
 
@@ -18,16 +20,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
-    copies = near_dup.near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("copy__"))
-    return docs.join(copies.hint("merge"), docs["doc_id"] == copies["copy__"], "left_anti")
+    """One document, that of the smallest id (null ones last), of each group of near copies."""
+    keyed, key = row_key(docs)
+    copies = near_dup.near_duplicates(keyed, id_col=key).filter("NOT kept").select(F.col("doc_id").alias("copy__"))
+    return keyed.join(copies.hint("merge"), keyed[key] == copies["copy__"], "left_anti").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark window."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    found = decontam.decontaminate(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("hit__"))
-    return docs.join(found.hint("merge"), docs["doc_id"] == found["hit__"], "left_anti")
+    found = decontam.decontaminate(docs, benchmark).filter("contaminated")
+    found = found.select(F.col("doc_id").alias("hit__"), F.col("text_digest").alias("hit_text__"))
+    same = docs["doc_id"].eqNullSafe(found["hit__"]) & (decontam.digest(docs["text"]) == found["hit_text__"])
+    return docs.join(found.hint("merge"), same, "left_anti")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
