@@ -4,7 +4,7 @@ A text's words are its runs of letters (with their combining marks, lower-cased)
 words with a mark at each end. One bit-sliced Bloom filter holds the n-grams of all languages: a row of the table is a bitmask with one
 bit a language, an n-gram is entered by setting its languages' bits in ``PROBES`` rows, and the AND of those rows is the mask of all languages that
 contain it. A language that lacks the n-gram still shows its bit with a probability known from how full its slice is, so the
-counts of set bits per language are corrected for it: (hits - p * n) / (1 - p). The language with the largest corrected count decides.
+counts of set bits per language are corrected for it: (hits - p * n) / (1 - p). The language with the largest corrected count decides. Words are compared by 64-bit hashes, and a word that stands in a batch several times is looked up once.
 
 A language contains an n-gram if it uses it at least once in ``1 / RARE`` n-grams of that length and not ``DOMINANCE`` times less often than some
 other language; the first bounds the filter (no more than ``1 / RARE`` n-grams a language and length), the second keeps foreign words in a
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from millrace.llm.text import buffers, chunks, mixed, table
+from millrace.llm.text import BASE, BASE_INVERSE, buffers, chunks, mixed, powers, table
 from millrace.scratch import materialise
 
 SIZES = (1, 2, 3, 4)
@@ -42,6 +42,7 @@ PROBES = 3
 SLOTS_EACH = 8  # rows of the table for each n-gram of the language with most
 TABLE_BYTES = 1 << 26
 BLOCK_ROWS = 1 << 14
+CHUNK = 1 << 22  # bytes of text whose words are looked up at once
 FLUSH = 1 << 22
 UNKNOWN = "und"
 
@@ -71,40 +72,61 @@ def characters(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(whole.encode("utf-32-le"), np.uint32), starts[off]
 
 
-def features(col: pa.Array) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """Which rows have a letter, and for each size the n-grams of all rows with their rows (in order).
+@dataclass
+class LetterWords:
+    """The words of a batch: code points of all, and where each begins; ``edge[d]`` is the first word of row d."""
+    seq: np.ndarray
+    first: np.ndarray
+    edge: np.ndarray
+    has_letter: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        """64 bits that tell words apart."""
+        n = len(self.seq)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(mixed(self.seq.astype(np.uint64)) * powers(BASE, n)[:n], out=sums[1:])
+        return mixed((sums[self.first[1:]] - sums[self.first[:-1]]) * powers(BASE_INVERSE, n)[self.first[:-1]])
+
+    def chosen(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Code points and beginnings of some words, one behind the other."""
+        size = np.diff(self.first)[some]
+        first = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(first[-1]) + np.repeat(self.first[some] - first[:-1], size)
+        return self.seq[at], first
+
+
+def words_of(col: pa.Array) -> LetterWords:
+    code, letter = alphabet()
+    points, off = characters(col)
+    low = code[points]
+    word = np.concatenate([[False], low != 0, [False]])
+    edge = np.zeros(len(points) + 1, bool)
+    edge[off] = True
+    begin = np.flatnonzero(word[1:-1] & (~word[:-2] | edge[:-1]))
+    first = np.cumsum(word[1:-1])[begin] - 1  # places among the letters alone
+    seen = np.concatenate([[0], np.cumsum(letter[points])])
+    return LetterWords(low[low != 0], np.append(first, int(word.sum())), np.searchsorted(begin, off), np.diff(seen[off]) > 0)
+
+
+def ngrams(seq: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size the n-grams of all words with the number of their word, in order.
 
     An n-gram is a number of 54 bits, the lowest three its size.
     """
-    code, letter = alphabet()
-    points, first = characters(col)
-    rows = len(first) - 1
-    has = np.add.reduceat(np.concatenate([letter[points], [False]]).astype(np.int64), np.minimum(first[:-1], len(points))) > 0 if rows else np.zeros(0, bool)
-    has &= np.diff(first) > 0
-    # a mark before every row and at the end, then only one mark in a row
-    size = np.diff(first) + 1
-    row = np.append(np.repeat(np.arange(rows), size), rows)
-    seq = np.zeros(len(points) + rows + 1, np.uint32)
-    seq[np.arange(len(points)) + np.repeat(np.arange(rows), np.diff(first)) + 1] = code[points]
-    keep = np.ones(len(seq), bool)
-    keep[1:] = (seq[1:] != 0) | (seq[:-1] != 0)
-    seq, row = seq[keep].astype(np.uint64), row[keep]
-    out = []
+    size = np.diff(first)
+    word = np.append(np.repeat(np.arange(len(size)), size + 1), len(size))
+    marked = np.zeros(len(seq) + len(size) + 1, np.uint64)  # a mark before every word and at the end
+    marked[np.arange(len(seq)) + np.repeat(np.arange(len(size)), size) + 1] = seq
     for n in SIZES:
-        m = max(0, len(seq) - n + 1)
-        inner = seq[:m] != 0 if n == 1 else np.ones(m, bool)
+        m = max(0, len(marked) - n + 1)
+        inner = marked[:m] != 0 if n == 1 else np.ones(m, bool)
         for k in range(1, n - 1):
-            inner &= seq[k: k + m] != 0
-        at = np.flatnonzero(inner)
-        key = np.zeros(len(at), np.uint64)
-        for k in range(n):
-            key = key * np.uint64(0x9E3779B97F4A7C15) + seq[at + k]
-        if n > 1:  # the row of the first letter
-            own = row[at + (seq[at] == 0)]
-        else:
-            own = row[at]
-        out.append(((mixed(key + np.uint64(n)) >> np.uint64(13) << np.uint64(3)) | np.uint64(n), own))
-    return has, out
+            inner &= marked[k: k + m] != 0
+        at = np.flatnonzero(inner) if n != 2 else np.arange(m)
+        key = marked[at]
+        for k in range(1, n):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + marked[at + k]
+        yield (mixed(key + np.uint64(n)) >> np.uint64(13) << np.uint64(3)) | np.uint64(n), word[at]
 
 
 def places(gram: np.ndarray, rows: int) -> list[np.ndarray]:
@@ -129,17 +151,36 @@ class Model:
             out &= self.bits[p]
         return out
 
-    def counts(self, gram: np.ndarray, own: np.ndarray, rows: int) -> np.ndarray:
-        """Corrected number of n-grams that each language contains, per row."""
-        n = len(self.names)
-        edge = np.searchsorted(own, np.arange(rows + 1))
-        masks, hits = self.masks(gram), np.zeros((rows, 8 * self.bits.shape[1]))
-        for byte in range(self.bits.shape[1]):
-            sums = np.zeros((len(gram) + 1, 8), np.int64)
-            np.cumsum(np.unpackbits(masks[:, byte: byte + 1], axis=1, bitorder="little"), axis=0, out=sums[1:])
-            hits[:, 8 * byte: 8 * byte + 8] = np.diff(sums[edge], axis=0)
-        wrong = self.false * np.diff(edge)[:, None]
-        return np.maximum(0.0, hits[:, :n] - wrong) / np.maximum(1e-9, 1.0 - self.false)
+    def hits(self, seq: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each word how many n-grams each language seems to contain, and how many there are."""
+        words, width = len(first) - 1, self.bits.shape[1]
+        hits, n = np.zeros((words, 8 * width), np.int32), np.zeros(words, np.int64)
+        for gram, own in ngrams(seq, first):
+            edge = np.searchsorted(own, np.arange(words + 1))
+            n += np.diff(edge)
+            masks = self.masks(gram)
+            for byte in range(width):
+                sums = np.zeros((len(gram) + 1, 8), np.int32)
+                np.cumsum(np.unpackbits(masks[:, byte: byte + 1], axis=1, bitorder="little"), axis=0, out=sums[1:])
+                hits[:, 8 * byte: 8 * byte + 8] += np.diff(sums[edge], axis=0)
+        return hits[:, : len(self.names)], n
+
+    def corrected(self, hits: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Number of n-grams that each language contains, without those that only seem so."""
+        return np.maximum(0.0, hits - self.false * n[:, None]) / np.maximum(1e-9, 1.0 - self.false)
+
+    def counts(self, words: LetterWords) -> tuple[np.ndarray, np.ndarray]:
+        """Corrected counts and number of n-grams of each row; each different word is looked up once."""
+        _, some, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        hits, n = self.hits(*words.chosen(some))
+        rows = len(words.edge) - 1
+        total = np.concatenate([[0], np.cumsum(n[which])])
+        found = np.zeros((rows, len(self.names)))
+        for k in range(len(self.names)):
+            sums = np.concatenate([[0], np.cumsum(hits[which, k], dtype=np.int64)])
+            found[:, k] = np.diff(sums[words.edge])
+        total = np.diff(total[words.edge])
+        return self.corrected(found, total), total
 
 
 def fold(doc_id: Column) -> Column:
@@ -158,11 +199,15 @@ def counted(rows: DataFrame) -> DataFrame:
             key, where = np.unique(keys, return_inverse=True)
             return key, np.bincount(where, weights=n, minlength=len(key)).astype(np.int64)
 
-        for batch, col in chunks(batches):
-            lang = batch.column(batch.schema.get_field_index("lang")).to_numpy().astype(np.uint64)
-            for gram, own in features(col)[1]:
-                held.append(np.unique(gram * np.uint64(LANGUAGES) + lang[own], return_counts=True))
-                size += len(held[-1][0])
+        for batch, col in chunks(batches, size=CHUNK):
+            words = words_of(col)
+            lang = np.repeat(batch.column(batch.schema.get_field_index("lang")).to_numpy().astype(np.uint64), np.diff(words.edge))
+            # each different word of a language once, with its number
+            _, some, times = np.unique(words.hashes() + mixed(lang + np.uint64(1)), return_index=True, return_counts=True)
+            for gram, own in ngrams(*words.chosen(some)):
+                key, where = np.unique(gram * np.uint64(LANGUAGES) + lang[some][own], return_inverse=True)
+                held.append((key, np.bincount(where, weights=times[own], minlength=len(key)).astype(np.int64)))
+                size += len(key)
             if size > FLUSH:
                 held.append(summed())
                 size = len(held[-1][0])
@@ -246,19 +291,17 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches):
         own = spread.value
         names = np.array([*own.names, UNKNOWN], object)
-        for batch, col in chunks(batches):
-            has, grams = features(col)
-            rows, n = len(col), len(own.names)
-            total, seen = np.zeros((rows, max(n, 1) + 1)), np.zeros(rows, np.int64)
-            for gram, row in grams:
-                seen += np.bincount(row, minlength=rows)[:rows]
-                if n:
-                    total[:, :n] += own.counts(gram, row, rows)
-            order = np.argsort(-total[:, :max(n, 1)], axis=1, kind="stable")
+        for batch, col in chunks(batches, size=CHUNK):
+            words = words_of(col)
+            has, rows, n = words.has_letter, len(col), len(own.names)
+            found, seen = own.counts(words)
+            total = np.zeros((rows, max(n, 1)))
+            total[:, :n] = found
+            order = np.argsort(-total, axis=1, kind="stable")
             at = np.arange(rows)
             best = np.where(has & (n > 0), order[:, 0], n)
             other = np.where(has & (n > 1), order[:, 1 if n > 1 else 0], n)
-            top, next_ = total[at, order[:, 0]], np.where(other < n, total[at, np.minimum(other, max(n, 1))], 0.0)
+            top, next_ = total[at, order[:, 0]], np.where(other < n, total[at, np.minimum(other, max(n, 1) - 1)], 0.0)
             score = np.where(has & (top > 0), top / np.maximum(top + next_, 1e-9), 0.0)
             out = table(schema, [names[best].tolist(), score, seen, [None if i == n else names[i] for i in other.tolist()]])
             yield pa.RecordBatch.from_arrays([batch.column(0), *out.columns], ["doc_id", "lang_pred", "score", "n_grams", "second"])

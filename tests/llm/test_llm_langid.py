@@ -31,8 +31,10 @@ def plain(text):
 
 
 def numbered(texts):
-    """The operator's n-grams and rows, per size, of raw texts."""
-    return langid.features(pa.array([t.encode() if isinstance(t, str) else t for t in texts], pa.large_binary()))
+    """Which texts have a letter; and the operator's n-grams and texts, per size."""
+    words = langid.words_of(pa.array([t.encode() if isinstance(t, str) else t for t in texts], pa.large_binary()))
+    row = np.repeat(np.arange(len(texts)), np.diff(words.edge))
+    return words.has_letter, [(gram, row[own]) for gram, own in langid.ngrams(words.seq, words.first)]
 
 
 def test_ngrams_against_plain_python():
@@ -69,10 +71,22 @@ def test_filter_holds_every_entered_language_and_corrects(spark):
     assert (masks | ~members).all()  # nothing entered is missed
     others = np.unique(rng.randint(1 << 53, 1 << 54, 20_000).astype(np.uint64))
     both = np.concatenate([gram, others])
-    got = model.counts(both, np.zeros(len(both), np.int64), 2)
+    hits = np.unpackbits(model.masks(both), axis=1, bitorder="little")[:, :11].sum(axis=0)
+    got = model.corrected(np.array([hits, hits * 0]), np.array([len(both), 0]))
     assert np.abs(got[0] - members.sum(axis=0)).max() < 60 and not got[1].any()
 
 
+def test_counts_are_those_of_each_row_alone(spark):
+    docs = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate([("the cat and the dog", "en"), ("der hund die katze", "de")] * 9)], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    texts = ["the the hund", "", "katze, the katze!", "the the hund", "dog"]
+    found, n = model.counts(langid.words_of(pa.array([t.encode() for t in texts], pa.large_binary())))
+    for d, text in enumerate(texts):
+        gram = [np.concatenate(g) if g else np.zeros(0, np.uint64) for g in [[g for g, _ in numbered([text])[1]]]][0]
+        hits = np.unpackbits(model.masks(gram), axis=1, bitorder="little")[:, :2].sum(axis=0) if len(gram) else np.zeros(2)
+        assert n[d] == len(gram) and np.allclose(found[d], model.corrected(hits[None, :], np.array([len(gram)]))[0])
+
+
 def test_contained_against_plain_python(spark):
     docs = {0: ["ab ab abc", "abx"], 1: ["ab cd"], 2: ["zz ab " + "cd " * 40]}
     rows = [(l, t) for l, texts in docs.items() for t in texts]
