@@ -59,6 +59,26 @@ def _stock(rows: DataFrame) -> DataFrame:
     )
 
 
+def _never_counted(item: DataFrame, store: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row without a store for each item that some store never counted."""
+    n_stores = store.agg(F.count("*")).scalar()
+    seen = counts.groupBy("item_id").agg(F.count("*").alias("_seen"))
+    kinds = dict(counts.dtypes)
+    return (
+        item.join(seen, "item_id", "left")
+        .filter(F.coalesce("_seen", F.lit(0)) < n_stores)
+        .select(
+            "item_id",
+            F.lit(None).cast(kinds["store_id"]).alias("store_id"),
+            F.lit(None).cast(kinds["_counted"]).alias("_counted"),
+            F.lit(None).cast(kinds["_counted_at"]).alias("_counted_at"),
+            "name",
+            F.lit(None).cast("bigint").alias("_moved"),
+            F.lit(None).cast(kinds["_counted_at"]).alias("_moved_at"),
+        )
+    )
+
+
 def current_stock(
     items: DataFrame,
     stores: DataFrame,
@@ -102,22 +122,37 @@ def current_stock(
         .join(moved_since(kept, latest), ["item_id", "store_id"], "left")
         .drop("_movements")
     )
-    n_stores = store.agg(F.count("*")).scalar()
-    seen = counts.groupBy("item_id").agg(F.count("*").alias("_seen"))
-    never = (
-        item.join(seen, "item_id", "left")
-        .filter(F.coalesce("_seen", F.lit(0)) < n_stores)
-        .select(
-            "item_id",
-            F.lit(None).cast(dict(counts.dtypes)["store_id"]).alias("store_id"),
-            F.lit(None).cast(dict(counts.dtypes)["_counted"]).alias("_counted"),
-            F.lit(None).cast(dict(counts.dtypes)["_counted_at"]).alias("_counted_at"),
-            "name",
-            F.lit(None).cast("bigint").alias("_moved"),
-            F.lit(None).cast(dict(counts.dtypes)["_counted_at"]).alias("_moved_at"),
-        )
+    return _stock(counted.unionByName(_never_counted(item, store, counts)))
+
+
+def stock_of_balances(items: DataFrame, stores: DataFrame, balances: DataFrame, change_types: DataFrame | None = None,
+                      mode: str = "reference") -> DataFrame:
+    """The result of ``current_stock`` from kept balances: one row per item and store is read, and no movement.
+
+    ``change_types`` names the kinds of movement, if the balances were kept by its id. Dimensions are applied here, so a store
+    or kind that becomes known late counts with all its movements.
+    """
+    if mode not in ("reference", "fixed"):
+        raise ValueError(f"unknown mode {mode}")
+    keys = ["item_id", "store_id"]
+    item, store = items.select("item_id", "name"), stores.select("store_id").distinct()
+    rows = balances.join(stores.select("store_id", F.col("name").alias("_store_name")), "store_id")
+    moves = rows.select(*keys, "_store_name", F.inline("moved"))
+    if change_types is not None:
+        named = change_types.select(F.col("change_type_id").cast("string").alias("kind"), "change_type")
+        moves = moves.join(named, "kind").withColumn("kind", F.col("change_type"))
+    moved = (
+        moves.filter(~((F.col("_store_name") == "online") & (F.col("kind") == "bopis")))
+        .groupBy(*keys)
+        .agg(F.sum("quantity").alias("_moved"), F.timestamp_micros(F.max("at")).alias("_moved_at"))
     )
-    return _stock(counted.unionByName(never))
+    counts = rows.filter("counted_at IS NOT NULL").select(
+        *keys, F.col("counted").alias("_counted"), F.timestamp_micros("counted_at").alias("_counted_at"))
+    if mode == "fixed":
+        return _stock(grid(item, store).join(counts, keys, "left").join(moved, keys, "left"))
+    counts = materialise(counts, "counts")  # read twice, one row per counted item and store
+    counted = counts.join(item, "item_id").join(moved, keys, "left")
+    return _stock(counted.unionByName(_never_counted(item, store, counts)))
 
 
 def transaction_documents(changes: DataFrame, part_size: int = 10_000) -> DataFrame:

@@ -1,24 +1,23 @@
-"""Inventory: dimension files, counts and movement documents to current stock."""
+"""Inventory: dimension files, counts and movement documents to current stock.
+
+Each run reads what is new: documents become movement rows, each kept once however late it comes; counts and movements are folded into
+the balances of the items and stores they touch; the stock is read from the balances.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.analytics import inventory
 from millrace.operators import quality
 from millrace.scratch import scratch_path
-from millrace.streaming import runs
+from millrace.streaming import balances, once, runs
 
 DOCUMENT_SCHEMA = ("trans_id string, date_time timestamp, store_id int, change_type_id bigint, "
                    "items array<struct<item_id: bigint, quantity: int>>")
 SNAPSHOT_SCHEMA = "item_id bigint, store_id int, date_time timestamp, quantity int"
-
-
-def change_rows(documents: DataFrame, change_types: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Movement rows out of transaction documents: flattened, deduplicated, typed."""
-    rows = inventory.item_rows(documents)
-    once = runs.drop_repeats(rows, "date_time", delay, ["trans_id", "item_id"])
-    return once.join(change_types, "change_type_id")
+CHANGE_SCHEMA = "trans_id string, store_id int, date_time timestamp, change_type_id bigint, item_id bigint, quantity int"
+KEYS = ["item_id", "store_id"]
 
 
 STOCK_RULES = {"positive_stock": "current_inventory > 0"}
@@ -40,16 +39,25 @@ class Stock:
             runs.land(runs.new_files(spark, path, "csv", schemas[name], header=True), f"{base}/{name}", f"{cp}/{name}")
         counts = runs.new_files(spark, self.snapshot_files, "csv", SNAPSHOT_SCHEMA, header=True)
         runs.each_batch(counts, runs.history_and_latest(
-            f"{base}/history", f"{base}/latest", ["item_id", "store_id"], ["date_time"]), f"{cp}/snapshots")
+            f"{base}/history", f"{base}/latest", KEYS, ["date_time"]), f"{cp}/snapshots")
         documents = runs.new_files(spark, self.document_files, "json", DOCUMENT_SCHEMA)
-        types = spark.read.parquet(f"{base}/change_type")
-        runs.land(change_rows(documents, types), f"{base}/changes", f"{cp}/changes")
+        runs.each_batch(inventory.item_rows(documents), once.keep_first(
+            f"{base}/changes", f"{base}/index", ["trans_id", "item_id"], "date_time"), f"{cp}/changes")
+        both = balances.counts_and_movements(
+            runs.new_files(spark, f"{base}/history/*", "parquet", SNAPSHOT_SCHEMA),
+            runs.new_files(spark, f"{base}/changes/*", "parquet", CHANGE_SCHEMA), KEYS, "change_type_id")
+        balances.follow(both, KEYS, f"{base}/balances", f"{cp}/balances")
+
+    def arrivals(self) -> DataFrame:
+        """Per batch of documents: rows that arrived, were kept or were repeats, and how late some were."""
+        return once.report(self.spark, f"{self.base}/index")
 
     def metrics(self, mode: str = "reference") -> DataFrame:
         """How many rows of the current stock are positive; the others are reported and kept."""
         return quality.rule_metrics(self.current(mode), "current_stock", STOCK_RULES)
 
     def current(self, mode: str = "reference") -> DataFrame:
+        """Stock from the balances; the movements are not read again."""
         read = lambda n: self.spark.read.parquet(f"{self.base}/{n}")
-        latest = read("latest").select("item_id", "store_id", "date_time", "quantity")
-        return inventory.current_stock(read("item"), read("store"), latest, read("changes"), mode)
+        kept = balances.current_balances(self.spark, f"{self.base}/balances", KEYS)
+        return inventory.stock_of_balances(read("item"), read("store"), kept, read("change_type"), mode)

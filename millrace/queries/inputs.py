@@ -275,6 +275,16 @@ sales AS (
 """
 
 
+def calendar_sql(*keys: str) -> str:
+    """``full_days``: every day of each series from its first to its last, with its sales or 0, as the models see it."""
+    by = ", ".join(keys)
+    return f"""{SALES_SQL},
+day_totals AS (SELECT {by}, date, CAST(sum(sales) AS DOUBLE) AS y FROM sales GROUP BY ALL),
+ends AS (SELECT {by}, min(date) AS lo, max(date) AS hi FROM day_totals GROUP BY ALL),
+spine AS (SELECT {by}, lo, hi, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM ends),
+full_days AS (SELECT {by}, lo, hi, date, coalesce(y, 0) AS y FROM spine LEFT JOIN day_totals USING ({by}, date))"""
+
+
 def sales(t) -> DataFrame:
     return t.lineitem.select(
         F.col("l_shipdate").cast("date").alias("date"),

@@ -7,24 +7,23 @@ from pyspark.sql import functions as F
 
 from millrace.analytics import clv, forecast as fc, segments as seg, textclass as txt
 from millrace.queries import inputs
-from millrace.queries.inputs import ORDERS_SQL, SALES_SQL
-from millrace.queries.q_models import METRICS, SCORES, classified, customer_metrics, holdout, scored_customers
+from millrace.queries.inputs import ORDERS_SQL, SALES_SQL, calendar_sql
+from millrace.queries.q_models import METRICS, SCORES, WEEKDAYS, classified, customer_metrics, holdout, scored_customers
 from millrace.queries.registry import query
 from millrace.scratch import materialise
 
 
 @query("x3_item_forecast_facts", f"""
-WITH {SALES_SQL}, daily AS (SELECT item, date, sum(sales) AS sales FROM sales GROUP BY ALL)
-SELECT item, count(*) + 90 AS rows_out, CAST(sum(sales) AS DOUBLE) AS sold, CAST(1 AS DOUBLE) AS level, CAST(0 AS BIGINT) AS apart FROM daily GROUP BY item""")
+WITH {calendar_sql("item")}
+SELECT item, count(*) + 90 AS rows_out, sum(y) AS sold, CAST(1 AS DOUBLE) AS level, CAST(0 AS BIGINT) AS apart FROM full_days GROUP BY item""")
 def x3_facts(t):
-    """Rows, history, level, and days on which trend and seasons do not make up the forecast (up to the one common factor)."""
+    """Rows, history, level, and days on which trend and seasons do not make up the forecast."""
     rows = fc.forecast(inputs.sales(t), ["item"], horizon=90)
-    made = (1 + F.col("trend")) * (1 + F.col("weekly")) * (1 + F.col("yearly"))
-    rows = rows.withColumn("factor", F.when((F.col("yhat") > 0) & (F.col("trend") > 0), (1 + F.col("yhat")) / made))
-    out = rows.groupBy("item").agg(
-        F.count("*").alias("rows_out"), F.sum("y").alias("sold"), F.round(F.avg((1 + F.col("y")) / (1 + F.col("yhat"))), 6).alias("level"),
-        (F.max("factor") / F.min("factor") - 1).alias("ratio"))
-    return out.select("item", "rows_out", "sold", "level", F.when(F.col("ratio") > 1e-6, 1).otherwise(0).cast("bigint").alias("apart"))
+    made = F.col("trend") * (1 + F.col("weekly")) * (1 + F.col("yearly"))
+    past = F.col("y").isNotNull()
+    return rows.groupBy("item").agg(
+        F.count("*").alias("rows_out"), F.sum("y").alias("sold"), F.round(F.sum("y") / F.sum(F.when(past, F.col("yhat"))), 6).alias("level"),
+        F.count(F.when(F.abs(made - F.col("yhat")) > 1e-6 * (1 + F.col("yhat")), 1)).alias("apart"))
 
 
 @query("m12_allocation_adds_up", f"""
@@ -41,17 +40,39 @@ def m12_adds_up(t):
 
 
 @query("m13_backtest_rows", f"""
-WITH {SALES_SQL}, daily AS (SELECT item, date, CAST(sum(sales) AS DOUBLE) AS y FROM sales GROUP BY ALL),
-ends AS (SELECT item, min(date) AS lo, max(date) AS hi FROM daily GROUP BY item),
+WITH {calendar_sql("item")},
 cuts AS (SELECT item, hi - 180 - 90 * CAST(k AS INTEGER) AS cutoff FROM ends, range(0, 200) r(k) WHERE hi - 180 - 90 * CAST(k AS INTEGER) >= lo + 730)
 SELECT CAST(ceil((date - cutoff) / 30.0) * 30 AS INTEGER) AS days_ahead, count(*) AS n, sum(y) AS sold
-FROM cuts JOIN daily USING (item) WHERE date > cutoff AND date <= cutoff + 180 GROUP BY 1""")
+FROM cuts JOIN full_days USING (item) WHERE date > cutoff AND date <= cutoff + 180 GROUP BY 1""")
 def m13_rows(t):
     """Every later day of every origin is there, with what was sold."""
     errors = fc.backtest(inputs.sales(t), ["item"])
     return errors.groupBy((F.ceil(F.col("lead") / 30) * 30).cast("int").alias("days_ahead")).agg(F.count("*").alias("n"), F.sum("y").alias("sold"))
 
 
+@query("m13_backtest_of_weekday_means", f"""
+WITH {calendar_sql("item")},
+cuts AS (SELECT item, lo, hi - 180 - 90 * CAST(k AS INTEGER) AS cutoff FROM ends, range(0, 200) r(k) WHERE hi - 180 - 90 * CAST(k AS INTEGER) >= lo + 730),
+means AS (SELECT c.item, cutoff, isodow(date) AS d, avg(y) AS mean FROM cuts c JOIN full_days f ON f.item = c.item AND date <= cutoff GROUP BY ALL)
+SELECT CAST(ceil((date - c.cutoff) / 30.0) * 30 AS INTEGER) AS days_ahead, count(*) AS n, round(sqrt(avg((y - mean) * (y - mean))) + 1e-9, 5) AS rmse
+FROM cuts c JOIN full_days f ON f.item = c.item AND date > c.cutoff AND date <= c.cutoff + 180
+JOIN means m ON m.item = c.item AND m.cutoff = c.cutoff AND m.d = isodow(date) GROUP BY 1""")
+def m13_weekdays(t):
+    """The errors of a model that SQL can fit too: weekday means of the days up to each origin."""
+    rows = fc.rmse_by_lead(fc.backtest(inputs.sales(t), ["item"], settings=WEEKDAYS))
+    return rows.select("days_ahead", "n", F.round(F.col("rmse") + 1e-9, 5).alias("rmse"))
+
+
+@query("m13_beats_the_year_before", f"""
+WITH {calendar_sql("store")} SELECT store, true AS better FROM ends WHERE date_diff('day', lo, hi) >= 910""")
+def m13_better(t):
+    """Stores in which the backtest error is below that of the same weekday a year before."""
+    sales = inputs.sales(t)
+    model = fc.rmse_by_lead(fc.backtest(sales, ["store"], period=180), ["store"], 180).select("store", "rmse")
+    naive = fc.seasonal_naive(sales, ["store"]).groupBy("store").agg(F.sqrt(F.avg(F.pow(F.col("y") - F.col("yhat"), 2))).alias("year_before"))
+    return model.join(naive, "store").select("store", (F.col("rmse") < F.col("year_before")).alias("better"))
+
+
 @query("m14_best_trials", f"WITH {SALES_SQL} SELECT DISTINCT store, CAST({len(fc.GRID)} AS BIGINT) AS trials, true AS is_least FROM sales")
 def m14_best(t):
     tried = materialise(fc.search(inputs.sales(t), ["store"], period=180), "trials")

@@ -6,27 +6,25 @@ from pyspark.sql import functions as F
 
 from millrace.analytics import clv, forecast as fc, propensity as pro, rfm, segments as seg, textclass as txt
 from millrace.queries import inputs, q_customers
-from millrace.queries.inputs import SALES_SQL
+from millrace.queries.inputs import calendar_sql
 from millrace.queries.registry import query
 
 # ---- forecasts -----------------------------------------------------------------------------
 
 FORECAST_CHECK_SQL = f"""
-WITH {SALES_SQL}, daily AS (SELECT store, item, date, sum(sales) AS sales FROM sales GROUP BY ALL)
-SELECT store, item, count(*) + {{h}} AS rows_out, count(*) AS observed, CAST(sum(sales) AS DOUBLE) AS sold,
-       strftime(max(date) + {{h}}, '%Y-%m-%d') AS last_ds, CAST(0 AS BIGINT) AS out_of_order, CAST(1 AS DOUBLE) AS level FROM daily GROUP BY ALL"""
+WITH {calendar_sql("store", "item")}
+SELECT store, item, count(*) + {{h}} AS rows_out, count(*) AS observed, sum(y) AS sold,
+       strftime(max(date) + {{h}}, '%Y-%m-%d') AS last_ds, CAST(0 AS BIGINT) AS out_of_order, CAST(1 AS DOUBLE) AS level FROM full_days GROUP BY ALL"""
 
 
 def _checked(rows, keys):
-    """Per series: rows, history, last day, how many intervals do not enclose the forecast, and its level.
-
-    The model's factors back from logs make the mean of (1 + y) / (1 + yhat) over the history 1.
-    """
+    """Per series: rows, history, last day, how many intervals do not enclose the forecast, and observed by expected total of the history."""
     bad = (F.col("yhat_lower") > F.col("yhat")) | (F.col("yhat") > F.col("yhat_upper")) | F.isnan("yhat")
+    past = F.col("y").isNotNull()
     return rows.groupBy(*keys).agg(
         F.count("*").alias("rows_out"), F.count("y").alias("observed"), F.sum("y").alias("sold"),
         F.max("ds").alias("last_ds"), F.count(F.when(bad, 1)).alias("out_of_order"),
-        F.round(F.avg((1 + F.col("y")) / (1 + F.col("yhat"))), 6).alias("level"))
+        F.round(F.sum("y") / F.sum(F.when(past, F.col("yhat"))), 6).alias("level"))
 
 
 @query("m11_series_forecast", FORECAST_CHECK_SQL.format(h=90))
@@ -34,6 +32,25 @@ def m11(t):
     return _checked(fc.forecast(inputs.sales(t), ["store", "item"], horizon=90), ["store", "item"])
 
 
+# without trend and year, and with nothing shrunk, the model is the mean of each weekday: a forecast that SQL can state
+# (1e-9 keeps means that end in a 5 from being rounded either way)
+WEEKDAYS = fc.Settings(weekly=3, yearly=0, ridge=0.0, growth=False, form="demand")
+WEEKDAY_SQL = """
+weekday AS (SELECT store, item, CASE WHEN date_diff('day', lo, hi) >= 13 THEN isodow(date) ELSE 0 END AS d, avg(y) AS mean FROM full_days GROUP BY ALL)"""
+
+
+@query("m11_weekday_forecast", f"""
+WITH {calendar_sql("store", "item")}, {WEEKDAY_SQL},
+later AS (SELECT store, item, lo, hi, hi + CAST(k AS INTEGER) AS ds FROM ends, range(1, 29) r(k))
+SELECT store, item, strftime(ds, '%Y-%m-%d') AS ds, round(coalesce(a.mean, b.mean) + 1e-9, 4) AS yhat FROM later
+LEFT JOIN weekday a USING (store, item) LEFT JOIN (SELECT store AS s, item AS i, mean FROM weekday WHERE d = 0) b ON s = store AND i = item
+WHERE a.d = isodow(ds) OR a.d = 0""")
+def m11_weekdays(t):
+    """Four weeks to come of each series, days without sales counted as such."""
+    rows = fc.forecast(inputs.sales(t), ["store", "item"], horizon=28, settings=WEEKDAYS).filter("y IS NULL")
+    return rows.select("store", "item", "ds", F.round(F.col("yhat") + 1e-9, 4).alias("yhat"))
+
+
 @query("x2_grouped_forecast_30_days", FORECAST_CHECK_SQL.format(h=30))
 def x2(t):
     return _checked(fc.forecast(inputs.sales(t), ["store", "item"], horizon=30), ["store", "item"])
@@ -46,10 +63,10 @@ def x3(t):
 
 
 @query("m12_allocated_forecast", f"""
-WITH {SALES_SQL}, daily AS (SELECT item, date, sum(sales) AS y FROM sales GROUP BY ALL),
+WITH {calendar_sql("item")},
 share AS (SELECT store, item, CAST(sum(sales) AS DOUBLE) / CAST(sum(sum(sales)) OVER (PARTITION BY item) AS DOUBLE) AS ratio FROM sales GROUP BY store, item)
-SELECT store, item, count(*) AS days, min(CAST(y AS DOUBLE) * ratio) AS lowest, max(CAST(y AS DOUBLE) * ratio) AS highest,
-       strftime(max(date), '%Y-%m-%d') AS last_day FROM daily JOIN share USING (item) GROUP BY ALL""")
+SELECT store, item, count(*) AS days, min(y * ratio) AS lowest, max(y * ratio) AS highest,
+       strftime(max(date), '%Y-%m-%d') AS last_day FROM full_days JOIN share USING (item) GROUP BY ALL""")
 def m12(t):
     """The history side of the allocation, summarised per store and item."""
     rows = fc.allocated_forecast(inputs.sales(t)).filter("sales is not null")
@@ -76,16 +93,18 @@ def m14(t):
 
 
 @query("m15_forecast_table_report", f"""
-WITH {SALES_SQL}, daily AS (SELECT store, item, date, CAST(sum(sales) AS DOUBLE) AS y FROM sales GROUP BY ALL)
-SELECT store, item, strftime(date, '%Y-%m-%d') AS ds, y, '2024-06-30' AS training_date FROM daily
-WHERE item = (SELECT min(p_partkey % 50) FROM part) ORDER BY ds, store""")
+WITH {calendar_sql("store", "item")}, {WEEKDAY_SQL},
+days AS (SELECT store, item, lo, hi, date, y FROM full_days UNION ALL
+         SELECT store, item, lo, hi, hi + CAST(k AS INTEGER), NULL FROM ends, range(1, 31) r(k))
+SELECT store, item, strftime(date, '%Y-%m-%d') AS ds, y, round(mean + 1e-9, 4) AS yhat, '2024-06-30' AS training_date FROM days JOIN weekday USING (store, item)
+WHERE (d = 0 OR d = isodow(date)) AND item = (SELECT min(p_partkey % 50) FROM part) ORDER BY ds, store""")
 def m15(t):
     """One item out of the forecast table, stamped with the training date and ordered."""
-    rows = fc.forecast(inputs.sales(t), ["store", "item"], horizon=30).withColumn(
+    rows = fc.forecast(inputs.sales(t), ["store", "item"], horizon=30, settings=WEEKDAYS).withColumn(
         "training_date", F.lit("2024-06-30").cast("date"))
     first = t.part.agg(F.min(F.col("p_partkey") % 50)).scalar()
-    return rows.filter((F.col("item") == first) & F.col("y").isNotNull()).select(
-        "store", "item", "ds", "y", "training_date").orderBy("ds", "store")
+    return rows.filter(F.col("item") == first).select(
+        "store", "item", "ds", "y", F.round(F.col("yhat") + 1e-9, 4).alias("yhat"), "training_date").orderBy("ds", "store")
 
 
 # ---- segments ------------------------------------------------------------------------------

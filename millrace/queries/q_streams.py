@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import anonymise_users
 from millrace.operators import quality
 from millrace.operators.changes import change_feed
+from millrace.analytics import inventory
 from millrace.analytics.inventory import transaction_documents
 from millrace.analytics.segments import register_model
 from millrace.plans import airline, feeds, stock, taxi, users
@@ -16,7 +19,7 @@ from millrace.queries.q_inventory import stock_sql
 from millrace.queries.registry import query
 from millrace.queries.staging import arrive, finished, slices, staged, staged_as
 from millrace.scratch import materialise, scratch_path
-from millrace.streaming import cdc, runs
+from millrace.streaming import balances, cdc, once, runs
 
 # ---- stream-static joins -------------------------------------------------------------------
 
@@ -200,6 +203,18 @@ def t6(t):
     return t.spark.read.parquet(out)
 
 
+@query("t5_each_key_once", "SELECT event_id, user_id, event_type, value FROM events")
+def t5_once(t):
+    """The newest third comes first, then the oldest with purchases of all thirds again, then the middle one: no row is lost or doubled."""
+    src, out, cp = paths(t, "t5o")
+    index = scratch_path(t.spark, "t5o-index")
+    old, middle, new = event_parts(t, 3)
+    bought = t.events.filter("event_type = 'purchase'")
+    arrive([new, old.unionByName(bought), middle.unionByName(middle)], src, "parquet", lambda: runs.each_batch(
+        event_stream(t, src), once.keep_first(out, index, ["event_id", "user_id"], "ts"), cp))
+    return once.kept_rows(t.spark, out).select(*EVENT_COLUMNS)
+
+
 @query("t7_enrichment_after_dedup", """
 SELECT event_id, user_id, event_type, n_name FROM events JOIN nation ON user_id % 25 = n_nationkey""")
 def t7(t):
@@ -216,6 +231,38 @@ def t7(t):
     return t.spark.read.parquet(out)
 
 
+# ---- stock by what changed -----------------------------------------------------------------
+
+def kept_balances(t):
+    return finished(t, "balances", lambda: _kept_balances(t))
+
+
+def _kept_balances(t):
+    """Counts and movements in five arrivals each, dealt by order line, so that many come late."""
+    spark, keys = t.spark, ["item_id", "store_id"]
+    counted, moved, out, cp = (scratch_path(spark, f"balances-{n}") for n in ("counts", "moves", "out", "cp"))
+    line = t.lineitem.withColumn("part_", F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(5)))
+    counts = inputs.snapshots(SimpleNamespace(lineitem=line)).schema
+    moves = inputs.changes(SimpleNamespace(lineitem=line)).schema
+    for k in range(5):
+        some = SimpleNamespace(lineitem=line.filter(F.col("part_") == k))
+        inputs.snapshots(some).write.mode("append").parquet(counted)
+        inputs.changes(some).write.mode("append").parquet(moved)
+        both = balances.counts_and_movements(runs.new_files(spark, counted, "parquet", counts), runs.new_files(spark, moved, "parquet", moves), keys, "change_type")
+        balances.follow(both, keys, out, cp)
+    return balances.current_balances(spark, out, keys)
+
+
+@query("i1_incremental_stock", stock_sql(POS_SQL))
+def i1_incremental(t):
+    return inventory.stock_of_balances(inputs.items(t), inputs.stores(t), kept_balances(t))
+
+
+@query("i1_incremental_stock_each_store", stock_sql(POS_SQL, every_store=True))
+def i1_incremental_each(t):
+    return inventory.stock_of_balances(inputs.items(t), inputs.stores(t), kept_balances(t), mode="fixed")
+
+
 # ---- change data ---------------------------------------------------------------------------
 
 def change_stream(t, src):
@@ -431,7 +478,7 @@ L3_SQL = stock_sql(POS_SQL.replace("FROM lineitem WHERE l_returnflag <> 'A')", "
 
 
 def stock_job(t):
-    """Dimension, count and document files to current stock; every document is delivered twice."""
+    """Dimension, count and document files to current stock, in two unordered runs with repeated documents."""
     text = lambda n, df: staged_as(t, f"pos-{n}", df, "csv", header=True)
     types = t.lineitem.select(
         F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("change_type_id"),
@@ -445,15 +492,19 @@ def stock_job(t):
         F.when(F.col("l_linestatus") == "O", 1).otherwise(2).cast("bigint").alias("change_type_id"))
 
     def write(path):
-        documents = transaction_documents(rows).drop("part")
-        documents.unionByName(documents).write.json(path)
-
-    documents = staged(t, "pos-documents", write)
-    counts = staged_as(t, "pos-snapshots", inputs.snapshots(t), "csv", header=True,
-                       timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
-    job = stock.Stock(t.spark, text("items", inputs.items(t)), text("stores", inputs.stores(t)), text("types", types),
-                      counts, documents)
-    job.run()
+        transaction_documents(rows).drop("part").write.parquet(path)
+
+    documents = t.spark.read.parquet(staged(t, "pos-documents", write)).withColumn("_at", F.unix_micros("date_time"))
+    older, newer = [p.drop("_at") for p in slices(documents, "_at", 2)]
+    counts = inputs.snapshots(t).withColumn("_odd", F.col("item_id") % 2)
+    first, second = [p.drop("_odd") for p in slices(counts, "_odd", 2)]
+    counted, arrived = scratch_path(t.spark, "pos-snapshots"), scratch_path(t.spark, "pos-arrived")
+    job = stock.Stock(t.spark, text("items", inputs.items(t)), text("stores", inputs.stores(t)), text("types", types), counted, arrived)
+    # the newer half comes first; the older one follows, and every document of the newer one again
+    for some_counts, some_documents in ((second, newer), (first, older.unionByName(newer))):
+        some_counts.write.mode("append").options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss").csv(counted)
+        some_documents.write.mode("append").json(arrived)
+        job.run()
     return job
 
 
@@ -470,6 +521,18 @@ def l3_metrics(t):
     return finished(t, "stock", lambda: stock_job(t)).metrics()
 
 
+@query("l3_arrivals", f"""
+WITH {POS_SQL},
+line AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate FROM lineitem WHERE l_returnflag <> 'A'),
+ends AS (SELECT epoch_us(min(l_shipdate)) AS lo, epoch_us(max(l_shipdate)) AS hi FROM line),
+half AS (SELECT epoch_us(l_shipdate) < lo + (hi - lo) / 2 AS old, epoch_us(l_shipdate) AS t, hi FROM line, ends)
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) FILTER (NOT old) AS arrived, count(*) FILTER (NOT old) AS kept, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS below_watermark FROM half
+UNION ALL SELECT 1, count(*), count(*) FILTER (old), count(*) FILTER (NOT old), count(*) FILTER (t < hi - 3600000000) FROM half""")
+def l3_arrivals(t):
+    """Nothing is lost below the watermark, and no repeat is kept."""
+    return finished(t, "stock", lambda: stock_job(t)).arrivals().drop("newest")
+
+
 @query("l4_taxi_zone_months", f"WITH {q_geo.BETWEEN_SQL} SELECT pickup_zone, month_id, {q_geo.TOTALS_SQL} FROM joined GROUP BY ALL")
 def l4(t):
     from millrace.queries.q_sources import zone_files

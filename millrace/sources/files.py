@@ -92,6 +92,12 @@ def register_tables(spark: SparkSession, paths: Mapping[str, str], fmt: str = "p
         spark.read.format(fmt).load(path).createOrReplaceTempView(name)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system it is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def sub_folders(spark: SparkSession, base: str) -> list[str]:
     """Names of the directories right under ``base`` on whatever file system it is."""
     jvm = spark.sparkContext._jvm

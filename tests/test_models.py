@@ -81,6 +81,73 @@ def test_forecast_shape_and_skill(spark):
     assert error[0]["rmse"] < 6
 
 
+def one_series(spark, values, start="2020-01-01"):
+    days = pd.date_range(start, periods=len(values), freq="D")
+    rows = [(d.date(), int(v)) for d, v in zip(days, values) if v]  # days without sales have no row
+    return spark.createDataFrame([(1, *r) for r in rows], "item int, date date, sales int")
+
+
+def test_days_without_sales_count_as_such(spark):
+    """70 a week on one day are 280 in four weeks, and they stand on that day, whichever form is fitted."""
+    sales = one_series(spark, [70 if i % 7 == 3 else 0 for i in range(704)])
+    for form in ("auto", "sparse", "demand"):
+        rows = fc.forecast(sales, ["item"], 28, fc.Settings(form=form)).orderBy("ds").collect()
+        later = [r for r in rows if r.y is None]
+        assert abs(sum(r.yhat for r in later) - 280) < 3 and len(later) == 28
+        assert [r.ds.weekday() for r in later if r.yhat > 35] == [rows[0].ds.weekday()] * 4
+        assert sum(r.y for r in rows if r.y is not None) == 70 * 101 and all((b.ds - a.ds).days == 1 for a, b in zip(rows, rows[1:]))
+
+
+def test_size_and_spacing_apart():
+    rng = np.random.default_rng(3)
+    day = np.arange(2000.0)
+    y = np.where(rng.random(2000) < 0.1, rng.integers(20, 40, 2000), 0).astype(float)
+    m = fc.SeriesModel(day, y, fc.Settings())
+    out = m.predict(np.concatenate([day, 2000 + np.arange(60.0)]))
+    assert m.sparse and not fc.SeriesModel(day, y + 1, fc.Settings()).sparse
+    assert abs(out["yhat"][:2000].sum() / y.sum() - 1) < 1e-9 and 0.5 < out["yhat"][2000:].mean() / y.mean() < 2
+    inside = (y >= out["yhat_lower"][:2000]) & (y <= out["yhat_upper"][:2000])
+    assert inside.mean() > 0.93 and (out["yhat_upper"] >= out["yhat"]).all() and (out["yhat_lower"] == 0).all()
+    assert out["yhat_upper"][2000:].mean() > 25  # a sale has its size, not the mean over all days
+
+
+def test_trend_turns_where_it_did():
+    rng = np.random.default_rng(1)
+    t = np.arange(1200.0)
+    level = np.where(t < 700, 50 + 0.05 * t, 85 + 0.2 * (t - 700))
+    y = np.maximum(0, np.round(level + rng.normal(0, 3, 1200)))
+    later = 1199 + np.arange(1, 61.0)
+    truth = 85 + 0.2 * (later - 700)
+    bent, straight = (fc.SeriesModel(t, y, fc.Settings(changes=n)) for n in (12, 0))
+    assert np.abs(bent.mean(later) / truth - 1).max() < 0.05 < np.abs(straight.mean(later) / truth - 1).max()
+    assert (np.abs(bent.turns) > 0.3).sum() <= 4 and len(bent.turns) == 12  # the others are shrunk to nothing
+    wide, narrow = (m.predict(later) for m in (bent, straight))
+    assert (wide["yhat_upper"] - wide["yhat_lower"]).iloc[-1] > (wide["yhat_upper"] - wide["yhat_lower"]).iloc[0]
+
+
+def test_short_and_empty_series():
+    for y in ([0.0] * 40, [5.0], [5.0, 0.0, 7.0], [4.0] * 30, [-3.0, 2.0, 0.0]):
+        out = fc.SeriesModel(np.arange(float(len(y))), np.array(y), fc.Settings()).predict(np.arange(float(len(y) + 3)))
+        assert np.isfinite(out.to_numpy()).all() and (out["yhat"] >= 0).all()
+        assert abs(out["yhat"][:len(y)].sum() - np.maximum(y, 0).sum()) < 1e-6
+    with pytest.raises(ValueError):
+        fc.SeriesModel(np.arange(3.0), np.ones(3), fc.Settings(form="other"))
+
+
+def test_backtest_beats_the_year_before(spark):
+    rng = np.random.default_rng(5)
+    t = np.arange(1500)
+    busy = rng.poisson(20 * (1 + 0.4 * np.sin(2 * np.pi * t / 7)) * (1 + 0.3 * np.cos(2 * np.pi * t / 365.25)))
+    slow = rng.poisson(0.15 * (1 + 0.4 * np.sin(2 * np.pi * t / 7))) * rng.integers(1, 9, 1500)
+    slow[0] = slow[-1] = 1
+    for values in (busy, slow):
+        sales = one_series(spark, values)
+        error = fc.rmse_by_lead(fc.backtest(sales, ["item"]), (), 180).first()["rmse"]
+        naive = fc.seasonal_naive(sales, ["item"])
+        assert naive.count() == 1500 - 364
+        assert error < 0.85 * naive.select(F.sqrt(F.avg(F.pow(F.col("y") - F.col("yhat"), 2)))).first()[0]
+
+
 def test_cutoffs_leave_room():
     cuts = fc.cutoffs(0, 1500, 730, 90, 180)
     assert cuts[0] == 1320 and cuts[-1] >= 730 and all(a - b == 90 for a, b in zip(cuts, cuts[1:]))
