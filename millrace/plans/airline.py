@@ -8,7 +8,7 @@ from millrace.functions.clean import token_to_null
 from millrace.operators import quality
 from millrace.operators.tables import earliest_by
 from millrace.scratch import materialise, scratch_path
-from millrace.streaming import cdc, runs
+from millrace.streaming import cdc, histories, runs
 
 TRIP_RULES = {
     "valid_month": "try_cast(month_text as int) between 1 and 12",
@@ -66,8 +66,8 @@ class Airline:
         self.airports = materialise(airport_table(airports), "airports")
         self.airlines = materialise(airline_table(airlines), "airlines")
         base = scratch_path(spark, "airline")
-        self.bronze, self.silver, self.daily, self.scd1, self.log, self.scd2 = (
-            f"{base}/{n}" for n in ("bronze", "silver", "daily", "scd1", "log", "scd2"))
+        self.bronze, self.silver, self.daily, self.scd1 = (f"{base}/{n}" for n in ("bronze", "silver", "daily", "scd1"))
+        self.history = histories.History(spark, f"{base}/history", DELAY_KEYS, "date", tracked=["is_arr_delayed"])
         self.checkpoints = f"{base}/checkpoints"
 
     def run(self) -> None:
@@ -79,7 +79,7 @@ class Airline:
         runs.each_batch(daily_features(runs.table_stream(spark, self.silver)), runs.batch_log(self.daily), f"{cp}/daily", "update")
         changes = delays(runs.table_stream(spark, self.silver))
         runs.each_batch(changes, cdc.scd1_batches(self.scd1, DELAY_KEYS, ["date"]), f"{cp}/scd1")
-        runs.each_batch(changes, cdc.scd2_batches(self.log, self.scd2, DELAY_KEYS, "date", tracked=["is_arr_delayed"]), f"{cp}/scd2")
+        self.history.follow(changes)
 
     def metrics(self) -> DataFrame:
         """What the rules passed, failed and dropped, over all trips taken in so far."""
@@ -92,4 +92,4 @@ class Airline:
         return cdc.scd1_table(self.spark, self.scd1, DELAY_KEYS, ["date"])
 
     def delay_history(self) -> DataFrame:
-        return cdc.scd2_table(self.spark, self.scd2, DELAY_KEYS)
+        return self.history.table()

@@ -19,7 +19,7 @@ from millrace.queries.q_inventory import stock_sql
 from millrace.queries.registry import query
 from millrace.queries.staging import arrive, finished, slices, staged, staged_as
 from millrace.scratch import materialise, scratch_path
-from millrace.streaming import balances, cdc, once, runs
+from millrace.streaming import balances, cdc, histories, once, runs
 
 # ---- stream-static joins -------------------------------------------------------------------
 
@@ -296,6 +296,32 @@ def t9(t):
     return cdc.scd2_table(t.spark, out, ["user_id"])
 
 
+@query("t9_history_in_state", f"WITH {q_changes.EVENTS_SQL}, {q_changes.SCD2_SQL} SELECT * FROM scd2")
+def t9_state(t):
+    """Ten arrivals, the newest first; a short tail sends long keys with late changes to the log."""
+    return state_history(t, tail=20).table()
+
+
+@query("t9_history_of_batches", f"""
+WITH {q_changes.EVENTS_SQL}, {q_changes.SCD2_SQL},
+own AS (SELECT user_id, count(*) AS n FROM scd2 GROUP BY 1) SELECT count(*) AS users, CAST(sum(n) AS BIGINT) AS versions, 10 AS batches FROM own""")
+def t9_batches(t):
+    """Users and versions of the history, and how many micro-batches emitted some."""
+    job = state_history(t, tail=20)
+    own = job.table().groupBy("user_id").agg(F.count("*").alias("n"))
+    batches = t.spark.read.parquet(f"{job.base}/versions").select("batch_id").distinct().count()
+    return own.agg(F.count("*").alias("users"), F.sum("n").alias("versions")).withColumn("batches", F.lit(batches))
+
+
+def state_history(t, tail):
+    def run():
+        src = scratch_path(t.spark, "t9s-in")
+        job = histories.History(t.spark, scratch_path(t.spark, "t9s"), ["user_id"], "event_id", q_changes.DELETE, tracked=["band"], tail=tail)
+        arrive(event_parts(t, 10)[::-1], src, "parquet", lambda: job.follow(change_stream(t, src)))
+        return job
+    return finished(t, f"state-history-{tail}", run)
+
+
 @query("t10_deletes_in_change_data", f"WITH {q_changes.EVENTS_SQL}, {q_changes.SCD1_SQL} SELECT * FROM scd1")
 def t10(t):
     src, out, cp = paths(t, "t10")
