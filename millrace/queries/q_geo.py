@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import geo
-from millrace.operators import quality, spatial
+from millrace.operators import cover, quality, spatial
 from millrace.queries.registry import query
+from millrace.queries.staging import finished
+from millrace.scratch import materialise
 
 SIZE = 2.0
 
@@ -152,6 +154,30 @@ def g3(t):
     return spatial.tessellate(zones(t), "ring", SIZE).select("zone", "cell", "is_core")
 
 
+def zone_cover(t):
+    """The zones' cells of several sizes, written once for all joins."""
+    return finished(t, "zone-cover", lambda: materialise(cover.cover(zones(t), "ring", SIZE), "cover"))
+
+
+@query("g3_cover_of_several_sizes", f"""
+WITH {ZONES_SQL}, {CELLS_SQL} SELECT zone, cell, is_core FROM cells""")
+def g3_cover(t):
+    """Large cells cut down to the finest size are the cells of the even grid."""
+    ix, iy = cover.steps_of(F.col("cell"))
+    return cover.flat(zone_cover(t)).select("zone", geo.cell_at(ix, iy).alias("cell"), "is_core")
+
+
+@query("g4_cells_of_several_sizes", f"""
+WITH {TRIPS_SQL} SELECT event_id, CAST(floor(px / {SIZE}) AS BIGINT) AS ix, CAST(floor(py / {SIZE}) AS BIGINT) AS iy,
+       CAST(floor(px / {8 * SIZE}) AS BIGINT) AS wide_ix, CAST(floor(py / {8 * SIZE}) AS BIGINT) AS wide_iy FROM trip""")
+def g4_sizes(t):
+    """A point's finest cell and the one three levels above it, back as steps."""
+    at = cover.cell(geo.point("pickup_longitude", "pickup_latitude"), SIZE)
+    rows = trips(t).select("event_id", at.alias("cell")).withColumn("first", cover.parent(F.col("cell"), 3) * 64)
+    (ix, iy), (wx, wy) = cover.steps_of(F.col("cell")), cover.steps_of(F.col("first"))
+    return rows.select("event_id", ix.alias("ix"), iy.alias("iy"), F.floor(wx / 8).alias("wide_ix"), F.floor(wy / 8).alias("wide_iy"))
+
+
 @query("g4_point_to_cell", f"""
 WITH {TRIPS_SQL} SELECT event_id, {CELL_OF('px', 'py')} AS cell FROM trip""")
 def g4(t):
@@ -162,16 +188,14 @@ def g4(t):
 WITH {ZONES_SQL}, {TRIPS_SQL}, {in_zone_sql('found', 'px', 'py')} SELECT event_id, zone FROM found""")
 def g5(t):
     points = trips(t).select("event_id", geo.point("pickup_longitude", "pickup_latitude").alias("at"))
-    cells = spatial.tessellate(zones(t), "ring", SIZE)
-    return spatial.points_in_zones(points, "at", cells, SIZE).select("event_id", "zone")
+    return cover.located(points, "at", zone_cover(t), SIZE).select("event_id", "zone")
 
 
 @query("j11_spatial_join_counts", f"""
 WITH {ZONES_SQL}, {TRIPS_SQL}, {in_zone_sql('found', 'dx', 'dy')} SELECT zone, count(*) AS dropoffs FROM found GROUP BY 1""")
 def j11(t):
     points = trips(t).select("event_id", geo.point("dropoff_longitude", "dropoff_latitude").alias("at"))
-    cells = spatial.tessellate(zones(t), "ring", SIZE)
-    return spatial.points_in_zones(points, "at", cells, SIZE).groupBy("zone").agg(F.count("*").alias("dropoffs"))
+    return cover.located(points, "at", zone_cover(t), SIZE).groupBy("zone").agg(F.count("*").alias("dropoffs"))
 
 
 RULES_SQL = f"""
@@ -190,6 +214,8 @@ def good_trips(t):
 
 
 def between(t, mode="exact"):
+    if mode == "exact":
+        return cover.trips_between(good_trips(t), zone_cover(t), SIZE)
     return spatial.trips_between_zones(good_trips(t), spatial.tessellate(zones(t), "ring", SIZE), SIZE, mode)
 
 

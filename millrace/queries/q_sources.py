@@ -10,7 +10,7 @@ from millrace.queries.inputs import USERS_SQL
 from millrace.queries.registry import query
 from millrace.queries.staging import arrive, slices, staged, staged_as
 from millrace.scratch import scratch_path
-from millrace.sources import files, sinks
+from millrace.sources import evolving, files, sinks
 from millrace.streaming import runs
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -119,6 +119,36 @@ def s7(t):
     return t.spark.read.parquet(out)
 
 
+LATE_SQL = """
+WITH e AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
+p AS (SELECT orders.*, CASE WHEN o_orderkey < lo + (hi - lo) / 3 THEN 1 WHEN o_orderkey < lo + (hi - lo) * 2 / 3 THEN 2 ELSE 3 END AS part FROM orders, e)
+SELECT o_orderkey, o_totalprice, CASE WHEN part > 1 THEN o_custkey END AS o_custkey, CASE WHEN part > 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS ordered,
+       CASE WHEN part > 2 THEN o_orderpriority END AS o_orderpriority, CAST(NULL AS VARCHAR) AS _rescued_data FROM p"""
+
+
+def late_columns(t, fmt, **options):
+    """Three arrivals, each with more columns than the one before and in another order."""
+    src = work(t, f"late-{fmt}-in")
+    job = evolving.Evolving(t.spark, src, fmt, work(t, f"late-{fmt}"), "o_orderkey bigint, o_totalprice double")
+    names = [["o_orderkey", "o_totalprice"], ["ordered", "o_totalprice", "o_custkey", "o_orderkey"],
+             ["o_custkey", "o_orderpriority", "o_orderkey", "ordered", "o_totalprice"]]
+    parts = slices(t.orders.withColumn("ordered", F.date_format("o_orderdate", "yyyy-MM-dd")), "o_orderkey", 3)
+    for part, columns in zip(parts, names):
+        part.select(*columns).write.mode("append").options(**options).format(fmt).save(src)
+        job.run()
+    return job
+
+
+@query("s7_late_column", LATE_SQL)
+def s7_late(t):
+    return late_columns(t, "csv", header=True).table()
+
+
+@query("s10_late_field", LATE_SQL)
+def s10_late(t):
+    return late_columns(t, "json").table()
+
+
 @query("s8_incremental_multiline_json", """
 SELECT r_name AS type, count(*) AS features, min(s_name) AS first_zone
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
