@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.functions.clean import token_to_null
-from millrace.operators import quality
 from millrace.operators.tables import earliest_by
 from millrace.scratch import materialise, scratch_path
-from millrace.streaming import cdc, histories, runs
+from millrace.sources.files import RESCUED, rescue_json
+from millrace.streaming import cdc, checked, histories, runs
 
 TRIP_RULES = {
     "valid_month": "try_cast(month_text as int) between 1 and 12",
     "valid_day": "try_cast(day_text as int) between 1 and 31",
+    "valid_weekday": "try_cast(weekday_text as int) between 1 and 7",
 }
+# what did not fit is counted and kept in the side column; a line that is no record at all goes no further
+RAW_RULES = {"nothing_rescued": "_rescued_data is null"}
+READABLE = {"readable": "get_json_object(_rescued_data, '$._corrupt_record') is null"}
 DELAY_KEYS = ["airline_name", "origin_city", "dest_city"]
 
 
@@ -60,30 +64,38 @@ def delays(trips: DataFrame) -> DataFrame:
 class Airline:
     """Paths of one deployment; ``run`` takes in whatever files arrived since the last call."""
 
-    def __init__(self, spark: SparkSession, source: str, airports: DataFrame, airlines: DataFrame, schema, fmt: str = "json"):
-        self.spark, self.source, self.schema, self.fmt = spark, source, schema, fmt
+    def __init__(self, spark: SparkSession, source: str, airports: DataFrame, airlines: DataFrame, schema: T.StructType):
+        self.spark, self.source, self.schema = spark, source, schema
         # small tables of known size, so that the streaming joins broadcast them and no carrier is a hot key
         self.airports = materialise(airport_table(airports), "airports")
         self.airlines = materialise(airline_table(airlines), "airlines")
         base = scratch_path(spark, "airline")
-        self.bronze, self.silver, self.daily, self.scd1 = (f"{base}/{n}" for n in ("bronze", "silver", "daily", "scd1"))
+        self.bronze, self.silver, self.daily, self.scd1, self.rules = (f"{base}/{n}" for n in ("bronze", "silver", "daily", "scd1", "rules"))
         self.history = histories.History(spark, f"{base}/history", DELAY_KEYS, "date", tracked=["is_arr_delayed"])
         self.checkpoints = f"{base}/checkpoints"
 
     def run(self) -> None:
         spark, cp = self.spark, self.checkpoints
-        runs.land(runs.new_files(spark, self.source, self.fmt, self.schema), self.bronze, f"{cp}/bronze")
-        raw = token_to_null(runs.table_stream(spark, self.bronze))
-        kept = quality.drop_failing(raw, TRIP_RULES)
-        runs.land(enrich_trips(kept, self.airports, self.airlines), self.silver, f"{cp}/silver")
-        runs.each_batch(daily_features(runs.table_stream(spark, self.silver)), runs.batch_log(self.daily), f"{cp}/daily", "update")
-        changes = delays(runs.table_stream(spark, self.silver))
+        lines = rescue_json(spark.readStream.text(self.source), self.schema)
+        runs.each_batch(lines, checked.checked("trips_raw", runs.batch_log(self.bronze), self.rules, READABLE, RAW_RULES), f"{cp}/bronze")
+        bronze = T.StructType([*self.schema.fields, T.StructField(RESCUED, T.StringType())])
+        raw = token_to_null(runs.new_files(spark, f"{self.bronze}/*", "parquet", bronze)).drop(RESCUED)
+        enrich = lambda df, k: runs.write_batch(enrich_trips(df, self.airports, self.airlines), self.silver, k)
+        runs.each_batch(raw, checked.checked("trips", enrich, self.rules, TRIP_RULES), f"{cp}/silver")
+        trips = spark.read.parquet(self.silver).drop("batch_id").schema
+        silver = lambda: runs.new_files(spark, f"{self.silver}/*", "parquet", trips)
+        runs.each_batch(daily_features(silver()), runs.batch_log(self.daily), f"{cp}/daily", "update")
+        changes = delays(silver())
         runs.each_batch(changes, cdc.scd1_batches(self.scd1, DELAY_KEYS, ["date"]), f"{cp}/scd1")
         self.history.follow(changes)
 
     def metrics(self) -> DataFrame:
-        """What the rules passed, failed and dropped, over all trips taken in so far."""
-        return quality.rule_metrics(token_to_null(self.spark.read.parquet(self.bronze)), "trips", TRIP_RULES, "drop")
+        """What the rules passed, failed and dropped, over all batches so far; counted when the rows were written."""
+        return checked.rule_totals(self.spark, self.rules)
+
+    def events(self) -> DataFrame:
+        """The rules' counts per batch, as progress records."""
+        return checked.progress_events(self.spark, self.rules)
 
     def daily_table(self) -> DataFrame:
         return runs.newest_rows(self.spark, self.daily, ["date", "airline_name"])

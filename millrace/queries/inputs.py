@@ -146,6 +146,7 @@ trips AS (
          CAST(year(l_shipdate) AS VARCHAR) AS year_text,
          CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'NA' ELSE CAST(month(l_shipdate) AS VARCHAR) END AS month_text,
          CAST(day(l_shipdate) AS VARCHAR) AS day_text,
+         CASE WHEN l_tax > 0.075 THEN 'NA' ELSE CAST(isodow(l_shipdate) AS VARCHAR) END AS weekday_text,
          p_brand AS carrier, 'N' || CAST(c_nationkey AS VARCHAR) AS origin, 'N' || CAST(s_nationkey AS VARCHAR) AS dest,
          CASE WHEN l_discount > 0.08 THEN 'NA' ELSE CAST(CAST(l_quantity AS INTEGER) - 20 AS VARCHAR) END AS arr_delay,
          CAST(p_size AS VARCHAR) AS distance
@@ -180,6 +181,7 @@ def trips(t) -> DataFrame:
             F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), "NA")
             .otherwise(F.month(ship).cast("string")).alias("month_text"),
             F.dayofmonth(ship).cast("string").alias("day_text"),
+            F.when(F.col("l_tax") > 0.075, "NA").otherwise((F.weekday(ship) + 1).cast("string")).alias("weekday_text"),
             F.col("p_brand").alias("carrier"),
             F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("origin"),
             F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("dest"),

@@ -44,7 +44,7 @@ def p3(t):
 @query("p4_token_to_null", f"""
 WITH {TRIPS_SQL}
 SELECT trip_id, leg, nullif(year_text, 'NA') AS year_text, nullif(month_text, 'NA') AS month_text,
-       nullif(day_text, 'NA') AS day_text, nullif(carrier, 'NA') AS carrier, nullif(origin, 'NA') AS origin,
+       nullif(day_text, 'NA') AS day_text, nullif(weekday_text, 'NA') AS weekday_text, nullif(carrier, 'NA') AS carrier, nullif(origin, 'NA') AS origin,
        nullif(dest, 'NA') AS dest, nullif(arr_delay, 'NA') AS arr_delay, nullif(distance, 'NA') AS distance
 FROM trips""")
 def p4(t):

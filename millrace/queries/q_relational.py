@@ -11,7 +11,7 @@ from millrace.operators.tables import earliest_by, grid
 from millrace.queries import inputs
 from millrace.queries.inputs import ORDERS_SQL, POS_SQL, SALES_SQL, TRANSACTIONS_SQL, TRIPS_SQL, USERS_SQL
 from millrace.queries.registry import query
-from millrace.scratch import scratch_path
+from millrace.scratch import materialise, scratch_path
 
 # ---- quality -------------------------------------------------------------------------------
 
@@ -201,12 +201,15 @@ b AS (SELECT household_key, CAST(sum(units) AS BIGINT) AS units_1999 FROM tx WHE
 c AS (SELECT household_key, strftime(max(day), '%Y-%m-%d') AS last_day FROM tx GROUP BY 1)
 SELECT * FROM anchor LEFT JOIN a USING (household_key) LEFT JOIN b USING (household_key) LEFT JOIN c USING (household_key)""")
 def j10(t):
+    """Four branches from one set of partial sums per household and year, so that the transactions are joined and read once."""
     tx = clean.normalise_transactions(inputs.raw_transactions(t))
     key = ["household_key"]
-    a = tx.filter(F.year("day") == 1998).groupBy(*key).agg(F.count("*").alias("n_1998"))
-    b = tx.filter(F.year("day") == 1999).groupBy(*key).agg(F.sum("units").alias("units_1999"))
-    c = tx.groupBy(*key).agg(F.max("day").alias("last_day"))
-    return tx.select(*key).distinct().join(a, key, "left").join(b, key, "left").join(c, key, "left")
+    years = materialise(tx.groupBy(*key, F.year("day").alias("year")).agg(
+        F.count("*").alias("n"), F.sum("units").alias("units"), F.max("day").alias("last_day")), "years")
+    a = years.filter("year = 1998").select(*key, F.col("n").alias("n_1998"))
+    b = years.filter("year = 1999").select(*key, F.col("units").alias("units_1999"))
+    c = years.groupBy(*key).agg(F.max("last_day").alias("last_day"))
+    return years.select(*key).distinct().join(a, key, "left").join(b, key, "left").join(c, key, "left")
 
 
 @query("j13_left_join_then_not_null", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from millrace.functions.clean import anonymise_users
 from millrace.operators import quality
@@ -32,7 +32,8 @@ silver AS (
          d.municipality AS dest_city, d.name AS dest_airport_name
   FROM trips LEFT JOIN airports o ON origin = o.iata_code LEFT JOIN airports d ON dest = d.iata_code
   LEFT JOIN airlines l ON carrier = l.iata
-  WHERE TRY_CAST(month_text AS INTEGER) BETWEEN 1 AND 12 AND TRY_CAST(day_text AS INTEGER) BETWEEN 1 AND 31)"""
+  WHERE TRY_CAST(month_text AS INTEGER) BETWEEN 1 AND 12 AND TRY_CAST(day_text AS INTEGER) BETWEEN 1 AND 31
+        AND TRY_CAST(weekday_text AS INTEGER) BETWEEN 1 AND 7)"""
 
 
 def dimensions(t):
@@ -61,6 +62,11 @@ def user_files(t):
     return staged_as(t, "users", inputs.users(t), "json")
 
 
+def spend_table(t):
+    """Written once, so that no micro-batch groups the orders again."""
+    return finished(t, "spend-table", lambda: materialise(inputs.spend(t), "spend"))
+
+
 def spend_files(t):
     return staged_as(t, "spend", inputs.spend(t), "csv", header=True)
 
@@ -73,7 +79,7 @@ WITH {USERS_SQL} SELECT id, email, firstname, age, annual_income, spending_core
 def j2(t):
     out, cp = scratch_path(t.spark, "j2-out"), scratch_path(t.spark, "j2-cp")
     stream = anonymise_users(runs.new_files(t.spark, user_files(t), "json", inputs.users(t).schema))
-    runs.land(stream.join(inputs.spend(t), ["id"], "left"), out, cp)
+    runs.land(stream.join(spend_table(t), ["id"], "left"), out, cp)
     return t.spark.read.parquet(out).select("id", "email", "firstname", "age", "annual_income", "spending_core")
 
 
@@ -82,7 +88,7 @@ WITH {USERS_SQL} SELECT id, firstname, age, annual_income, spending_core FROM si
 def j3(t):
     out, cp = scratch_path(t.spark, "j3-out"), scratch_path(t.spark, "j3-cp")
     stream = anonymise_users(runs.new_files(t.spark, user_files(t), "json", inputs.users(t).schema))
-    runs.land(stream.join(inputs.spend(t), "id"), out, cp)
+    runs.land(stream.join(spend_table(t), "id"), out, cp)
     return t.spark.read.parquet(out).select("id", "firstname", "age", "annual_income", "spending_core")
 
 
@@ -406,7 +412,7 @@ scored AS (SELECT id, email, firstname, strftime(creation_date, {TS}) AS creatio
 def t14(t):
     out, cp = scratch_path(t.spark, "t14-out"), scratch_path(t.spark, "t14-cp")
     stream = runs.new_files(t.spark, user_files(t), "json", inputs.users(t).schema)
-    gold = users.user_features(stream, inputs.spend(t))
+    gold = users.user_features(stream, spend_table(t))
     runs.land(users.score_users(gold, CENTRES).select("id", "segment"), out, cp)
     return t.spark.read.parquet(out)
 
@@ -445,7 +451,12 @@ def _airline_job(t):
     job = airline.Airline(t.spark, src, inputs.airports(t), inputs.airline_rows(t), inputs.trips(t).schema)
     trips = t.spark.read.parquet(staged_as(t, "trips", inputs.trips(t), "parquet"))
     whole = trips.withColumn("_y", F.col("year_text").cast("int"))
-    arrive([p.drop("_y") for p in slices(whole, "_y", 2)], src, "json", job.run)
+    # lines: some with a field that no schema knows, some cut off
+    row = F.to_json(F.struct(*inputs.trips(t).columns))
+    more = F.concat(F.expr("substring(row, 1, length(row) - 1)"), F.lit(',"note":"x"}'))
+    lines = lambda p: p.select("leg", row.alias("row")).select(F.explode(F.when(F.col("leg") == 6, F.array(more)).when(
+        F.col("leg") == 7, F.array("row", F.substring("row", 1, 20))).otherwise(F.array("row"))).alias("value"))
+    arrive([lines(p.drop("_y")) for p in slices(whole, "_y", 2)], src, "text", job.run)
     return job
 
 
@@ -461,12 +472,29 @@ def l1(t):
     return airline_job(t).daily_table()
 
 
-@query("l1_rule_metrics", f"""
-WITH {TRIPS_SQL},
-r AS (SELECT TRY_CAST(month_text AS INTEGER) BETWEEN 1 AND 12 AS m, TRY_CAST(day_text AS INTEGER) BETWEEN 1 AND 31 AS d FROM trips)
-SELECT 'trips' AS dataset, name, count(*) FILTER (passed) AS passed_records, count(*) FILTER (passed IS NOT TRUE) AS failed_records,
-       count(*) FILTER ((m AND d) IS NOT TRUE) AS dropped_records, count(*) FILTER (m AND d) AS output_records
-FROM (SELECT *, unnest(['valid_month', 'valid_day']) AS name, unnest([m, d]) AS passed FROM r) GROUP BY name""")
+RULES_SQL = f"""
+{TRIPS_SQL},
+r AS (SELECT TRY_CAST(month_text AS INTEGER) BETWEEN 1 AND 12 AS m, TRY_CAST(day_text AS INTEGER) BETWEEN 1 AND 31 AS d,
+             TRY_CAST(weekday_text AS INTEGER) BETWEEN 1 AND 7 AS w FROM trips),
+line AS (SELECT true AS whole, leg <> 6 AS plain FROM trips UNION ALL SELECT false, false FROM trips WHERE leg = 7),
+counts AS (
+  SELECT 'trips' AS dataset, name, count(*) FILTER (passed) AS passed_records, count(*) FILTER (passed IS NOT TRUE) AS failed_records,
+         count(*) FILTER ((m AND d AND w) IS NOT TRUE) AS dropped_records, count(*) FILTER (m AND d AND w) AS output_records
+  FROM (SELECT *, unnest(['valid_month', 'valid_day', 'valid_weekday']) AS name, unnest([m, d, w]) AS passed FROM r) GROUP BY name
+  UNION ALL SELECT 'trips_raw', name, count(*) FILTER (passed), count(*) FILTER (NOT passed), count(*) FILTER (NOT whole), count(*) FILTER (whole)
+  FROM (SELECT *, unnest(['readable', 'nothing_rescued']) AS name, unnest([whole, plain]) AS passed FROM line) GROUP BY name)"""
+
+
+@query("l1_rule_events", f"""
+WITH {RULES_SQL} SELECT dataset, name, passed_records, failed_records, dropped_records, output_records, 2 AS batches FROM counts""")
+def l1_events(t):
+    """The same counts through the progress records of the job, one per dataset and batch."""
+    rows = quality.log_metrics(airline_job(t).events())
+    sums = [F.sum(c).alias(c) for c in ("passed_records", "failed_records", "dropped_records", "output_records")]
+    return rows.groupBy("dataset", "name").agg(*sums, F.count("*").cast("int").alias("batches"))
+
+
+@query("l1_rule_metrics", f"WITH {RULES_SQL} SELECT * FROM counts")
 def l1_metrics(t):
     return airline_job(t).metrics()
 
@@ -492,11 +520,33 @@ def l1_history(t):
 @query("l2_users_scored", f"""
 WITH {USERS_SQL}, {SCORED_SQL} SELECT id, email, firstname, creation_date, age, annual_income, spending_core, segment FROM scored""")
 def l2(t):
-    spend_schema = "id bigint, age int, annual_income double, spending_core double"
-    gold = users.run_users(t.spark, user_files(t), inputs.users(t).schema, spend_files(t), spend_schema, CENTRES)
+    gold = users_job(t).gold()
     return gold.select("id", "email", "firstname", "creation_date", "age", "annual_income", "spending_core", "segment")
 
 
+def users_job(t):
+    def run():
+        spend_schema = "id bigint, age int, annual_income double, spending_core double"
+        job = users.Users(t.spark, user_files(t), inputs.users(t).schema, spend_files(t), T.StructType.fromDDL(spend_schema), CENTRES)
+        job.run()
+        return job
+    return finished(t, "users", run)
+
+
+@query("l2_rule_metrics", f"""
+WITH {USERS_SQL},
+g AS (SELECT age IS NOT NULL AS a, annual_income IS NOT NULL AS i, spending_core IS NOT NULL AS s FROM silver LEFT JOIN spend USING (id)),
+each AS (SELECT *, unnest(['valid_age', 'valid_annual_income', 'valid_spending_core']) AS name, unnest([a, i, s]) AS passed FROM g)
+SELECT 'users' AS dataset, name, count(*) FILTER (passed) AS passed_records, count(*) FILTER (NOT passed) AS failed_records,
+       count(*) FILTER (NOT (a AND i AND s)) AS dropped_records, count(*) FILTER (a AND i AND s) AS output_records FROM each GROUP BY name
+UNION ALL SELECT 'users_raw', 'nothing_rescued', count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT), count(*) FROM users
+UNION ALL SELECT 'users_raw', 'readable', count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT), count(*) FROM users
+UNION ALL SELECT 'users_silver', 'valid_id', count(id), CAST(count(*) - count(id) AS BIGINT), CAST(0 AS BIGINT), count(*) FROM users
+UNION ALL SELECT 'spend', 'nothing_rescued', count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT), count(*) FROM spend""")
+def l2_metrics(t):
+    return users_job(t).metrics()
+
+
 # identical documents are one document
 L3_SQL = stock_sql(POS_SQL.replace("FROM lineitem WHERE l_returnflag <> 'A')", """FROM (
     SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate
