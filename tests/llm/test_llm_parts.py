@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+from collections import Counter
 import re
 
 import numpy as np
@@ -259,22 +260,44 @@ def test_records_and_damage():
 
 # --- language model ----------------------------------------------------------------------------------------------------------
 
+def counted_contexts(texts, nodes=ctw.NODES, depth=ctw.DEPTH, often=1):
+    raw, off = buffers(as_column(texts))
+    tree = ctw.grown(ctw.symbols_of(raw, off)[0], nodes, depth, often)
+    ctx, first = ctw.contexts(tree, raw, off)
+    return tree, ctx, first
+
+
+def names_of(tree):
+    """The bytes of each node's context, the nearest first."""
+    out = [()]
+    byte = {int(c): b for n in range(len(tree.parent)) for b, c in enumerate(tree.child[n]) if c}
+    for node in range(1, len(tree.parent)):
+        out.append((*out[tree.parent[node]], byte[node]))
+    return out
+
+
 def test_weighting_equals_the_recursion():
-    """Sequential KT products and the textbook recursion, on a short text."""
+    """Sequential KT products and the textbook recursion, on a short text; what stands at a node without a child is a child of its own."""
     texts = ["abab abba", "ab", "", "ba b1"]
-    ctx, first = ctw.contexts(*buffers(as_column(texts)))
+    tree, ctx, _ = counted_contexts(texts, nodes=9, depth=3)
     key, n = np.unique(ctx, return_counts=True)
-    depth = ctw.DEPTH
-    got = ctw.weighted(key, n.astype(float))
+    got = ctw.weighted(tree, key, n.astype(float))
+    assert got.shape == (len(tree.parent), 256)
+    children = {k: np.flatnonzero(tree.parent[1:] == k) + 1 for k in range(len(tree.parent))}
+    assert any(len(c) for k, c in children.items() if k)
     counts = {}
+
+    def path(node):
+        out = [node]
+        while out[-1]:
+            out.append(int(tree.parent[out[-1]]))
+        return [*out, ("rest", node)] if len(children[node]) else out
+
     for k, c in zip(key.tolist(), n.tolist()):
         context, symbol = divmod(k, 256)
-        path = [context // ctw.CLASSES ** (depth - d) for d in range(depth + 1)]
         for bit in range(8):
-            node = (bit, symbol >> (8 - bit))
-            for d in range(depth + 1):
-                pair = counts.setdefault((node, d, path[d]), [0, 0])
-                pair[symbol >> (7 - bit) & 1] += c
+            for at in path(context):
+                counts.setdefault(((bit, symbol >> (8 - bit)), at), [0, 0])[symbol >> (7 - bit) & 1] += c
 
     def kt(a, b):
         out = 0.0
@@ -284,42 +307,90 @@ def test_weighting_equals_the_recursion():
             out += math.log((j + 0.5) / (a + j + 1))
         return out
 
-    def weight(node, d, c):
-        pair = counts.get((node, d, c))
-        if pair is None:
-            return 0.0
-        own = kt(*pair)
-        if d == depth:
+    def weight(node, at):
+        own = kt(*counts.get((node, at), (0, 0)))
+        if isinstance(at, tuple) or not len(children[at]):
             return own
-        below = sum(weight(node, d + 1, c * ctw.CLASSES + k) for k in range(ctw.CLASSES))
+        below = kt(*counts.get((node, ("rest", at)), (0, 0))) + sum(weight(node, int(c)) for c in children[at])
         return math.log(0.5 * math.exp(own) + 0.5 * math.exp(below))
 
-    def bit_probability(node, path, bit):
+    def bit_probability(node, context, bit):
         """Weighted probability after one more bit over that before it."""
-        before = weight(node, 0, 0)
-        touched = [(node, d, path[d]) for d in range(depth + 1)]
-        for t in touched:
-            counts.setdefault(t, [0, 0])[bit] += 1
-        after = weight(node, 0, 0)
-        for t in touched:
-            counts[t][bit] -= 1
+        before = weight(node, 0)
+        for at in path(context):
+            counts.setdefault((node, at), [0, 0])[bit] += 1
+        after = weight(node, 0)
+        for at in path(context):
+            counts[(node, at)][bit] -= 1
         return math.exp(after - before)
 
     rng = random.Random(6)
-    for _ in range(6):
-        context, symbol = rng.choice([*(key // 256).tolist(), rng.randrange(ctw.CLASSES**depth)]), rng.choice([97, 98, 32, 255, 200])
-        path = [context // ctw.CLASSES ** (depth - d) for d in range(depth + 1)]
-        want = sum(math.log10(bit_probability((b, symbol >> (8 - b)), path, symbol >> (7 - b) & 1)) for b in range(8))
+    for _ in range(12):
+        context, symbol = rng.randrange(len(tree.parent)), rng.choice([97, 98, 32, 255, 200])
+        want = sum(math.log10(bit_probability((b, symbol >> (8 - b)), context, symbol >> (7 - b) & 1)) for b in range(8))
         assert math.isclose(float(got[context, symbol]), want, rel_tol=1e-4)
-    assert np.allclose((10.0 ** got[:50].astype(float)).sum(axis=1), 1, atol=1e-4)
+    assert np.allclose((10.0 ** got.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
 def test_contexts_do_not_reach_over_rows():
-    one, first = ctw.contexts(*buffers(as_column(["xyz", "abc"])))
-    two, _ = ctw.contexts(*buffers(as_column(["abc"])))
+    tree, _, _ = counted_contexts(["xyz", "abc", "abc"])
+    one, first = ctw.contexts(tree, *buffers(as_column(["xyz", "abc"])))
+    two, _ = ctw.contexts(tree, *buffers(as_column(["abc"])))
     assert (one[first[1]:] == two).all()
 
 
+def test_the_tree_holds_the_most_frequent_contexts():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("aab ") for _ in range(rng.randint(0, 30))) for _ in range(40)]
+    seen = Counter()
+    for t in texts:
+        s = [ctw.END, *t.encode(), ctw.END]
+        for i in range(1, len(s)):
+            for d in range(min(4, i) + 1):  # back to the mark before the text
+                seen[tuple(s[i - d:i][::-1])] += 1
+    for nodes, often in ((20, 1), (10_000, 7)):
+        tree, _, _ = counted_contexts(texts, nodes, 4, often)
+        names = names_of(tree)
+        counts = [seen[x] for x in names]
+        assert len(set(names)) == len(names) == min(nodes, sum(n >= often or not x for x, n in seen.items()))
+        assert min(counts) >= max([n for x, n in seen.items() if x not in set(names) and n >= often], default=0)
+    # every byte is in its deepest context
+    tree, ctx, first = counted_contexts(texts, 20, 4)
+    names = names_of(tree)
+    s = [ctw.END, *texts[0].encode(), ctw.END]
+    for i, c in enumerate(ctx[first[0]: first[1]].tolist(), 1):
+        back = tuple(s[max(0, i - 4):i][::-1])
+        assert names[c // 256] == max((x for x in names if x == back[: len(x)]), key=len) and c % 256 == s[i]
+
+
+def test_deep_contexts_of_other_letters():
+    """Bits a byte on unseen texts are below those of a plain model of the three bytes before, in one-byte and in two-byte letters."""
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(rng.randint(2, 4))) for _ in range(120)]
+    word = lambda: "".join(parts[min(int(rng.expovariate(0.05)), 119)] for _ in range(rng.randint(1, 3)))
+    texts = [" ".join(word() for _ in range(60)) for _ in range(900)]
+    letters = str.maketrans({c: chr(0x430 + i) for i, c in enumerate("abcdefghiklmnoprstu")})
+    for some in (texts, [t.translate(letters) for t in texts]):
+        train, test = some[:800], some[800:]
+        tree, ctx, _ = counted_contexts(train, often=ctw.OFTEN)
+        key, n = np.unique(ctx, return_counts=True)
+        logs = ctw.weighted(tree, key, n.astype(float))
+        own, _ = ctw.contexts(tree, *buffers(as_column(test)))
+        size = sum(len(t.encode()) for t in test)
+        bits = -logs.reshape(-1)[own].astype(float).sum() * math.log2(10) / size
+        pairs, whole = Counter(), Counter()
+        for t in train:
+            s = [ctw.END] * 3 + [*t.encode(), ctw.END]
+            for i in range(3, len(s)):
+                pairs[(*s[i - 3:i], s[i])] += 1
+                whole[tuple(s[i - 3:i])] += 1
+        plain = 0.0
+        for t in test:
+            s = [ctw.END] * 3 + [*t.encode(), ctw.END]
+            plain -= sum(math.log2((pairs[(*s[i - 3:i], s[i])] + 0.05) / (whole[tuple(s[i - 3:i])] + 0.05 * 256)) for i in range(3, len(s)))
+        assert bits < plain / size
+
+
 # --- toxicity ----------------------------------------------------------------------------------------------------------------
 
 def test_segments_are_all_maximal_ones():

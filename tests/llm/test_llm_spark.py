@@ -299,6 +299,19 @@ def test_scores_odd_and_brute(spark, odd):
     assert ctw.score(docs.limit(0)).count() == 0
 
 
+def test_blocks_are_closed_by_bytes(spark, monkeypatch):
+    """4,096 long texts do not share a block, and texts without bytes do not fill one without end."""
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 100_000)
+    docs = spark.range(4096).selectExpr("id AS doc_id", "repeat('abcdefghi ', 2000) AS text")
+    none = spark.range(5000).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS text")
+    for rows, most in ((docs, 6), (none, 100_000 // 64 + 1)):
+        got = ctw.blocks(rows.coalesce(2)).groupBy("block").agg(F.count("*").alias("n")).collect()
+        assert max(r.n for r in got) <= most and sum(r.n for r in got) == rows.count()
+    one = spark.createDataFrame([(1, "x" * 300_000), (2, "y"), (3, "z" * 99_990), (4, None)], "doc_id long, text string").coalesce(1)
+    at = {r.doc_id: r.block for r in ctw.blocks(one).collect()}
+    assert len({at[1], at[2]}) == 2 and at[2] == at[3] and at[4] != at[3]
+
+
 def test_toxicity_odd_and_held_out(spark, odd):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
