@@ -24,6 +24,7 @@ import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ LONGEST_KEPT = 80  # characters of a unit that is remembered
 BLOCK_BYTES = 1 << 24
 LISTED = 1 << 12  # links of a group that are listed before they are counted
 UNIT = re.compile(r"(?<=\S)( |\n(?=\S))")
+ONE = b"\x01\0\0\0"  # as a little-endian 32-bit number
 ANCHOR = " a"  # encoded before every batch, so that the space which B adds is not one of a unit
 
 
@@ -96,7 +98,8 @@ def refined(start: np.ndarray, end: np.ndarray, size: np.ndarray) -> np.ndarray:
 def encoded_a(pair: Pair, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids and byte ends of A's tokens of a text that begins with its space."""
     enc = pair.a.encode(text, add_special_tokens=False)
-    ids, spans = np.array(enc.ids, np.int64), np.array(enc.offsets, np.int64).reshape(-1, 2)
+    ids = np.array(enc.ids, np.int64)
+    spans = np.fromiter(chain.from_iterable(enc.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
     if not text.isascii():
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         wide = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
@@ -107,7 +110,7 @@ def encoded_a(pair: Pair, text: str) -> tuple[np.ndarray, np.ndarray]:
 def encoded_b(pair: Pair, text: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids and byte ends of B's tokens of a text that begins with the space B adds."""
     proto = pair.b.encode(text[1:], return_type="proto")
-    got = np.array([(p.id, p.begin, p.end) for p in proto.pieces], np.int64).reshape(-1, 3)
+    got = np.fromiter((v for p in proto.pieces for v in (p.id, p.begin, p.end)), np.int64, 3 * len(proto.pieces)).reshape(-1, 3)
     ids = got[:, 0]
     return ids, refined(got[:, 1] + 1, got[:, 2] + 1, pair.size_b[ids])
 
@@ -141,7 +144,7 @@ def summed(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def aligned(pair: Pair, units: list[str]) -> list[tuple | None]:
-    """For each unit (tokens of A, of B, groups, links, the groups as text, distinct pairs, links of each); None if bytes differ.
+    """For each unit (tokens of A, of B, groups, links, the groups as text, distinct pairs, links of each or nothing if it is one); None if bytes differ.
 
     The units are encoded as one text; if they do not come out as units there, each is encoded alone.
     """
@@ -172,10 +175,12 @@ def aligned(pair: Pair, units: list[str]) -> list[tuple | None]:
     per_unit = np.searchsorted(key >> 32, np.arange(len(units) + 1)).tolist()
     many = np.concatenate([[0], np.cumsum(np.diff(first_a) * np.diff(first_b))]).tolist()
     pairs, times = (key & 0xFFFFFFFF).astype("<u4"), times.astype("<u4")
+    more = np.concatenate([[0], np.cumsum(times > 1)])[per_unit].tolist()
     out = []
     for u in range(len(units)):
         a, b, x, y = groups[u], groups[u + 1], per_unit[u], per_unit[u + 1]
-        out.append((fa[b] - fa[a], fb[b] - fb[a], b - a, many[b] - many[a], b";".join(group[a:b]), pairs[x:y].tobytes(), times[x:y].tobytes()))
+        out.append((fa[b] - fa[a], fb[b] - fb[a], b - a, many[b] - many[a], b";".join(group[a:b]), pairs[x:y].tobytes(),
+                    times[x:y].tobytes() if more[u + 1] > more[u] else b""))
     return out
 
 
@@ -250,17 +255,20 @@ def numbers(raw: bytes) -> np.ndarray:
 def texts_aligned(pair: Pair, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
     """(tokens of A, of B, groups, links, the groups as text) of each text; and (text number, pair, links) of all, by text and pair."""
     split = [units_of(t) if t else [] for t in texts]
-    known = looked_up(pair, {u for s in split for u in s})
+    known = looked_up(pair, set().union(*split))
+    without = {u for u, got in known.items() if got is None}
     rows, rows_of, pairs, times = [], [], [], []
     for d, units in enumerate(split):
-        got = [known[u] for u in units]
-        if not got or None in got:
+        if not units or without and not without.isdisjoint(units):
             rows.append((0, 0, 0, 0, b""))
             continue
-        a, b, g, l, text, p, t = zip(*got)
+        a, b, g, l, text, p, t = zip(*map(known.__getitem__, units))
         rows.append((sum(a), sum(b), sum(g), sum(l), b";".join(text)))
         pairs.append(np.frombuffer(b"".join(p), "<u4"))
-        times.append(np.frombuffer(b"".join(t), "<u4"))
+        if any(t):
+            times.append(np.frombuffer(b"".join([n or ONE * (len(x) // 4) for n, x in zip(t, p)]), "<u4"))
+        else:
+            times.append(np.ones(len(pairs[-1]), np.uint32))
         rows_of.append(d)
     if not pairs:
         none = np.zeros(0, np.int64)
