@@ -6,22 +6,28 @@ an older count and a movement before the count change nothing. The order of arri
 movements give what a run over everything would.
 
 Rows are summed per key, moment and kind before they are shuffled, so a key with a third of all movements sends one row a moment and
-input batch. The state of a key grows with the moments since its last count.
+input batch. The state of a key grows with the moments since its last count. Keys share the state of a group, so that a call of Python
+serves many of them; the number of groups should be a hundredth of that of the keys, and is written when the balances are begun.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import json
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.operators.tables import latest_by
+from millrace.streaming.histories import JSON, packed
+from millrace.streaming.once import bucket_count
 from millrace.streaming.runs import batch_log, each_batch
 
-STATE = "counted bigint, counted_at bigint, at array<bigint>, kind array<string>, moved array<bigint>, n array<bigint>"
+STATE = "keys string"  # JSON: {key: [counted, counted_at, at, kind, moved, n]}
+GROUPS = 512
 MOVED = "array<struct<kind: string, quantity: bigint, at: bigint, n: bigint>>"
 
 
@@ -40,9 +46,9 @@ def counts_and_movements(counts: DataFrame, movements: DataFrame, keys: Sequence
     return counted.unionByName(moved).filter("at IS NOT NULL")
 
 
-def partial_sums(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def partial_sums(rows: DataFrame) -> DataFrame:
     """Rows of one key, moment and kind within an input batch as one row; of several counts of a moment the largest."""
-    by, names = [*keys, "at", "kind", "is_count"], rows.columns
+    by, names = ["grp", "key", "at", "kind", "is_count"], rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,18 +61,18 @@ def partial_sums(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def folded(state: tuple | None, rows: pd.DataFrame) -> tuple:
-    """The state after some rows of its key."""
+def folded(state: tuple | None, rows: Iterable[tuple]) -> tuple:
+    """The state after some (at, counted, kind, moved, n) of its key; a count has no n."""
     counted, counted_at, *tail = state if state is not None else (None, None, [], [], [], [])
     moments = {(a, k): (m, n) for a, k, m, n in zip(*tail)}
-    is_count = rows["counted"].notna()
-    for at, quantity in zip(rows.loc[is_count, "at"].tolist(), rows.loc[is_count, "counted"].tolist()):
-        if counted_at is None or (at, quantity) > (counted_at, counted):
-            counted, counted_at = int(quantity), int(at)
-    moves = rows.loc[~is_count]
-    for at, kind, moved, n in zip(moves["at"].tolist(), moves["kind"].tolist(), moves["moved"].tolist(), moves["n"].tolist()):
-        m, c = moments.get((at, kind), (0, 0))
-        moments[(at, kind)] = (m + int(moved), c + int(n))
+    for at, quantity, kind, moved, n in rows:
+        if n is None or n != n:  # pandas has NaN for NULL
+            at, quantity = int(at), int(quantity)
+            if counted_at is None or (at, quantity) > (counted_at, counted):
+                counted, counted_at = quantity, at
+        else:
+            m, c = moments.get((at, kind), (0, 0))
+            moments[(at, kind)] = (m + int(moved), c + int(n))
     kept = sorted(((a, k, m, n) for (a, k), (m, n) in moments.items() if counted_at is None or a >= counted_at),
                   key=lambda r: (r[0], r[1] or ""))
     return (counted, counted_at, *([list(c) for c in zip(*kept)] or [[], [], [], []]))
@@ -81,27 +87,35 @@ def moved_by_kind(state: tuple) -> list[dict]:
     return [{"kind": k, "quantity": q, "at": last, "n": c} for k, (q, last, c) in sums.items()]
 
 
-def balances(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+def balances(stream: DataFrame, keys: Sequence[str], groups: int = GROUPS) -> DataFrame:
     """Per touched key its balance after the micro-batch: (keys, counted, counted_at, moved by kind)."""
-    keys = list(keys)
-    kinds = [stream.schema[k] for k in keys]
-    out = T.StructType([*[T.StructField(f.name, f.dataType) for f in kinds], T.StructField("counted", T.LongType()),
-                        T.StructField("counted_at", T.LongType()), *T.StructType.fromDDL(f"moved {MOVED}").fields])
-
-    def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = state.get if state.exists else None
-        for rows in parts:
-            held = folded(held, rows)
-        state.update(held)
-        yield pd.DataFrame({**{k: [v] for k, v in zip(keys, key)}, "counted": pd.array([held[0]], "Int64"),
-                            "counted_at": pd.array([held[1]], "Int64"), "moved": [moved_by_kind(held)]})
-
-    return partial_sums(stream, keys).groupBy(*keys).applyInPandasWithState(fold, out, STATE, "update", GroupStateTimeout.NoTimeout)
-
-
-def follow(stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str) -> None:
+    packed_key = packed(keys)
+    rows = stream.select(F.pmod(F.xxhash64(packed_key), F.lit(groups)).alias("grp"), packed_key.alias("key"), "at", "counted", "kind", "moved", "n")
+
+    def fold(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = json.loads(state.get[0]) if state.exists else {}
+        new: dict[str, list[tuple]] = {}
+        for part in parts:
+            for key, *row in zip(*(part[c].tolist() for c in ("key", "at", "counted", "kind", "moved", "n"))):
+                new.setdefault(key, []).append(tuple(row))
+        for key, some in new.items():
+            held[key] = folded(held.get(key), some)
+        state.update((json.dumps(held),))
+        out = np.empty((len(new), 4), object)  # objects, because a column of numbers with NULL would become floats
+        for i, key in enumerate(new):
+            out[i] = key, held[key][0], held[key][1], json.dumps(moved_by_kind(held[key]))
+        yield pd.DataFrame(out, columns=["key", "counted", "counted_at", "moved"], copy=False)
+
+    schema = "key string, counted bigint, counted_at bigint, moved string"
+    kept = partial_sums(rows).groupBy("grp").applyInPandasWithState(fold, schema, STATE, "update", GroupStateTimeout.NoTimeout)
+    own = T.StructType([stream.schema[k] for k in keys])
+    return kept.withColumn("_k", F.from_json("key", own, JSON)).select("_k.*", "counted", "counted_at", F.from_json("moved", MOVED).alias("moved"))
+
+
+def follow(stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str, groups: int = GROUPS) -> None:
     """Fold everything that has arrived into the balances; each micro-batch adds the balances of the keys it touched."""
-    each_batch(balances(stream, keys), batch_log(target), checkpoint, "update")
+    n = bucket_count(stream.sparkSession, f"{checkpoint}-groups", groups)
+    each_batch(balances(stream, keys, n), batch_log(target), checkpoint, "update")
 
 
 def current_balances(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:

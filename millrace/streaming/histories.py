@@ -10,7 +10,8 @@ that are long and get very late changes.
 
 A version starts where a tracked column differs or after a delete and ends at the next version or delete; untracked columns show the last
 change inside. Changes of a key with one sequence value are reduced to the largest. A change without a sequence has no place in a
-history and is left out. NULL is a key like any other.
+history and is left out. NULL is a key like any other. Keys share the state of a group, so that a call of Python serves many of them; the number
+of groups is written when the history is begun.
 """
 
 from __future__ import annotations
@@ -19,15 +20,18 @@ import json
 from collections.abc import Iterator, Sequence
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.operators.changes import scd2
 from millrace.operators.tables import keyed_join, latest_by
+from millrace.streaming.once import bucket_count
 from millrace.streaming.runs import each_batch, land, table_stream, write_batch
 
-STATE = "seq array<bigint>, row array<string>, tracked array<string>, gone array<boolean>, began bigint, cut boolean, late boolean"
+STATE = "keys string"  # JSON: {key: [seq, row, tracked, gone, began, cut, late]}
+GROUPS = 512  # a hundredth of the number of keys, or so
 EMITTED = "key string, start bigint, end bigint, row string, removed boolean, rebuild boolean"
 JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 TAIL = 1000
@@ -119,26 +123,35 @@ def advanced(state: tuple | None, new: list[tuple], tail: int) -> tuple[tuple, l
     return (*([list(c) for c in zip(*rows)] or [[], [], [], []]), began, bool(cut), False), emitted
 
 
-def changed_versions(stream: DataFrame, tail: int = TAIL) -> DataFrame:
+def changed_versions(stream: DataFrame, tail: int = TAIL, groups: int = GROUPS) -> DataFrame:
     """(key, start, end, row, removed, rebuild) after each micro-batch from (key, seq, row, tracked, gone)."""
 
-    def fold(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new = [r for part in parts for r in zip(part["seq"].tolist(), part["row"].tolist(), part["tracked"].tolist(), part["gone"].tolist())]
-        held, emitted = advanced(state.get if state.exists else None, new, tail)
-        state.update(held)
+    def fold(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = json.loads(state.get[0]) if state.exists else {}
+        new: dict[str, list[tuple]] = {}
+        for part in parts:
+            for key, *row in zip(*(part[c].tolist() for c in ("key", "seq", "row", "tracked", "gone"))):
+                new.setdefault(key, []).append(tuple(row))
+        emitted = []
+        for key, some in new.items():
+            held[key], out = advanced(held.get(key), some, tail)
+            emitted += [(key, *r) for r in out]
+        state.update((json.dumps(held),))
         if emitted:
-            start, end, row, removed, rebuild = zip(*emitted)
-            yield pd.DataFrame({"key": key[0], "start": pd.array(start, "Int64"), "end": pd.array(end, "Int64"), "row": row,
-                                "removed": removed, "rebuild": rebuild})
+            out = np.empty((len(emitted), 6), object)  # objects, because a column of numbers with NULL would become floats
+            out[:] = emitted
+            yield pd.DataFrame(out, columns=["key", "start", "end", "row", "removed", "rebuild"], copy=False)
 
-    return stream.groupBy("key").applyInPandasWithState(fold, EMITTED, STATE, "append", GroupStateTimeout.NoTimeout)
+    grouped = stream.withColumn("grp", F.pmod(F.xxhash64("key"), F.lit(groups))).groupBy("grp")
+    return grouped.applyInPandasWithState(fold, EMITTED, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 class History:
     """One type 2 target: a log of changes, the state of its keys and the versions emitted so far."""
 
     def __init__(self, spark: SparkSession, base: str, keys: Sequence[str], sequence: str, delete_when: str | None = None,
-                 tracked: Sequence[str] | None = None, tail: int = TAIL):
+                 tracked: Sequence[str] | None = None, tail: int = TAIL, groups: int = GROUPS):
+        self.groups = groups
         self.spark, self.base, self.keys, self.sequence = spark, base, list(keys), sequence
         self.delete_when, self.tracked, self.tail = delete_when, tracked, tail
 
@@ -146,7 +159,8 @@ class History:
         """Take in all that has arrived."""
         land(changes, f"{self.base}/log", f"{self.base}/checkpoints/log")
         log = table_stream(self.spark, f"{self.base}/log")
-        each_batch(changed_versions(self._rows(log), self.tail), self._write, f"{self.base}/checkpoints/versions")
+        n = bucket_count(self.spark, f"{self.base}/groups", self.groups)
+        each_batch(changed_versions(self._rows(log), self.tail, n), self._write, f"{self.base}/checkpoints/versions")
 
     def _parts(self, schema: T.StructType) -> tuple[list[str], T.DataType]:
         return [c for c in schema.names if c not in self.keys and c != self.sequence], schema[self.sequence].dataType

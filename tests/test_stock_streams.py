@@ -4,7 +4,6 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,21 +60,21 @@ def test_balances_in_any_order_equal_the_batch(spark, dimensions, seed):
 
 def test_folding_is_free_of_order():
     rng = random.Random(7)
-    rows = [{"at": rng.randint(0, 20), "counted": rng.randint(0, 9), "kind": None, "moved": None, "n": None} for _ in range(6)]
-    rows += [{"at": rng.randint(0, 20), "counted": None, "kind": rng.choice("ab"), "moved": rng.randint(-5, 5), "n": 1} for _ in range(60)]
+    rows = [(rng.randint(0, 20), rng.randint(0, 9), None, None, rng.choice([None, float("nan")])) for _ in range(6)]
+    rows += [(rng.randint(0, 20), None, rng.choice("ab"), rng.randint(-5, 5), 1) for _ in range(60)]
     ends = set()
     for k in range(30):
         some = rng.sample(rows, len(rows))
         state, cut = None, rng.randint(0, len(rows))
         for part in (some[:cut], some[cut:]):
             if part:
-                state = balances.folded(state, pd.DataFrame(part))
+                state = balances.folded(state, part)
         ends.add(repr(state))
     assert len(ends) == 1
-    newest = max((r["at"], r["counted"]) for r in rows if r["counted"] is not None)
+    newest = max((r[0], r[1]) for r in rows if r[1] is not None)
     state = eval(next(iter(ends)))
     assert state[:2] == (newest[1], newest[0])
-    assert sum(state[4]) == sum(r["moved"] for r in rows if r["counted"] is None and r["at"] >= newest[0])
+    assert sum(state[4]) == sum(r[3] for r in rows if r[1] is None and r[0] >= newest[0])
 
 
 def test_late_dimension_counts_with_all_its_movements(spark, dimensions):
