@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier)
+    GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, IDF, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -18,9 +18,12 @@ from millrace.session import task_count
 
 def text_model(texts: Sequence[str], numbers: Sequence[str], label: str, min_texts: int = 2, words: int = 1 << 18,
                trees: int = 20, seed: int = 42) -> Pipeline:
-    """TF-IDF of the whole of each text column next to numeric columns, into a random forest.
+    """TF-IDF of the whole of each text column, as class likelihoods next to numeric columns, into a random forest.
 
-    The vocabulary follows the data: every word of at least ``min_texts`` texts, ``words`` of them at most.
+    The vocabulary follows the data: every word of at least ``min_texts`` texts, ``words`` of them at most. The forest keeps a
+    number for each of its features in every training row, so words are no features of it: a naive Bayes model weighs all
+    of them while they are sparse, and its probability of each class is what the forest sees. A row costs it as many numbers as there
+    are classes, however large the vocabulary is.
     """
     stages = []
     for c in texts:
@@ -31,7 +34,10 @@ def text_model(texts: Sequence[str], numbers: Sequence[str], label: str, min_tex
             IDF(inputCol=f"_{c}_tf", outputCol=f"_{c}_tfidf"),
         ]
     stages += [
-        VectorAssembler(inputCols=[*[f"_{c}_tfidf" for c in texts], *numbers], outputCol="_features", handleInvalid="keep"),
+        VectorAssembler(inputCols=[f"_{c}_tfidf" for c in texts], outputCol="_weights"),
+        NaiveBayes(labelCol="_label", featuresCol="_weights", predictionCol="_likeliest", rawPredictionCol="_likelihoods",
+                   probabilityCol="_by_words"),
+        VectorAssembler(inputCols=["_by_words", *numbers], outputCol="_features", handleInvalid="keep"),
         RandomForestClassifier(labelCol="_label", featuresCol="_features", predictionCol="_predicted",
                                numTrees=trees, maxDepth=8, seed=seed),
     ]

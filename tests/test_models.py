@@ -207,3 +207,13 @@ def test_classifier_choice_and_scores(spark):
     assert dict(trials)[best] == max(a for _, a in trials) > 0.9
     s = txt.scores(model, df, ["id"], ["a", "b"]).agg(F.min("propensity_score"), F.max("propensity_score"), F.count("*")).first()
     assert 0 <= s[0] < s[1] <= 1 and s[2] == 600
+
+
+def test_forest_rows_do_not_grow_with_the_vocabulary(spark):
+    """Every word counts, but a row of the forest holds a number per class and numeric column only."""
+    rows = [(f"{'red' if i % 2 else 'blue'} w{i % 400} v{i % 37}", "web", float(i % 5), "a" if i % 2 else "b") for i in range(800)]
+    df = spark.createDataFrame(rows, "text string, source string, n double, lang string")
+    model = txt.fit_text_model(df, ["text", "source"], ["n"], "lang", trees=5)
+    assert len(model.stages[3].vocabulary) > 400
+    assert model.stages[-1].numFeatures <= 3 + 1  # two labels, that of rows without one, and n
+    assert txt.micro_f1(txt.predict_labels(model, df, "lang")) == 1.0
