@@ -22,7 +22,7 @@ MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def event_json(t):
-    return staged_as(t, "events", t.events, "json", **MICROS)
+    return staged_as(t, "events", t.events, "json", files=4, **MICROS)
 
 
 def work(t, name):
