@@ -114,3 +114,21 @@ def test_timestamps_as_sequence(spark):
     got = {(r.v, r["__START_AT"], r["__END_AT"]) for r in job.table().collect()}
     assert got == {(1, start, start + timedelta(microseconds=1)), (2, start + timedelta(microseconds=1), None)}
     assert job.table().agg(F.count("*")).first()[0] == 2
+
+
+def test_changes_of_one_moment_are_reduced_before_the_state(spark):
+    """Many rows per key and sequence, keys and sequences also null: the same versions, and a row per key and sequence for Python."""
+    rows = [(k, date(2024, 1, 1) + timedelta(days=d) if d else None, d % 2 == 0 if v % 3 else None, v)
+            for k in ("a", "b", None) for d in range(6) for v in range(d, d + 30)]
+    random.Random(4).shuffle(rows)
+    src, tables = scratch_path(spark, "reduce-in"), []
+    df = spark.createDataFrame(rows, "k string, at date, late boolean, delay int")
+    jobs = [histories.History(spark, scratch_path(spark, "reduce"), ["k"], "at", tracked=["late"], reduce_first=first) for first in (False, True)]
+    for part in df.randomSplit([0.5, 0.5], seed=1):
+        part.write.mode("append").parquet(src)
+        for job in jobs:
+            job.follow(runs.table_stream(spark, src))
+    for job in jobs:
+        tables.append(Counter(map(tuple, job.table().select("k", "late", "delay", "__START_AT", "__END_AT").collect())))
+    assert tables[0] == tables[1] and len(tables[0]) > 6
+    assert spark.read.parquet(f"{jobs[1].base}/reduced").count() <= 2 * 3 * 5
