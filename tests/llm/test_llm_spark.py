@@ -312,6 +312,21 @@ def test_blocks_are_closed_by_bytes(spark, monkeypatch):
     assert len({at[1], at[2]}) == 2 and at[2] == at[3] and at[4] != at[3]
 
 
+def test_the_tree_is_that_of_all_training_texts(spark, monkeypatch):
+    """Contexts that only stand far inside a long text, texts longer than the sums kept at once, marks, and held-out rows, which count for nothing."""
+    monkeypatch.setattr(ctw, "FLUSH", 3000)
+    rng = random.Random(6)
+    texts = ["ab c" * 20_000 + "qz qzqx" * 300, "", None, "A", "é" * 9]
+    texts += ["".join(rng.choice("aabcde \x00é") for _ in range(rng.randint(0, 400))) for _ in range(300)]
+    rows = spark.createDataFrame([(i, t, i % 10 == 7) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean").repartition(5)
+    train = [(t or "").encode() for i, t in enumerate(texts) if i % 10 != 7]
+    symbol, _ = ctw.symbols_of(*ctw.buffers(ctw.pa.array(train, ctw.pa.large_binary())))
+    for nodes, often in ((60, 8), (700, 8), (1 << 15, 8), (1 << 15, 3)):
+        got, want = ctw.shape(rows, nodes, often), ctw.grown(symbol, nodes, often=often)
+        assert (got.depth == want.depth).all() and (got.parent == want.parent).all() and (got.child == want.child).all()
+    assert want.depth.max() == ctw.DEPTH and want.child[0, ord("q")] and want.child[0, ctw.END]
+
+
 def test_toxicity_odd_and_held_out(spark, odd):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
