@@ -155,36 +155,32 @@ def stock_of_balances(items: DataFrame, stores: DataFrame, balances: DataFrame,
     return _stock(counted.unionByName(_never_counted(item, store, counts)))
 
 
-def transaction_documents(changes: DataFrame, part_size: int = 10_000) -> DataFrame:
-    """One document per transaction with its items as an array of structs.
+def transaction_documents(changes: DataFrame, part_size: int = 10_000, tasks: int | None = None) -> DataFrame:
+    """One document per transaction with its items as an array of structs, made in ``tasks`` parts if given.
 
     A transaction with more than ``part_size`` items is written as several
     numbered parts, so no array grows without bound.
     """
     key = ["trans_id"]
     rows = changes.withColumn("trans_id", F.expr("substring(trans_id, 2, length(trans_id) - 2)"))
-    large = hot_keys(rows, key, part_size)
+    # counted by a hash first: it is shorter than an id, and mostly there is no large transaction
+    digest = rows.select(F.xxhash64("trans_id").alias("_digest"))
+    large = None if hot_keys(digest, ["_digest"], part_size) is None else hot_keys(rows, key, part_size)
+    entries = F.sort_array(F.collect_list(F.struct("item_id", "quantity"))).alias("items")
+    first = [F.min(c).alias(c) for c in ("date_time", "store_id", "change_type_id")]
+    if large is None:  # rows go to their transaction once, and nothing is grouped before that, because most ids are rare
+        dealt = rows.repartition("trans_id") if tasks is None else rows.repartition(tasks, "trans_id")
+        whole = dealt.groupBy("trans_id").agg(*first, entries)
+        return whole.select("trans_id", F.lit(0).alias("part"), "date_time", "store_id", "change_type_id", "items")
     # identical rows are first counted, so a repeated row is one entry however often it occurs
     counted = rows.groupBy("trans_id", "item_id", "quantity").agg(
-        F.count("*").alias("_n"),
-        F.min("date_time").alias("date_time"),
-        F.min("store_id").alias("store_id"),
-        F.min("change_type_id").alias("change_type_id"),
-    )
+        F.count("*").alias("_n"), *first)
     copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
-    if large is None:
-        parted = copies.withColumn("part", F.lit(0))
-    else:
-        # aim at half a part on average, so that no part outgrows the limit by the luck of the hash
-        parts = F.coalesce(F.ceil(F.col("_n_items") * 2 / F.lit(part_size)), F.lit(1))
-        deal = F.pmod(F.xxhash64("item_id", "quantity", "_copy"), parts).cast("int")
-        parted = copies.join(large.withColumnRenamed("_n", "_n_items"), key, "left").withColumn("part", deal)
-    return parted.groupBy("trans_id", "part").agg(
-        F.min("date_time").alias("date_time"),
-        F.min("store_id").alias("store_id"),
-        F.min("change_type_id").alias("change_type_id"),
-        F.sort_array(F.collect_list(F.struct("item_id", "quantity"))).alias("items"),
-    )
+    # aim at half a part on average, so that no part outgrows the limit by the luck of the hash
+    parts = F.coalesce(F.ceil(F.col("_n_items") * 2 / F.lit(part_size)), F.lit(1))
+    deal = F.pmod(F.xxhash64("item_id", "quantity", "_copy"), parts).cast("int")
+    parted = copies.join(large.withColumnRenamed("_n", "_n_items"), key, "left").withColumn("part", deal)
+    return parted.groupBy("trans_id", "part").agg(*first, entries)
 
 
 def item_rows(documents: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.analytics import inventory
+from millrace.operators.tables import earliest_new_by
 from millrace.plans.stock import CHANGE_SCHEMA
 from millrace.scratch import scratch_path
 from millrace.streaming import balances, once, runs
@@ -142,3 +143,28 @@ def test_stock_job_keeps_movements_of_an_older_document(spark, tmp_path):
     assert [r.current_inventory for r in job.current().collect()] == [89]
     assert [tuple(r)[1:5] for r in job.arrivals().orderBy("batch_id").collect()] == [(1, 1, 0, 0), (2, 1, 1, 1)]
     assert spark.read.parquet(f"{job.base}/changes").select(*[f.split()[0] for f in CHANGE_SCHEMA.split(", ")]).count() == 2
+
+
+def test_documents_are_made_in_one_exchange(spark):
+    """Without a large transaction the rows go to their transaction once, wide ids are not counted, and every copy stays; NULL is an id."""
+    ids = [f"{{{k % 40}}}" for k in range(120)] + [None] * 3
+    rows = [(i, at(k % 9), k % 3, k % 2, k % 5, k % 4) for k, i in enumerate(ids)]
+    rows += rows[:7]
+    changes = spark.createDataFrame(rows, "trans_id string, date_time timestamp, store_id int, change_type_id long, item_id long, quantity int")
+    whole, parted = inventory.transaction_documents(changes), inventory.transaction_documents(changes, part_size=3)
+    assert whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [(f.name, f.dataType) for f in whole.schema] == [(f.name, f.dataType) for f in parted.schema]
+    want = Counter((r[0] and r[0][1:-1], r[4], r[5]) for r in rows)
+    for docs in (whole, parted):
+        assert Counter(map(tuple, inventory.item_rows(docs).select("trans_id", "item_id", "quantity").collect())) == want
+    assert whole.count() == 41 and parted.filter("part > 0").count() > 0
+
+
+def test_known_keys_meet_new_rows_in_one_grouping(spark):
+    """Rows are not shuffled again to be compared with the keys that were kept; NULL is a key."""
+    rows = spark.createDataFrame([(1, None, 5, "b"), (1, None, 3, "a"), (2, 7, 1, "c"), (None, 7, 2, "d"), (None, 7, 2, "e"), (3, 3, 9, None)],
+                                 "k int, j int, o int, v string")
+    past = spark.createDataFrame([(2, 7), (2, 7), (None, None), (3, None)], "k int, j int")
+    got = earliest_new_by(rows, past, ["k", "j"], ["o"])
+    assert Counter(map(tuple, got.collect())) == Counter([(1, None, 3, "a"), (None, 7, 2, "d"), (3, 3, 9, None)])
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
