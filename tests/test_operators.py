@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 from millrace.analytics import inventory, propensity as pro
 from millrace.functions import clean, geo
 from millrace.operators import aggregates as agg, changes as ch, layout, quality, spatial
-from millrace.operators.tables import earliest_by, grid, hot_keys, keyed_join, latest_by, salted_join
+from millrace.operators.tables import earliest_by, grid, grid_blocks, hot_keys, keyed_join, latest_by, salted_join
 from millrace.queries import inputs, q_changes
 from millrace.scratch import scratch_path
 from millrace.sources import files, sinks
@@ -60,6 +60,13 @@ def test_grid_is_the_product(spark):
     assert rows(grid(a, b)) == sorted(itertools.product(range(13), range(17)), key=repr)
 
 
+def test_grid_repeats_only_the_few(spark):
+    a, b = spark.range(13).toDF("a"), spark.range(17).toDF("b")
+    for spread, blocks in ((4, (4, 4)), (13, (1, 169)), (17, (289, 1))):
+        assert grid_blocks(a, b, spread) == blocks
+        assert rows(grid(a, b, spread)) == sorted(itertools.product(range(13), range(17)), key=repr)
+
+
 @pytest.mark.parametrize("values", [[5.0], [1.0, 1.0, 2.0], list(np.random.default_rng(1).normal(size=997)),
                                     [0.0] * 50 + [1e9, -1e9, 3.5]])
 def test_exact_cuts_are_order_statistics(spark, values):
