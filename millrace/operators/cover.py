@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import geo
 from millrace.operators.tables import hot_keys, salted_join
+from millrace.scratch import materialise
 from millrace.session import task_count
 
 BITS = 29  # of a step either way from the origin, at the finest size
@@ -127,8 +128,11 @@ def located(rows: DataFrame, point: str, cells: DataFrame, size: float, prefix:
     keyed = rows.withColumn("_finest", cell(F.col(point), size)).withColumn("_cell", F.explode(around)).drop("_finest")
     held = cells.select(F.col("cell").alias("_cell"), F.col("is_core").alias("_c_core"), F.col("chip").alias("_c_chip"),
                         *[F.col(c).alias(f"{prefix}{c}") for c in zone])
-    kept = keyed.join(held.select("_cell").distinct(), "_cell", "left_semi")  # most of the sizes around a point hold no cell
-    hot = hot_keys(kept.select("_cell"), ["_cell"], max_rows)
+    some = held.select("_cell").distinct()
+    kept = keyed.join(some, "_cell", "left_semi")  # most of the sizes around a point hold no cell
+    full = hot_keys(keyed.select("_cell"), ["_cell"], max_rows)  # counted before the join, so that no point is shuffled for it
+    hot = None if full is None else full.join(some, "_cell", "left_semi")
+    hot = None if hot is None or hot.isEmpty() else materialise(hot, "hot-cells")
     plain = [c for c in rows.columns if c != point]
     found = salted_join(kept, held, ["_cell"], "inner", hot, plain or [point])
     return found.filter(F.col("_c_core") | geo.contains(F.col("_c_chip"), F.col(point))).drop("_cell", "_c_core", "_c_chip")
@@ -138,7 +142,8 @@ def trips_between(trips: DataFrame, cells: DataFrame, size: float, max_rows: int
     """Trips with the zone of their pickup and of their dropoff; both ends are tested."""
     zone = cells.select("zone", "cell", "up", "is_core", "chip")
     rows = trips.withColumn("_start", geo.point("pickup_longitude", "pickup_latitude")).withColumn("_end", geo.point("dropoff_longitude", "dropoff_latitude"))
-    both = located(located(rows, "_start", zone, size, "pickup_", max_rows=max_rows, **sizes), "_end", zone, size, "dropoff_", max_rows=max_rows, **sizes)
+    started = materialise(located(rows, "_start", zone, size, "pickup_", max_rows=max_rows, **sizes), "started")  # read by a count and a join
+    both = located(started, "_end", zone, size, "dropoff_", max_rows=max_rows, **sizes)
     return both.select(
         *trips.columns, "pickup_zone", "dropoff_zone",
         F.timestamp_diff("MINUTE", F.col("pickup_datetime"), F.col("dropoff_datetime")).alias("time_elapsed"),

@@ -92,3 +92,19 @@ def test_a_cell_with_a_third_of_all_points(spark, zones):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert most[500] <= 2 < most[1_000_000]
+
+
+def test_the_first_end_of_trips_is_joined_once(spark, zones):
+    """The zones of the pickups are written, so the count and the join of the dropoffs do not make them again."""
+    rng = random.Random(9)
+    ends = [(i, *(rng.uniform(-5, 65) for _ in range(4))) for i in range(300)]
+    trips = spark.createDataFrame(ends, "id int, pickup_longitude double, pickup_latitude double, dropoff_longitude double, dropoff_latitude double")
+    trips = trips.withColumns({c: F.lit("2024-01-02 03:04:05").cast("timestamp") for c in ("pickup_datetime", "dropoff_datetime")})
+    cells = cover.cover(zones[0], "ring", 1.5)
+    hold = lambda x, y: [z for z, rings in zones[1].items() if odd_crossings(rings, x, y)]
+    want = sorted((i, a, b) for i, px, py, dx, dy in ends for a in hold(px, py) for b in hold(dx, dy))
+    for max_rows in (1_000_000, 4):
+        found = cover.trips_between(trips, cells, 1.5, max_rows=max_rows).select("id", "pickup_zone", "dropoff_zone")
+        assert sorted(map(tuple, found.collect())) == want
+    plain = cover.trips_between(trips, cells, 1.5)
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 1
