@@ -90,13 +90,25 @@ def candidates(label: str, seed: int = 42) -> dict[str, object]:
     }
 
 
+TASK_ROWS = 50_000  # training rows of a task
+
+
+def dealt(rows: DataFrame, key: str, most: int = TASK_ROWS) -> DataFrame:
+    """A written table in parts of about ``most`` rows.
+
+    Features are mostly zero, so a scan packs very many rows into a task, which the fits then keep unpacked.
+    """
+    parts = -(-rows.count() // most)
+    return rows.repartition(parts, key) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def select_classifier(df: DataFrame, key: str, features: Sequence[str], label: str,
                       test_share: float = 0.3, seed: int = 42) -> tuple[str, PipelineModel, list[tuple[str, float]]]:
     """Fit every candidate and keep the one with the highest area under the ROC curve."""
     ready = materialise(df.select(key, F.col(label).cast("double").alias(label), *[
         F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]),
         "training", task_count(df.sparkSession))
-    train, test = split_by_key(ready, key, test_share)
+    train, test = split_by_key(dealt(ready, key), key, test_share)
     measure = BinaryClassificationEvaluator(labelCol=label)
     trials, best = [], None
     for name, classifier in candidates(label, seed).items():

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.analytics import clv, forecast as fc, rfm, segments as seg, textclass as txt
 from millrace.queries import inputs
+from millrace.scratch import scratch_path
 
 
 def test_log_gamma():
@@ -217,3 +218,13 @@ def test_forest_rows_do_not_grow_with_the_vocabulary(spark):
     assert len(model.stages[3].vocabulary) > 400
     assert model.stages[-1].numFeatures <= 3 + 1  # two labels, that of rows without one, and n
     assert txt.micro_f1(txt.predict_labels(model, df, "lang")) == 1.0
+
+
+def test_training_rows_of_a_task_are_bounded(spark):
+    """Rows that pack well do not all go to the few tasks of a scan; few rows stay as they are."""
+    path = scratch_path(spark, "packed")
+    spark.range(20_000).selectExpr("id AS household_key", "0.0D AS x").coalesce(1).write.parquet(path)
+    rows = spark.read.parquet(path)
+    sizes = [r["count"] for r in txt.dealt(rows, "household_key", 500).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) == 40 and max(sizes) < 2 * 500
+    assert txt.dealt(rows, "household_key", 50_000) is rows
