@@ -132,3 +132,19 @@ def test_changes_of_one_moment_are_reduced_before_the_state(spark):
         tables.append(Counter(map(tuple, job.table().select("k", "late", "delay", "__START_AT", "__END_AT").collect())))
     assert tables[0] == tables[1] and len(tables[0]) > 6
     assert spark.read.parquet(f"{jobs[1].base}/reduced").count() <= 2 * 3 * 5
+
+
+def test_late_keys_are_taken_from_the_log_once(spark, monkeypatch):
+    """Micro-batches with late changes of long keys read no log; the table does, once and for all such keys."""
+    rows = [(k % 3 if k % 3 else None, k, k // 4 % 2) for k in range(90)]
+    src, read = scratch_path(spark, "late-in"), []
+    job = histories.History(spark, scratch_path(spark, "late"), ["k"], "at", tracked=["v"], tail=2)
+    monkeypatch.setattr(histories, "scd2", lambda *a, **k: read.append(1) or scd2(*a, **k))
+    ddl = "k long, at long, v long"
+    for part in (rows[60:], rows[30:60], rows[:30]):
+        spark.createDataFrame(part, ddl).write.mode("append").parquet(src)
+        job.follow(runs.new_files(spark, src, "parquet", ddl))
+    assert not read
+    want = scd2(spark.createDataFrame(rows, ddl), ["k"], "at", None, ["v"], unique=False)
+    assert Counter(map(tuple, job.table().collect())) == Counter(map(tuple, want.select(*job.table().columns).collect()))
+    assert len(read) == 2  # the table was asked for twice
