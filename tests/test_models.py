@@ -228,3 +228,26 @@ def test_training_rows_of_a_task_are_bounded(spark):
     sizes = [r["count"] for r in txt.dealt(rows, "household_key", 500).groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 20_000 and len(sizes) == 40 and max(sizes) < 2 * 500
     assert txt.dealt(rows, "household_key", 50_000) is rows
+
+
+def test_classifiers_share_one_kept_table(spark, monkeypatch):
+    """Vectors are made and dealt before the fits, which read them from disk, and nothing stays kept afterwards."""
+    seen = []
+    plain = txt.candidates
+
+    class Watched:
+        def __init__(self, classifier):
+            self.classifier = classifier
+
+        def fit(self, rows):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            seen.append(("InMemoryTableScan" in plan, "_features" in rows.columns))
+            return self.classifier.fit(rows)
+
+    monkeypatch.setattr(txt, "candidates", lambda *a: {n: Watched(c) for n, c in plain(*a).items()})
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = spark.createDataFrame([(i, float(i % 7), None if i % 5 else 1.0, int(i % 7 > 3)) for i in range(300)], "id long, a double, b double, y int")
+    _, model, _ = txt.select_classifier(df, "id", ["a", "b"], "y")
+    assert seen == [(True, True)] * 3
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    assert txt.scores(model, df, ["id"], ["a", "b"]).count() == 300
