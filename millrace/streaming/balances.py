@@ -7,7 +7,8 @@ movements give what a run over everything would.
 
 Rows are summed per key, moment and kind before they are shuffled, so a key with a third of all movements sends one row a moment and
 input batch. The state of a key grows with the moments since its last count. Keys share the state of a group, so that a call of Python
-serves many of them; the number of groups should be a hundredth of that of the keys, and is written when the balances are begun.
+serves many of them, by column and not by row; the number of groups should be a hundredth of that of the keys, and is written when the
+balances are begun.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from millrace.streaming.histories import JSON, packed
 from millrace.streaming.once import bucket_count
 from millrace.streaming.runs import batch_log, each_batch
 
-STATE = "keys string"  # JSON: {key: [counted, counted_at, at, kind, moved, n]}
+STATE = "rows binary"  # an Arrow stream of ROWS: the newest count of each key and its moments since then
+ROWS = ["key", "at", "is_count", "kind", "quantity", "n"]
+KEPT = pa.schema([("key", pa.string()), ("at", pa.int64()), ("is_count", pa.bool_()), ("kind", pa.string()), ("quantity", pa.int64()), ("n", pa.int64())])
 GROUPS = 512
 MOVED = "array<struct<kind: string, quantity: bigint, at: bigint, n: bigint>>"
 
@@ -61,53 +64,77 @@ def partial_sums(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
+def fold_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    """What the state keeps of (key, at, is_count, kind, quantity, n): each key's newest count, and a row per moment and kind since then."""
+    code, keys = pd.factorize(rows["key"])
+    at, is_count = rows["at"].to_numpy(np.int64), rows["is_count"].to_numpy(bool)
+    counts = pd.DataFrame({"code": code, "at": at, "quantity": rows["quantity"].to_numpy(np.int64)})[is_count]
+    counts = counts.sort_values(["code", "at", "quantity"]).drop_duplicates("code", keep="last")
+    since = np.full(len(keys), np.iinfo(np.int64).min)
+    since[counts["code"]] = counts["at"]
+    kept = ~is_count & (at >= since[code])
+    moves = pd.DataFrame({"code": code, "at": at, "kind": rows["kind"], "quantity": rows["quantity"], "n": rows["n"]})[kept]
+    moves = moves.groupby(["code", "at", "kind"], dropna=False, as_index=False)[["quantity", "n"]].sum()
+    both = pd.concat([counts.assign(kind=None, n=0, is_count=True), moves.assign(is_count=False)], ignore_index=True)
+    both["key"] = np.asarray(keys, object)[both["code"]]
+    return both[["key", "at", "is_count", "kind", "quantity", "n"]]
+
+
 def folded(state: tuple | None, rows: Iterable[tuple]) -> tuple:
-    """The state after some (at, counted, kind, moved, n) of its key; a count has no n."""
+    """The state of one key, (counted, counted_at, at, kind, moved, n), after some (at, counted, kind, moved, n); a count has no n."""
     counted, counted_at, *tail = state if state is not None else (None, None, [], [], [], [])
-    moments = {(a, k): (m, n) for a, k, m, n in zip(*tail)}
-    for at, quantity, kind, moved, n in rows:
-        if n is None or n != n:  # pandas has NaN for NULL
-            at, quantity = int(at), int(quantity)
-            if counted_at is None or (at, quantity) > (counted_at, counted):
-                counted, counted_at = quantity, at
-        else:
-            m, c = moments.get((at, kind), (0, 0))
-            moments[(at, kind)] = (m + int(moved), c + int(n))
-    kept = sorted(((a, k, m, n) for (a, k), (m, n) in moments.items() if counted_at is None or a >= counted_at),
-                  key=lambda r: (r[0], r[1] or ""))
-    return (counted, counted_at, *([list(c) for c in zip(*kept)] or [[], [], [], []]))
-
-
-def moved_by_kind(state: tuple) -> list[dict]:
-    """Moved quantity, last moment and number of movements of each kind."""
-    sums: dict = {}
-    for at, kind, moved, n in zip(*state[2:]):
-        q, last, c = sums.get(kind, (0, at, 0))
-        sums[kind] = (q + moved, max(last, at), c + n)
-    return [{"kind": k, "quantity": q, "at": last, "n": c} for k, (q, last, c) in sums.items()]
+    before = [("", counted_at, True, None, counted, 0)] if counted_at is not None else []
+    before += [("", a, False, k, m, n) for a, k, m, n in zip(*tail)]
+    new = [("", at, True, None, quantity, 0) if n is None or n != n else ("", at, False, kind, moved, n) for at, quantity, kind, moved, n in rows]
+    after = fold_rows(pd.DataFrame(before + new, columns=ROWS))
+    count, moves = after[after["is_count"]], after[~after["is_count"]]
+    newest = (int(count["quantity"].iloc[0]), int(count["at"].iloc[0])) if len(count) else (None, None)
+    return (*newest, *(moves[c].tolist() for c in ("at", "kind", "quantity", "n")))
+
+
+def balance_rows(rows: pd.DataFrame) -> pd.DataFrame:
+    """(key, counted, counted_at, moved) of folded rows; ``moved`` tells quantity, last moment and number of movements of each kind."""
+    code, keys = pd.factorize(rows["key"])
+    rows = rows.assign(code=code)
+    out = np.full((len(keys), 4), None, object)  # objects, because a column of numbers with NULL would become floats
+    out[:, 0] = keys
+    counts, moves = rows[rows["is_count"]], rows[~rows["is_count"]]
+    out[counts["code"], 1], out[counts["code"], 2] = counts["quantity"], counts["at"]
+    sums = moves.groupby(["code", "kind"], dropna=False, as_index=False).agg({"quantity": "sum", "at": "max", "n": "sum"})
+    moved: list[list[str]] = [[] for _ in keys]
+    names = {k: json.dumps(k) for k in sums["kind"].dropna().unique()}
+    for c, kind, quantity, last, n in zip(*(sums[x].tolist() for x in ("code", "kind", "quantity", "at", "n"))):
+        moved[c].append(f'{{"kind":{names.get(kind, "null")},"quantity":{quantity},"at":{last},"n":{n}}}')
+    out[:, 3] = [f"[{','.join(m)}]" for m in moved]
+    return pd.DataFrame(out, columns=["key", "counted", "counted_at", "moved"], copy=False)
+
+
+def to_bytes(rows: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(rows, KEPT, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, KEPT) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
 def balances(stream: DataFrame, keys: Sequence[str], groups: int = GROUPS) -> DataFrame:
     """Per touched key its balance after the micro-batch: (keys, counted, counted_at, moved by kind)."""
     packed_key = packed(keys)
     rows = stream.select(F.pmod(F.xxhash64(packed_key), F.lit(groups)).alias("grp"), packed_key.alias("key"), "at", "counted", "kind", "moved", "n")
+    # whole numbers without NULL, because pandas would make them floats
+    plain = partial_sums(rows).select("grp", "key", "at", F.col("counted").isNotNull().alias("is_count"), "kind",
+                                      F.coalesce("counted", "moved", F.lit(0)).alias("quantity"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
     def fold(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else {}
-        new: dict[str, list[tuple]] = {}
-        for part in parts:
-            for key, *row in zip(*(part[c].tolist() for c in ("key", "at", "counted", "kind", "moved", "n"))):
-                new.setdefault(key, []).append(tuple(row))
-        for key, some in new.items():
-            held[key] = folded(held.get(key), some)
-        state.update((json.dumps(held),))
-        out = np.empty((len(new), 4), object)  # objects, because a column of numbers with NULL would become floats
-        for i, key in enumerate(new):
-            out[i] = key, held[key][0], held[key][1], json.dumps(moved_by_kind(held[key]))
-        yield pd.DataFrame(out, columns=["key", "counted", "counted_at", "moved"], copy=False)
+        new = [part[ROWS] for part in parts]
+        held = [pa.ipc.open_stream(state.get[0]).read_pandas()] if state.exists else []
+        after = fold_rows(pd.concat([*held, *new], ignore_index=True))
+        state.update((to_bytes(after),))
+        touched = pd.concat([part["key"] for part in new]).unique()
+        yield balance_rows(after[after["key"].isin(touched)])
 
     schema = "key string, counted bigint, counted_at bigint, moved string"
-    kept = partial_sums(rows).groupBy("grp").applyInPandasWithState(fold, schema, STATE, "update", GroupStateTimeout.NoTimeout)
+    kept = plain.groupBy("grp").applyInPandasWithState(fold, schema, STATE, "update", GroupStateTimeout.NoTimeout)
     own = T.StructType([stream.schema[k] for k in keys])
     return kept.withColumn("_k", F.from_json("key", own, JSON)).select("_k.*", "counted", "counted_at", F.from_json("moved", MOVED).alias("moved"))
 

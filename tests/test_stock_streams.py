@@ -1,9 +1,12 @@
 """Stock by what changed, and keys kept once: any order of arrival gives what a run over everything gives."""
 
+import json
 import random
 from collections import Counter
 from datetime import datetime, timedelta
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +171,26 @@ def test_known_keys_meet_new_rows_in_one_grouping(spark):
     got = earliest_new_by(rows, past, ["k", "j"], ["o"])
     assert Counter(map(tuple, got.collect())) == Counter([(1, None, 3, "a"), (None, 7, 2, "d"), (3, 3, 9, None)])
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_groups_are_folded_by_column(spark):
+    """Many keys at once, kinds and quantities also null, numbers no float holds: what one key after the other gives."""
+    rng = random.Random(11)
+    big = 2 ** 53 + 1
+    rows = [(f"k{rng.randint(0, 30)}", rng.randint(0, 9), rng.random() < 0.1, rng.choice(["sale", "bopis", None, 'a"b']), rng.choice([-1, 0, 3, big]), 1) for _ in range(900)]
+    rows = [(k, a, c, None if c else kind, q, 0 if c else n) for k, a, c, kind, q, n in rows]
+    frame = lambda some: pd.DataFrame(some, columns=balances.ROWS)
+    half = balances.fold_rows(frame(rows[:500]))
+    stored = pa.ipc.open_stream(balances.to_bytes(half)).read_pandas()
+    out = balances.balance_rows(balances.fold_rows(pd.concat([stored, frame(rows[500:])], ignore_index=True)))
+    assert sorted(out["key"]) == sorted({r[0] for r in rows})
+    for key, counted, counted_at, moved in out.itertuples(index=False):
+        mine = [r for r in rows if r[0] == key]
+        newest = max(((r[1], r[4]) for r in mine if r[2]), default=None)
+        assert (counted_at, counted) == (newest or (None, None))
+        want = {}
+        for _, a, count, kind, q, n in mine:
+            if not count and (newest is None or a >= newest[0]):
+                s = want.setdefault(kind, [0, a, 0])
+                want[kind] = [s[0] + q, max(s[1], a), s[2] + n]
+        assert {m["kind"]: [m["quantity"], m["at"], m["n"]] for m in json.loads(moved)} == want
