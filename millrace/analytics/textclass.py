@@ -10,7 +10,7 @@ from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, IDF, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.analytics.segments import probability_of_one
 from millrace.scratch import materialise
@@ -52,14 +52,10 @@ def fit_text_model(train: DataFrame, texts: Sequence[str], numbers: Sequence[str
     return text_model(texts, numbers, label, **settings).fit(kept)
 
 
-def in_test(key: str, test_share: float) -> Column:
-    digest = F.conv(F.substring(F.sha1(F.col(key).cast("string").cast("binary")), 1, 7), 16, 10).cast("bigint")
-    return digest < F.lit(int(round(test_share * 16 ** 7)))
-
-
 def split_by_key(df: DataFrame, key: str, test_share: float) -> tuple[DataFrame, DataFrame]:
     """Train and test rows by a hash of the key: the same rows on every run and retry."""
-    side = in_test(key, test_share)
+    digest = F.conv(F.substring(F.sha1(F.col(key).cast("string").cast("binary")), 1, 7), 16, 10).cast("bigint")
+    side = digest < F.lit(int(round(test_share * 16 ** 7)))
     return df.filter(~side), df.filter(side)
 
 
@@ -111,14 +107,14 @@ def select_classifier(df: DataFrame, key: str, features: Sequence[str], label: s
                       test_share: float = 0.3, seed: int = 42) -> tuple[str, PipelineModel, list[tuple[str, float]]]:
     """Fit every candidate and keep the one with the highest area under the ROC curve.
 
-    Vectors and the side of a row are made once, and the dealt parts are kept on local disk: fits pass over them dozens of times.
+    Vectors and sides are made once and kept on local disk, in the rows and parts of the written table: fits pass over them dozens of times.
     """
+    ready = materialise(df.select(key, F.col(label).cast("double").alias(label), *[
+        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]),
+        "training", task_count(df.sparkSession))
     vectors = VectorAssembler(inputCols=list(features), outputCol="_features")
-    filled = df.select(key, F.col(label).cast("double").alias(label), *[
-        F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features], in_test(key, test_share).alias("_test"))
-    ready = materialise(vectors.transform(filled).select(key, label, "_features", "_test"), "training", task_count(df.sparkSession))
-    ready = dealt(ready, key).persist(StorageLevel.DISK_ONLY)
-    train, test = ready.filter("NOT _test"), ready.filter("_test")
+    train, test = [vectors.transform(side).select(label, "_features").persist(StorageLevel.DISK_ONLY)
+                   for side in split_by_key(dealt(ready, key), key, test_share)]
     measure = BinaryClassificationEvaluator(labelCol=label)
     trials, best = [], None
     try:
@@ -129,7 +125,8 @@ def select_classifier(df: DataFrame, key: str, features: Sequence[str], label: s
             if best is None or auc > best[1]:
                 best = (name, auc, model)
     finally:
-        ready.unpersist()
+        train.unpersist()
+        test.unpersist()
     return best[0], PipelineModel(stages=[vectors, best[2]]), trials
 
 
