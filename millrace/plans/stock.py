@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.analytics import inventory
 from millrace.operators import quality
-from millrace.scratch import scratch_path
+from millrace.scratch import scratch_path, shuffles_removed
 from millrace.streaming import balances, once, runs
 
 DOCUMENT_SCHEMA = ("trans_id string, date_time timestamp, store_id int, change_type_id bigint, "
@@ -31,6 +31,11 @@ class Stock:
         self.base = scratch_path(spark, "stock")
 
     def run(self) -> None:
+        """Take in what has arrived; shuffle files of a step go when it has written."""
+        with shuffles_removed(self.spark):
+            self._run()
+
+    def _run(self) -> None:
         spark, base = self.spark, self.base
         cp = f"{base}/checkpoints"
         schemas = {"item": "item_id bigint, name string", "store": "store_id int, name string",

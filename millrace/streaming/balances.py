@@ -6,9 +6,10 @@ an older count and a movement before the count change nothing. The order of arri
 movements give what a run over everything would.
 
 Rows are summed per key, moment and kind before they are shuffled, so a key with a third of all movements sends one row a moment and
-input batch. The state of a key grows with the moments since its last count. Keys share the state of a group, so that a call of Python
-serves many of them, by column and not by row; the number of groups should be a hundredth of that of the keys, and is written when the
-balances are begun.
+input batch. The state of a key grows with the moments since its last count. It is a table in groups of keys: a micro-batch reads the groups
+it touches, folds its rows into them in Spark, which spills what does not fit into memory, and writes them under its number, so a repeated
+batch replaces itself. Of each group the newest two versions are kept. The number of groups is written when the balances are begun, and follows
+the size of the first micro-batch.
 """
 
 from __future__ import annotations
@@ -19,19 +20,18 @@ from collections.abc import Iterable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from millrace.operators.tables import latest_by
-from millrace.streaming.histories import JSON, packed
+from millrace.scratch import shuffles_removed
+from millrace.sources.files import exists, remove, sub_folders
 from millrace.streaming.once import bucket_count
-from millrace.streaming.runs import batch_log, each_batch
+from millrace.streaming.runs import EachBatch, batch_dir, each_batch, write_batch
 
-STATE = "rows binary"  # an Arrow stream of ROWS: the newest count of each key and its moments since then
 ROWS = ["key", "at", "is_count", "kind", "quantity", "n"]
 KEPT = pa.schema([("key", pa.string()), ("at", pa.int64()), ("is_count", pa.bool_()), ("kind", pa.string()), ("quantity", pa.int64()), ("n", pa.int64())])
-GROUPS = 512
-MOVED = "array<struct<kind: string, quantity: bigint, at: bigint, n: bigint>>"
+GROUPS = 16  # at least
+GROUP_ROWS = 500_000  # rows of the first micro-batch for each group
 
 
 def micros(at: str | Column) -> Column:
@@ -49,9 +49,9 @@ def counts_and_movements(counts: DataFrame, movements: DataFrame, keys: Sequence
     return counted.unionByName(moved).filter("at IS NOT NULL")
 
 
-def partial_sums(rows: DataFrame) -> DataFrame:
+def partial_sums(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of one key, moment and kind within an input batch as one row; of several counts of a moment the largest."""
-    by, names = ["grp", "key", "at", "kind", "is_count"], rows.columns
+    by, names = [*keys, "at", "kind", "is_count"], rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,32 +117,80 @@ def to_bytes(rows: pd.DataFrame) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def balances(stream: DataFrame, keys: Sequence[str], groups: int = GROUPS) -> DataFrame:
-    """Per touched key its balance after the micro-batch: (keys, counted, counted_at, moved by kind)."""
-    packed_key = packed(keys)
-    rows = stream.select(F.pmod(F.xxhash64(packed_key), F.lit(groups)).alias("grp"), packed_key.alias("key"), "at", "counted", "kind", "moved", "n")
-    # whole numbers without NULL, because pandas would make them floats
-    plain = partial_sums(rows).select("grp", "key", "at", F.col("counted").isNotNull().alias("is_count"), "kind",
-                                      F.coalesce("counted", "moved", F.lit(0)).alias("quantity"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
-
-    def fold(group: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new = [part[ROWS] for part in parts]
-        held = [pa.ipc.open_stream(state.get[0]).read_pandas()] if state.exists else []
-        after = fold_rows(pd.concat([*held, *new], ignore_index=True))
-        state.update((to_bytes(after),))
-        touched = pd.concat([part["key"] for part in new]).unique()
-        yield balance_rows(after[after["key"].isin(touched)])
-
-    schema = "key string, counted bigint, counted_at bigint, moved string"
-    kept = plain.groupBy("grp").applyInPandasWithState(fold, schema, STATE, "update", GroupStateTimeout.NoTimeout)
-    own = T.StructType([stream.schema[k] for k in keys])
-    return kept.withColumn("_k", F.from_json("key", own, JSON)).select("_k.*", "counted", "counted_at", F.from_json("moved", MOVED).alias("moved"))
+def newest_versions(spark: SparkSession, state: str, before: int) -> dict[str, str]:
+    """The folder of each group's newest version from a micro-batch earlier than ``before``; versions older than those are removed."""
+    found: dict[str, str] = {}
+    if not exists(spark, state):
+        return found
+    for batch in sorted(int(f.split("=")[1]) for f in sub_folders(spark, state)):
+        if batch >= before:
+            break
+        groups = sub_folders(spark, batch_dir(state, batch))
+        if not groups:
+            remove(spark, batch_dir(state, batch))
+        for group in groups:
+            if group in found:
+                remove(spark, found[group])
+            found[group] = f"{batch_dir(state, batch)}/{group}"
+    return found
+
+
+def folded_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What the state keeps of (grp, keys, at, is_count, kind, quantity, n): each key's newest count, and a row per moment and kind since then.
+
+    ``_touched`` tells of all rows of a key whether one of them is ``_new``.
+    """
+    of_key = Window.partitionBy("grp", *keys)  # a group is in one task, and what follows needs no other exchange
+    newest = F.max(F.when(F.col("is_count"), F.struct("at", "quantity"))).over(of_key)
+    marked = rows.repartition("grp").select("*", newest.alias("_newest"), F.max("_new").over(of_key).alias("_touched"))
+    since = F.when(F.col("is_count"), (F.col("at") == F.col("_newest.at")) & (F.col("quantity") == F.col("_newest.quantity")))
+    kept = marked.filter(F.col("_newest").isNull() | since.otherwise(F.col("at") >= F.col("_newest.at")))
+    counted, moved = F.max(F.when(F.col("is_count"), F.col("quantity"))), F.sum(F.when(~F.col("is_count"), F.col("quantity")))
+    return kept.groupBy("grp", *keys, "at", "is_count", "kind").agg(
+        F.coalesce(counted, moved).alias("quantity"), F.sum("n").alias("n"), F.max("_touched").alias("_touched"))
+
+
+def balances_of(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, counted, counted_at, moved) of folded rows; ``moved`` tells quantity, last moment and number of movements of each kind."""
+    sums = rows.groupBy("grp", *keys, "is_count", "kind").agg(F.sum("quantity").alias("quantity"), F.max("at").alias("at"), F.sum("n").alias("n"))
+    of_count = lambda c: F.max(F.when(F.col("is_count"), F.col(c)))
+    moved = F.collect_list(F.when(~F.col("is_count"), F.struct("kind", "quantity", "at", "n")))
+    return sums.groupBy("grp", *keys).agg(of_count("quantity").alias("counted"), of_count("at").alias("counted_at"), moved.alias("moved")).drop("grp")
+
+
+def fold(target: str, state: str, keys: Sequence[str], groups: int = GROUPS) -> EachBatch:
+    """Fold a micro-batch of ``counts_and_movements`` into the state, and write the balances of the keys it touched."""
+    keys = list(keys)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        held = newest_versions(spark, f"{state}/rows", batch_id)
+        wanted = groups if held else max(groups, df.count() // GROUP_ROWS)
+        group = F.pmod(F.xxhash64(*keys), F.lit(bucket_count(spark, f"{state}/groups", wanted))).cast("int")
+        new = partial_sums(df, keys).select(
+            group.alias("grp"), *keys, "at", F.col("counted").isNotNull().alias("is_count"), "kind",
+            F.coalesce("counted", "moved", F.lit(0)).cast("bigint").alias("quantity"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.lit(True).alias("_new"))
+        if held:
+            touched = {f"grp={r[0]}" for r in df.select(group).distinct().collect()}  # at most as many numbers as groups
+            paths = [path for name, path in held.items() if name in touched]
+            if paths:
+                kind = T.StructType([f for f in new.schema if f.name != "_new"])
+                past = spark.read.schema(kind).option("basePath", f"{state}/rows").parquet(*paths).select(*kind.names)
+                new = new.unionByName(past.withColumn("_new", F.lit(False)))
+        after = folded_rows(new, keys).persist()
+        try:
+            write_batch(after.drop("_touched"), f"{state}/rows", batch_id, ["grp"])
+            write_batch(balances_of(after.filter("_touched"), keys), target, batch_id)
+        finally:
+            after.unpersist()
+
+    return write
 
 
 def follow(stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str, groups: int = GROUPS) -> None:
     """Fold everything that has arrived into the balances; each micro-batch adds the balances of the keys it touched."""
-    n = bucket_count(stream.sparkSession, f"{checkpoint}-groups", groups)
-    each_batch(balances(stream, keys, n), batch_log(target), checkpoint, "update")
+    with shuffles_removed(stream.sparkSession):
+        each_batch(stream, fold(target, f"{checkpoint}-state", keys, groups), checkpoint)
 
 
 def current_balances(spark: SparkSession, target: str, keys: Sequence[str]) -> DataFrame:

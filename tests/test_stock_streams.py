@@ -194,3 +194,31 @@ def test_groups_are_folded_by_column(spark):
                 s = want.setdefault(kind, [0, a, 0])
                 want[kind] = [s[0] + q, max(s[1], a), s[2] + n]
         assert {m["kind"]: [m["quantity"], m["at"], m["n"]] for m in json.loads(moved)} == want
+
+
+def test_state_of_balances_is_a_table_in_bounded_groups(spark, monkeypatch):
+    """No state store holds it, groups follow the first arrival, a group has two versions at most, and a repeated batch replaces itself."""
+    from millrace.sources.files import exists, sub_folders
+    monkeypatch.setattr(balances, "GROUP_ROWS", 10)
+    counts, moves = random_rows(3)
+    counted, moved, out, cp = (scratch_path(spark, f"ts-{n}") for n in ("counts", "moves", "out", "cp"))
+    for k in range(4):
+        spark.createDataFrame([*counts[k::4], (None, 1, at(2), k)], COUNTS).write.mode("append").parquet(counted)
+        spark.createDataFrame([*moves[k::4], (None, 1, at(3), 1, "sale"), (5, None, at(3 + k), None, None)], MOVES).write.mode("append").parquet(moved)
+        both = balances.counts_and_movements(runs.new_files(spark, counted, "parquet", COUNTS), runs.new_files(spark, moved, "parquet", MOVES), KEYS, "change_type")
+        balances.follow(both, KEYS, out, cp, groups=2)
+    assert not exists(spark, f"{cp}/state")
+    assert once.bucket_count(spark, f"{cp}-state/groups", 2) == (len(counts[::4]) + len(moves[::4]) + 3) // 10
+    versions = Counter(g for b in sub_folders(spark, f"{cp}-state/rows") for g in sub_folders(spark, f"{cp}-state/rows/{b}"))
+    assert len(versions) > 2 and max(versions.values()) <= 2
+    rows = lambda: {(r.item_id, r.store_id): (r.counted, r.counted_at, sorted(map(tuple, r.moved), key=repr))
+                    for r in balances.current_balances(spark, out, KEYS).collect()}
+    before = rows()
+    assert before[None, 1][0] == 3 and [m[:2] + m[3:] for m in before[None, 1][2]] == [("sale", 4, 4)]
+    assert before[5, None][0] is None and [(None, 0, 4)] == [m[:2] + m[3:] for m in before[5, None][2]]
+    last = max(r.batch_id for r in spark.read.parquet(out).select("batch_id").distinct().collect())
+    again = balances.counts_and_movements(spark.createDataFrame([*counts[3::4], (None, 1, at(2), 3)], COUNTS), spark.createDataFrame(
+        [*moves[3::4], (None, 1, at(3), 1, "sale"), (5, None, at(6), None, None)], MOVES), KEYS, "change_type")
+    if last == 3:  # one batch for each arrival
+        balances.fold(out, f"{cp}-state", KEYS)(again, last)
+        assert rows() == before
