@@ -10,7 +10,7 @@ from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, IDF, IndexToString, RegexTokenizer, StopWordsRemover, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.analytics.segments import probability_of_one
 from millrace.scratch import materialise
@@ -103,6 +103,14 @@ def dealt(rows: DataFrame, key: str, most: int = TASK_ROWS) -> DataFrame:
     return rows.repartition(parts, key) if parts > rows.rdd.getNumPartitions() else rows
 
 
+def without_summary(model):
+    """A fitted model without its training summary, which holds the session: a session that has observed metrics cannot be sent to tasks."""
+    for stage in getattr(model, "stages", [model]):
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def select_classifier(df: DataFrame, key: str, features: Sequence[str], label: str,
                       test_share: float = 0.3, seed: int = 42) -> tuple[str, PipelineModel, list[tuple[str, float]]]:
     """Fit every candidate and keep the one with the highest area under the ROC curve.
@@ -119,7 +127,7 @@ def select_classifier(df: DataFrame, key: str, features: Sequence[str], label: s
     trials, best = [], None
     try:
         for name, classifier in candidates(label, seed).items():
-            model = classifier.fit(train)
+            model = without_summary(classifier.fit(train))
             auc = measure.evaluate(model.transform(test))
             trials.append((name, auc))
             if best is None or auc > best[1]:

@@ -273,4 +273,4 @@ def x5(t):
     model = Pipeline(stages=[
         VectorAssembler(inputCols=["n_chars", "lines"], outputCol="_features"),
         LogisticRegression(labelCol="quality", featuresCol="_features", maxIter=20)]).fit(rows)
-    return txt.scores(model, rows, ["doc_id"], ["n_chars", "lines"], "probability")
+    return txt.scores(txt.without_summary(model), rows, ["doc_id"], ["n_chars", "lines"], "probability")

@@ -251,3 +251,12 @@ def test_classifiers_share_one_kept_table(spark, monkeypatch):
     assert seen == [(True, True)] * 3
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
     assert txt.scores(model, df, ["id"], ["a", "b"]).count() == 300
+
+
+def test_classifiers_after_observed_metrics(spark):
+    """A session that has observed metrics cannot be sent to tasks, so no model may hold it."""
+    from pyspark.sql import Observation
+    rows = spark.range(200).selectExpr("id", "cast(id % 2 AS double) AS y", "id % 2 + (id % 7) / 7 AS x", "id % 5 AS z")
+    rows.observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    name, model, trials = txt.select_classifier(rows, "id", ["x", "z"], "y")
+    assert len(trials) > 1 and model.transform(rows).count() == 200
